@@ -1,0 +1,53 @@
+"""Idempotent micro-batch results: each batch owns one folder of a log.
+
+A batch first shrinks its rows with aggregates that commute (or_, min, max by time), then replaces
+its own folder, so a replay after a failure changes nothing and a hot key is small before it is
+shuffled. Readers fold the log with the same aggregates; a batch never rewrites earlier state.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from tidemark.shared import new_path
+
+
+def batch_path(log: str, batch_id: int) -> str:
+    return f"{log}/batch_id={batch_id}"
+
+
+def write_batch(rows: DataFrame, log: str, batch_id: int) -> None:
+    rows.write.mode("overwrite").parquet(batch_path(log, batch_id))
+
+
+def read_log(spark: SparkSession, log: str, schema: StructType | str) -> DataFrame:
+    """All batches written so far, empty before the first one."""
+    reader = spark.read.schema(schema).option("basePath", log)
+    try:
+        return reader.parquet(log)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def start(
+    stream: DataFrame,
+    each_batch: Callable[[DataFrame, int], None],
+    checkpoint: str | None = None,
+    available_now: bool = True,
+    output_mode: str = "append",
+) -> StreamingQuery:
+    """Start a stream whose micro-batches go to ``each_batch``."""
+    location = checkpoint or new_path(stream.sparkSession, "streams")
+    writer = (
+        stream.writeStream.outputMode(output_mode)
+        .foreachBatch(each_batch)
+        .option("checkpointLocation", location)
+    )
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
