@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.plans import dataset_queries, scalar_queries  # noqa: F401
+from tidemark.plans import (  # noqa: F401
+    dataset_queries,
+    scalar_queries,
+    source_queries,
+    streaming_queries,
+    transfer_queries,
+)
 from tidemark.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]

@@ -18,11 +18,23 @@ from tidemark.operators.planning import lacks_metadata
 from tidemark.operators.verify import ERROR, finding
 from tidemark.sources.image_headers import image_dimensions
 
-_LISTING = "relative_path string, size_bytes bigint, sha256 string"
+_LISTING = "relative_path string, size_bytes bigint, sha256 string, content binary"
 _CHUNK = 1024 * 1024
 IMAGE_FAILED = "image_read_failed"
 
 
+def is_skipped(relative: str) -> bool:
+    """True when Spark's file readers leave a path out because of one of its names."""
+
+    def hidden(name: str) -> bool:
+        if name.startswith(("_metadata", "_common_metadata")):
+            return False
+        underscore = name.startswith("_") and "=" not in name
+        return underscore or name.startswith(".") or name.endswith("._COPYING_")
+
+    return any(hidden(name) for name in relative.split("/"))
+
+
 @dataclass
 class Branches(InputPartition):
     """Directories of one task: (path relative to the root, whether to descend)."""
@@ -38,6 +50,7 @@ class FileTreeReader(DataSourceReader):
         self.root = os.path.realpath(os.path.expanduser(options["root"]))
         self.state_dir = options.get("statedir", STATE_DIR)
         self.hash_files = options.get("hash", "false").lower() == "true"
+        self.skipped_only = options.get("skippedcontent", "false").lower() == "true"
         self.max_directories = int(options.get("maxdirectories", "20000"))
         self.splits = int(options.get("splits", "256"))
         if not os.path.isdir(self.root):
@@ -82,11 +95,21 @@ class FileTreeReader(DataSourceReader):
                 digest.update(chunk)
         return digest.hexdigest()
 
-    def read(self, partition: Branches) -> Iterator[tuple[str, int, str | None]]:
+    def _content(self, relative: str) -> bytes:
+        with open(os.path.join(self.root, relative), "rb") as handle:
+            return handle.read()
+
+    def read(
+        self, partition: Branches
+    ) -> Iterator[tuple[str, int, str | None, bytes | None]]:
         for relative, descend in partition.units:
             for path, entry in self._files(relative, descend):
-                digest = self._hash(path) if self.hash_files else None
-                yield path, entry.stat().st_size, digest
+                if self.skipped_only:
+                    if is_skipped(path):
+                        yield path, entry.stat().st_size, None, self._content(path)
+                else:
+                    digest = self._hash(path) if self.hash_files else None
+                    yield path, entry.stat().st_size, digest, None
 
 
 class FileTreeSource(DataSource):
@@ -104,6 +127,14 @@ class FileTreeSource(DataSource):
         return FileTreeReader({k.lower(): v for k, v in self.options.items()})
 
 
+def _tree(spark: SparkSession, root: str, state_dir: str, **flags: bool) -> DataFrame:
+    spark.dataSource.register(FileTreeSource)
+    reader = spark.read.format("filetree").option("root", root).option("stateDir", state_dir)
+    for name, value in flags.items():
+        reader = reader.option(name, str(value).lower())
+    return reader.load()
+
+
 def list_files(
     spark: SparkSession,
     root: str,
@@ -113,14 +144,7 @@ def list_files(
 ) -> DataFrame:
     """Manifest of one file tree. Content is read only with ``hash_files``, in chunks, so files
     larger than a column value can hold are hashed too."""
-    spark.dataSource.register(FileTreeSource)
-    listed = (
-        spark.read.format("filetree")
-        .option("root", root)
-        .option("stateDir", state_dir)
-        .option("hash", str(hash_files).lower())
-        .load()
-    )
+    listed = _tree(spark, root, state_dir, hash=hash_files)
     unknown = F.lit(None)
     return listed.select(
         F.lit(dataset_id).alias("dataset_id"),
@@ -133,14 +157,19 @@ def list_files(
     )
 
 
-def read_content(spark: SparkSession, root: str) -> DataFrame:
-    """Bytes of the files below ``root``. Hidden and empty files are missing here: join this to
-    the listing, which has them all."""
+def read_content(spark: SparkSession, root: str, state_dir: str = STATE_DIR) -> DataFrame:
+    """Bytes of the files below ``root``.
+
+    Spark's reader takes the bulk; the few names it skips come from the tree source. Empty files
+    are missing here: join this to the listing, as :func:`with_content` does.
+    """
     real = os.path.realpath(os.path.expanduser(root))
     read = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"file://{real}")
     )
-    return read.select(relative_path(real, F.col("path")).alias("relative_path"), "content")
+    usual = read.select(relative_path(real, F.col("path")).alias("relative_path"), "content")
+    skipped = _tree(spark, root, state_dir, skippedContent=True)
+    return usual.unionByName(skipped.select("relative_path", "content"))
 
 
 def with_content(files: DataFrame, contents: DataFrame) -> DataFrame:

@@ -26,14 +26,15 @@ def write_batch(rows: DataFrame, log: str, batch_id: int) -> None:
 
 
 def read_log(spark: SparkSession, log: str, schema: StructType | str) -> DataFrame:
-    """All batches written so far, empty before the first one."""
-    reader = spark.read.schema(schema).option("basePath", log)
+    """All batches written so far, empty before the first one. A ``batch_id`` in the schema is the
+    batch that wrote a row."""
+    empty = spark.createDataFrame([], schema)
     try:
-        return reader.parquet(log)
+        return spark.read.schema(schema).parquet(log).select(*empty.columns)
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty
 
 
 def start(
