@@ -11,7 +11,7 @@ from tidemark.functions.paths import component_order, content_type, is_image
 from tidemark.functions.sizes import fill_missing_number, fill_missing_text
 from tidemark.functions.text import strip
 from tidemark.operators.ordering import last_wins, number_rows
-from tidemark.operators.summary import sample_missing
+from tidemark.operators.summary import collect_first, sample_missing
 
 KEYS = ("dataset_id", "relative_path")
 MAX_BATCH = 1000
@@ -106,20 +106,37 @@ def unsigned_files(matched: DataFrame, k: int = 5) -> DataFrame:
 
 
 def upload_completeness(files: DataFrame, state: DataFrame, k: int = 5) -> DataFrame:
-    """Per dataset: files expected, not uploaded, uploaded but not streamed, with samples."""
-    split = resume_split(files.select(*KEYS), state)
-    counts = split.groupBy("dataset_id").agg(
-        F.count(F.lit(1)).alias("expected"),
-        F.count_if(F.col("status") == PENDING_UPLOAD).alias("uploaded_missing"),
-        F.count_if(F.col("status") == PENDING_STREAM).alias("streamed_missing"),
+    """Per dataset: files expected, not uploaded, uploaded but not streamed, with samples.
+
+    The total needs no join; of the joined rows only unfinished ones go on.
+    """
+    expected = files.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("expected"))
+    split = resume_split(files.select(*KEYS), state).where(F.col("status") != DONE)
+    keys = ["dataset_id", "status"]
+    order = component_order(F.col("relative_path"))
+    counts = split.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    unfinished = counts.join(
+        collect_first(split, keys, "relative_path", order, k, "sample"), keys
+    ).groupBy("dataset_id")
+
+    def of(status: str, value: str) -> Column:
+        return F.max(F.when(F.col("status") == status, F.col(value)))
+
+    found = unfinished.agg(
+        of(PENDING_UPLOAD, "n").alias("uploaded_missing"),
+        of(PENDING_STREAM, "n").alias("streamed_missing"),
+        of(PENDING_UPLOAD, "sample").alias("sample_uploaded_missing"),
+        of(PENDING_STREAM, "sample").alias("sample_streamed_missing"),
+    )
+    zero = F.lit(0)
+    return expected.join(found, "dataset_id", "left").select(
+        "dataset_id",
+        "expected",
+        F.coalesce("uploaded_missing", zero).alias("uploaded_missing"),
+        F.coalesce("streamed_missing", zero).alias("streamed_missing"),
+        "sample_uploaded_missing",
+        "sample_streamed_missing",
     )
-    for status, name in (
-        (PENDING_UPLOAD, "sample_uploaded_missing"),
-        (PENDING_STREAM, "sample_streamed_missing"),
-    ):
-        few = sample_missing(split.where(F.col("status") == status), k, name)
-        counts = counts.join(few, "dataset_id", "left")
-    return counts
 
 
 def lacks_metadata() -> Column:

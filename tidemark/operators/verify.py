@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from tidemark.functions.labels import (
     UNKNOWN_CLASS,
     UNKNOWN_MESSAGE,
-    classify_label,
+    class_value,
     is_blank,
-    label_numbers,
-    label_tokens,
+    is_odd,
+    is_short,
+    label_code,
+    label_coords,
+    label_message,
+    line_facts,
 )
 from tidemark.functions.paths import (
     expected_label_path,
@@ -161,15 +165,31 @@ def label_pairing(files: DataFrame) -> DataFrame:
     )
 
 
+def _checked_lines(label_lines: DataFrame) -> DataFrame:
+    """Non-blank lines with the facts the grammar needs.
+
+    They come out of generators: Catalyst does not copy their input into later filters, so each
+    search runs once per line however often its result is used.
+    """
+    lines = label_lines.where(~is_blank(F.col("raw")))
+    raw, plain = F.col("raw"), F.col("plain")
+    looked = lines.select("*", F.inline(F.array(line_facts(raw))))
+    faults = F.struct(is_short(raw, plain).alias("short"), is_odd(raw, plain).alias("odd"))
+    return looked.select("*", F.inline(F.array(faults)))
+
+
 def parse_labels(label_lines: DataFrame) -> DataFrame:
     """Label lines with ``code``, ``message``, ``class_value``, ``class_id`` and ``coords``."""
-    split = label_lines.where(~is_blank(F.col("raw"))).withColumn(
-        "_tokens", label_tokens(F.col("raw"))
-    )
-    parsed = split.withColumn("_numbers", label_numbers(F.col("_tokens"))).withColumn(
-        "_label", classify_label(F.col("_tokens"), F.col("_numbers"))
+    short, value = F.col("short"), class_value(F.col("odd"), F.col("first"))
+    usable = ~short & value.isNotNull()
+    return _checked_lines(label_lines).select(
+        *[c for c in label_lines.columns if c != "raw"],
+        label_code(short, value).alias("code"),
+        label_message(short, value).alias("message"),
+        F.when(usable, value).alias("class_value"),
+        F.when(usable, value.try_cast("bigint")).alias("class_id"),
+        F.when(usable, label_coords(F.col("raw"))).alias("coords"),
     )
-    return parsed.select(*[c for c in label_lines.columns if c != "raw"], "_label.*")
 
 
 def annotations(label_lines: DataFrame) -> DataFrame:

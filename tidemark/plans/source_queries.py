@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import imports as import_operators
+from tidemark.operators.classes import compact_class_ids
 from tidemark.plans.registry import query
 from tidemark.plans.trees import local_path, write_tree
 from tidemark.plans.views import STATE_DIR, table, view
@@ -158,7 +159,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("dataset_id"), F.lit("classes.txt").alias("path"), "text"
     )
-    return documents.class_catalog(texts)[0]
+    return compact_class_ids(documents.class_names(texts))
 
 
 def _class_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,7 +208,7 @@ _NAMED = """(SELECT CAST(floor(p_partkey / 40) AS BIGINT) AS block, p_partkey, p
       FROM {_NAMED} WHERE p_partkey % 7 <> 0 AND block % 6 IN (0, 2)""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.class_catalog(_class_documents(spark, sf_dir))[0]
+    return compact_class_ids(documents.class_names(_class_documents(spark, sf_dir)))
 
 
 @query(
@@ -219,7 +220,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM {_NAMED} WHERE block % 6 IN (1, 4, 5) GROUP BY block""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = documents.class_catalog(_class_documents(spark, sf_dir))[1]
+    found = documents.metadata_problems(_class_documents(spark, sf_dir))
     return found.select("dataset_id", "code", "path", "message")
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.labels import is_blank, split_lines
 from tidemark.functions.paths import CLASS_FILES, is_class_file
-from tidemark.functions.text import strip
 from tidemark.operators.classes import compact_class_ids
 from tidemark.operators.verify import ERROR, READ_FAILED, finding
 
@@ -63,7 +62,7 @@ def _names_of(text: str | None) -> dict[str, object]:
     if text is None:
         return {"names": [], "error": "metadata is not UTF-8 text"}
     try:
-        root = yaml.safe_load(text)
+        root = yaml.load(text, Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader))
     except (yaml.YAMLError, ValueError):
         return {"names": [], "error": "metadata is not valid YAML"}
     if not isinstance(root, dict):
@@ -97,40 +96,47 @@ def _yaml_names(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([_names_of(t) for t in batch], columns=["names", "error"])
 
 
-def _parsed_metadata(documents: DataFrame) -> DataFrame:
-    """Documents with ``names`` (keyed, unordered) and ``error``. Only YAML goes through Python."""
-    listed = documents.where(F.col("path").endswith(".txt"))
-    lines = F.transform(
-        F.filter(split_lines(F.col("text")), lambda s: strip(s) != ""),
-        lambda name, i: F.struct(i.cast("bigint").alias("name_key"), name.alias("raw_name")),
-    )
-    from_lines = listed.select(
-        "dataset_id",
-        "path",
-        F.coalesce(lines, F.array()).alias("names"),
-        F.when(F.col("text").isNull(), "metadata is not UTF-8 text")
-        .when(F.size(lines) == 0, F.concat("path", F.lit(" is empty")))
-        .alias("error"),
-    )
-    from_yaml = (
+def _listed(documents: DataFrame) -> DataFrame:
+    return documents.where(F.col("path").endswith(".txt"))
+
+
+def _yaml_parsed(documents: DataFrame) -> DataFrame:
+    """YAML documents with ``names`` (keyed, unordered) and ``error``: the only Python here."""
+    parse = F.pandas_udf(_yaml_names, _KEYED_NAMES)
+    return (
         documents.where(~F.col("path").endswith(".txt"))
-        .withColumn("_parsed", F.pandas_udf(_yaml_names, _KEYED_NAMES)("text"))
+        .withColumn("_parsed", parse("text"))
         .select("dataset_id", "path", "_parsed.names", "_parsed.error")
     )
-    return from_lines.unionByName(from_yaml)
 
 
 def class_names(documents: DataFrame) -> DataFrame:
-    """Keyed names of metadata documents, one row per name."""
-    named = _parsed_metadata(documents).where(F.col("error").isNull())
-    return named.select("dataset_id", F.inline("names"))
+    """Keyed names of metadata documents, one row per name; the key of a listed name is its line."""
+    lines = read_label_lines(_listed(documents)).select(
+        "dataset_id", F.col("line").alias("name_key"), F.col("raw").alias("raw_name")
+    )
+    named = _yaml_parsed(documents).where(F.col("error").isNull())
+    return lines.unionByName(named.select("dataset_id", F.inline("names")))
+
+
+def metadata_problems(documents: DataFrame) -> DataFrame:
+    """Findings for documents that cannot be used."""
+    text = F.col("text")
+    reason = F.when(text.isNull(), "metadata is not UTF-8 text").when(
+        is_blank(text), F.concat("path", F.lit(" is empty"))
+    )
+    empty = _listed(documents).select("dataset_id", "path", reason.alias("error"))
+    problems = empty.unionByName(_yaml_parsed(documents).drop("names"))
+    return finding(
+        problems.where(F.col("error").isNotNull()),
+        ERROR,
+        INVALID_METADATA,
+        path=F.col("path"),
+        message=F.col("error"),
+    )
 
 
 def class_catalog(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Class table of metadata documents (``dataset_id``, ``path``, ``text``), one per dataset,
     and findings for those that cannot be used."""
-    problems = _parsed_metadata(documents).where(F.col("error").isNotNull())
-    found = finding(
-        problems, ERROR, INVALID_METADATA, path=F.col("path"), message=F.col("error")
-    )
-    return compact_class_ids(class_names(documents)), found
+    return compact_class_ids(class_names(documents)), metadata_problems(documents)

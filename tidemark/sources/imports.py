@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.paths import relative_path
 from tidemark.functions.refs import compact_import
 from tidemark.functions.text import decode_utf8
 from tidemark.schemas import IMPORT_STATE
@@ -19,10 +20,19 @@ _ENTRY = (
 )
 
 
-def _documents(spark: SparkSession, pattern: str) -> DataFrame:
-    read = spark.read.format("binaryFile").load(pattern)
-    return read.select(
-        F.regexp_replace("path", r"^file:(//)?(?=/)", "").alias("path"),
+def _documents(spark: SparkSession, root: str, project: str | None = None) -> DataFrame:
+    """JSON files exactly one folder below ``root``, as text. The folder is listed as a tree: a
+    glob would make Spark look up every file by itself."""
+    read = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.json")
+        .load(f"{root}/{project}" if project else root)
+    )
+    path = F.regexp_replace("path", r"^file:(//)?(?=/)", "")
+    below = relative_path(root, F.col("path"))
+    return read.where(below.rlike(r"^[^/]+/[^/]+\z")).select(
+        path.alias("path"),
         F.col("modificationTime").alias("mtime"),
         decode_utf8(F.col("content")).alias("text"),
     )
@@ -71,10 +81,10 @@ def state_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_import_states(
-    spark: SparkSession, state_dir: str, project_segment: str = "*"
+    spark: SparkSession, state_dir: str, project_segment: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """States below ``<state_dir>/<project>/*.json``."""
-    return state_documents(_documents(spark, f"{state_dir}/{project_segment}/*.json"))
+    """States below ``<state_dir>/<project>/*.json``, of one project folder or of all."""
+    return state_documents(_documents(spark, state_dir, project_segment))
 
 
 def listed_imports(pages: DataFrame) -> DataFrame:
@@ -93,6 +103,6 @@ def listed_imports(pages: DataFrame) -> DataFrame:
 
 def read_server_imports(spark: SparkSession, listing_dir: str) -> DataFrame:
     """Listing pages landed as ``<listing_dir>/<project>/*.json``."""
-    pages = _documents(spark, f"{listing_dir}/*/*.json")
+    pages = _documents(spark, listing_dir)
     project = F.regexp_extract("path", "([^/]+)/[^/]+$", 1)
     return listed_imports(pages.select(project.alias("project_id"), "path", "text"))
