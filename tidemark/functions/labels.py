@@ -69,7 +69,7 @@ def label_coords(raw: Column) -> Column:
     """Numbers of a valid line after its class. The spelling was checked before, so one cast of
     the whole array does, but for signed nan, which the cast refuses."""
     tokens = label_tokens(F.replace(raw, F.lit("_"), F.lit("")))
-    rest = F.slice(tokens, F.lit(2), F.size(tokens) - 1)
+    rest = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0)))
     return F.when(raw.rlike("(?i)[+-]nan"), label_numbers(rest)).otherwise(
         rest.try_cast("array<double>")
     )

@@ -68,13 +68,6 @@ def is_yolo() -> Column:
     return F.lower(strip(F.col("format"))) == "yolo"
 
 
-def yolo_files(datasets: DataFrame, files: DataFrame) -> DataFrame:
-    """Files of the datasets the label rules apply to."""
-    return lookup(
-        files, datasets.where(is_yolo()).select("dataset_id"), "dataset_id", "relative_path", "inner"
-    )
-
-
 def no_images(datasets: DataFrame, files: DataFrame) -> DataFrame:
     """Datasets without images: below images/ for YOLO, anywhere for the other formats."""
     path = F.col("relative_path")
@@ -259,8 +252,13 @@ REPORT_ORDER = ("dataset_id", "rule_order", "path", "line_order")
 def dataset_findings(
     datasets: DataFrame, files: DataFrame, classes: DataFrame, label_lines: DataFrame
 ) -> DataFrame:
-    """Every rule over many datasets at once."""
-    yolo = yolo_files(datasets, files)
+    """Every rule over many datasets at once.
+
+    Files are paired before the format is looked up: only unmatched ones meet the datasets then,
+    and the manifest is shuffled for the pairing alone.
+    """
+    yolo = datasets.where(is_yolo()).select("dataset_id")
+    unmatched = lookup(label_pairing(files), yolo, "dataset_id", "path", "inner")
     named = classes.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n"))
     counts = (
         datasets.where(is_yolo())
@@ -270,7 +268,7 @@ def dataset_findings(
     return findings(
         no_images(datasets, files),
         missing_class_names(datasets, files, classes),
-        label_pairing(yolo),
+        unmatched,
         label_findings(label_lines, counts),
     )
 
