@@ -14,6 +14,7 @@ from tidemark.functions.paths import STATE_DIR, is_label, safe_segment
 from tidemark.operators import imports as import_operators
 from tidemark.operators import parts, planning, summary, verify
 from tidemark.schemas import CLASSES, FORMATS
+from tidemark.shared import write_and_read
 from tidemark.sources import documents, filetree, imports
 
 
@@ -51,14 +52,17 @@ def open_tree(
     max_files: int | None = None,
     max_samples: int | None = None,
 ) -> Tree:
-    """Tables of one file tree. Class names come from the whole tree, whatever the limits are."""
+    """Tables of one file tree. Class names come from the whole tree, whatever the limits are.
+
+    The tree is listed once, when called, and that listing is what every later step sees.
+    """
     fmt = fmt.strip().lower()
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {', '.join(FORMATS)}")
     for name, value in (("max_files", max_files), ("max_samples", max_samples)):
         if value is not None and value <= 0:
             raise ValueError(f"{name} must be greater than 0")
-    every = filetree.list_files(spark, root, dataset_id, state_dir)
+    every = write_and_read(filetree.list_files(spark, root, dataset_id, state_dir))
     contents = filetree.read_content(spark, root, state_dir)
     datasets = every.sparkSession.range(1).select(
         F.lit(dataset_id).alias("dataset_id"), F.lit(root).alias("source"), F.lit(fmt).alias("format")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.paths import relative_path
@@ -38,7 +38,7 @@ def _documents(spark: SparkSession, root: str, project: str | None = None) -> Da
     )
 
 
-def is_json_object(text: F.Column) -> F.Column:
+def is_json_object(text: Column) -> Column:
     """True for one well-formed JSON object, false for anything else."""
     kind = F.schema_of_variant(F.try_parse_json(text))
     return F.coalesce(kind.startswith("OBJECT"), F.lit(False))
