@@ -6,6 +6,7 @@ import pytest
 from check_one import compare, duck
 
 import __spark_entry__ as entry_module
+from tidemark.plans import all_queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,13 +16,14 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(all_queries.QUERIES))
 def test_query_matches_sql(spark, con, name):
     assert compare(spark, con, SF, name) is None
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(all_queries.QUERIES) == set(all_queries.CHECKS)
+    assert set(all_queries.QUERIES) <= set(entry_module.queries())
 
 
 def test_entry_has_rows(spark):
