@@ -24,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm import pretokens
-from tidemark.llm.common import chunks, keyed_text, pack_lists, per_batch, text_bytes
+from tidemark.llm.common import chunks, keyed_text, pack_lists, text_bytes
 
-#: Bytes of text that are cut into words at once.
-AT_ONCE = 2 << 20
+#: Bytes of text that are cut into words at once, and whose words are encoded together.
+AT_ONCE, TOGETHER = 1 << 19, 8 << 20
 
 
 def byte_characters() -> list[str]:
@@ -193,6 +193,19 @@ class TextEncoder:
             total += int(upto[-1])
         return np.concatenate(ids), np.concatenate(ends)
 
+    def encode_batches(
+        self, batches: Iterator[pa.RecordBatch]
+    ) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+        """(ids of rows, ids of tokens, where each row's begin) for parts of batches (id, text)."""
+        for batch in batches:
+            flat, rows = text_bytes(batch.column("text"))
+            for a, b in chunks(rows, TOGETHER):
+                part = flat[rows[a] : rows[b]]
+                if self.table.full(len(part) // 16):
+                    self.table.clear()
+                ids, offsets = self.encode(part, rows[a : b + 1] - rows[a])
+                yield batch.column("id").slice(a, b - a), ids, offsets
+
     def _put_special(
         self, ids: np.ndarray, upto: np.ndarray, begin: np.ndarray, marked: dict[int, bytes]
     ) -> tuple[np.ndarray, np.ndarray]:
@@ -210,11 +223,6 @@ class TextEncoder:
         ids, counts = self.encode_words(flat[pretokens.spans(begin, length)], length)
         self.table.add(codes, ids, counts)
 
-    def make_room(self, text_size: int) -> None:
-        """Empty the table if this much text might not fit. Call it between batches."""
-        if self.table.full(text_size // 16):
-            self.table.clear()
-
 
 @cache
 def spelling(path: str) -> PairIndexEncoder:
@@ -234,16 +242,12 @@ def encode(
 ) -> DataFrame:
     """(id, ids array<int>) of every row of ``docs``. ``vocabulary`` is a file all workers read."""
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(vocabulary)
-        flat, rows = text_bytes(batch.column("text"))
-        own.make_room(len(flat))
-        ids, offsets = own.encode(flat, rows)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("id"), pack_lists(ids, offsets, pa.int32())], ["id", "ids"]
-        )
-
-    return keyed_text(docs, id_col, text_col).mapInArrow(per_batch(work), "id long, ids array<int>")
+        for first, ids, offsets in own.encode_batches(batches):
+            yield pa.RecordBatch.from_arrays([first, pack_lists(ids, offsets, pa.int32())], ["id", "ids"])
+
+    return keyed_text(docs, id_col, text_col).mapInArrow(work, "id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:

@@ -134,7 +134,7 @@ class IdTable:
     Two different pre-tokens share a 63-bit hash with a chance of about n**2 / 2**64.
     """
 
-    def __init__(self, slots: int = 1 << 22) -> None:
+    def __init__(self, slots: int = 1 << 21) -> None:
         self.slots = slots
         self.clear()
 
