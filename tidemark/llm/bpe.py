@@ -27,7 +27,7 @@ from tidemark.llm import pretokens
 from tidemark.llm.common import chunks, keyed_text, pack_lists, text_bytes
 
 #: Bytes of text that are cut into words at once, and whose words are encoded together.
-AT_ONCE, TOGETHER = 1 << 19, 8 << 20
+AT_ONCE, TOGETHER = 1 << 19, 4 << 20
 
 
 def byte_characters() -> list[str]:

@@ -29,6 +29,8 @@ from tidemark.llm.common import keyed_text, pack_lists
 
 #: Ids in a block, where a document doesn't make it longer.
 BLOCK = 1 << 17
+#: Words given to the library at once.
+WORDS = 4096
 #: A pair must occur this often in a block to become a rule; rounds of replacement.
 LEAST, ROUNDS = 12, 8
 
@@ -176,10 +178,14 @@ def library_encoder(path: str) -> TextEncoder:
 
     def encode_words(letters: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raw, ends = letters.tobytes(), np.concatenate([[0], np.cumsum(lengths)]).tolist()
-        words = [raw[a:b].decode() for a, b in zip(ends, ends[1:], strict=False)]
-        made = [e.ids for e in own.encode_batch_fast(words, add_special_tokens=False)]
-        counts = np.array([len(m) for m in made], np.int64)
-        return np.array([i for m in made for i in m], np.int32), counts
+        ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for k in range(0, len(lengths), WORDS):
+            some = ends[k : k + WORDS + 1]
+            words = [raw[a:b].decode() for a, b in zip(some, some[1:], strict=False)]
+            made = [e.ids for e in own.encode_batch_fast(words, add_special_tokens=False)]
+            counts.append(np.array([len(m) for m in made], np.int64))
+            ids.append(np.array([i for m in made for i in m], np.int32))
+        return np.concatenate(ids), np.concatenate(counts)
 
     return TextEncoder(encode_words, special)
 
