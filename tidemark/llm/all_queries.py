@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import op6_query, op7_query, op8_query, op9_query  # noqa: F401
+from tidemark.llm import (  # noqa: F401
+    op1_query,
+    op5_query,
+    op6_query,
+    op7_query,
+    op8_query,
+    op9_query,
+)
 from tidemark.llm.queries import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]

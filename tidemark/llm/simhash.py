@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import chunks, keyed_text, mix, partitions, text_bytes
 from tidemark.llm.words import shingle_hashes, word_hashes
 
-BITS = 128
+BITS = 256
 WIDTH = 3
 AT_ONCE = 1 << 19
 
@@ -45,11 +45,12 @@ def fingerprints(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             continue
         present, begin = np.unique(row_of, return_index=True)
         votes = np.diff(np.append(begin, len(terms)))[:, None]
-        sides = [terms, mix(terms + np.uint64(0x9E3779B97F4A7C15))]
-        for k, side in enumerate(sides):
+        side = terms
+        for k in range(BITS // 64):
             bits = np.unpackbits(side.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
             won = 2 * np.add.reduceat(bits, begin, axis=0, dtype=np.int32) > votes
             made[a + present, 8 * k : 8 * k + 8] = np.packbits(won, axis=1)
+            side = mix(side + np.uint64(0x9E3779B97F4A7C15))
     return made
 
 
