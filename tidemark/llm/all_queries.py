@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm import (  # noqa: F401
     op1_query,
     op10_query,
+    op2_query,
     op3_query,
     op4_query,
     op5_query,
