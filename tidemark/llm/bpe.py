@@ -27,7 +27,7 @@ from tidemark.llm import pretokens
 from tidemark.llm.common import chunks, keyed_text, pack_lists, text_bytes
 
 #: Bytes of text that are cut into words at once, and whose words are encoded together.
-AT_ONCE, TOGETHER = 1 << 19, 4 << 20
+AT_ONCE, TOGETHER = 1 << 18, 2 << 20
 
 
 def byte_characters() -> list[str]:
@@ -84,10 +84,10 @@ class PairIndexEncoder:
         size = len(symbols)
         if not size:
             return symbols, lengths
-        word_of = np.repeat(np.arange(len(lengths)), lengths)
-        following = np.arange(1, size + 1)
+        word_of = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        following = np.arange(1, size + 1, dtype=np.int32)
         following[np.flatnonzero(np.append(word_of[1:] != word_of[:-1], True))] = -1
-        before = np.arange(-1, size - 1)
+        before = np.arange(-1, size - 1, dtype=np.int32)
         before[np.flatnonzero(np.append(True, word_of[1:] != word_of[:-1]))] = -1
         alive = np.ones(size, bool)
         index: dict[int, list[np.ndarray]] = defaultdict(list)

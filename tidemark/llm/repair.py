@@ -13,7 +13,6 @@ looked at. A very long text is a block of its own.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -25,14 +24,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.bpe import TextEncoder
-from tidemark.llm.common import keyed_text, pack_lists
+from tidemark.llm.common import keyed_text
 
 #: Ids in a block, where a document doesn't make it longer.
 BLOCK = 1 << 17
 #: Words given to the library at once.
 WORDS = 4096
 #: A pair must occur this often in a block to become a rule; rounds of replacement.
-LEAST, ROUNDS = 12, 8
+LEAST, ROUNDS = 16, 6
 
 SCHEMA = (
     "shard int, block long, ids_before long, n_ids long, doc_ids array<long>, "
@@ -53,7 +52,12 @@ def replace_pairs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         if len(sequence) < 2 * LEAST:
             break
         keys = sequence[:-1] << 32 | sequence[1:]
-        ordered = np.sort(keys)
+        # a frequent pair is in a bucket that is at least as full: only those are sorted
+        bucket = (sequence[:-1] * 0x9E3779B1 + sequence[1:] * 0x85EBCA77) >> 7 & (1 << 17) - 1
+        full = np.bincount(bucket, minlength=1 << 17) >= LEAST
+        ordered = np.sort(keys[full[bucket]])
+        if not len(ordered):
+            break
         edges = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
         counts = np.diff(np.append(edges, len(ordered)))
         often = np.flatnonzero(counts >= LEAST)
@@ -266,7 +270,8 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """(id, start, ids) of every document, decoded from the files."""
+    """(id, start, ids) of every document, decoded from the files; ids are little-endian unsigned
+    32-bit integers one after the other."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,41 +279,18 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                 at, keys, sizes, rules, lengths, sequence = (c[row] for c in batch.columns)
                 ids = Block(rules.as_py(), lengths.as_py(), sequence.as_py()).ids()
                 ends = np.concatenate([[0], np.cumsum(sizes.values.to_numpy())])
+                raw, cuts = ids.astype("<u4").tobytes(), (4 * ends).tolist()
+                packed = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         keys.values,
                         pa.array(at.as_py() + ends[:-1], pa.int64()),
-                        pack_lists(ids, ends, pa.int32()),
+                        pa.array(packed, pa.binary()),
                     ],
                     ["id", "start", "ids"],
                 )
 
     blocks = read_blocks(spark, path)
     return blocks.select("start", "doc_ids", "doc_sizes", "rules", "lengths", "sequence").mapInArrow(
-        decode, "id long, start long, ids array<int>"
-    )
-
-
-def crc32_of_ids(decoded: DataFrame) -> DataFrame:
-    """(id, start, n_ids, crc32) with the unsigned CRC of the ids as little-endian 32-bit integers."""
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("ids")
-            ends = ids.offsets.to_numpy()
-            flat = memoryview(ids.values.to_numpy().astype("<u4").tobytes())
-            bounds = (ends * 4).tolist()
-            made = [zlib.crc32(flat[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    batch.column("start"),
-                    pa.array(np.diff(ends), pa.int64()),
-                    pa.array(made, pa.int64()),
-                ],
-                ["id", "start", "n_ids", "crc32"],
-            )
-
-    return decoded.select("id", "start", "ids").mapInArrow(
-        digest, "id long, start long, n_ids long, crc32 long"
+        decode, "id long, start long, ids binary"
     )

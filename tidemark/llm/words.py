@@ -22,7 +22,7 @@ _LOWER[65:91] += 32
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """At least ``size`` powers of the base, and of its inverse modulo 2**64."""
-    return _powers(1 << max(20, size.bit_length()))
+    return _powers(1 << max(18, size.bit_length()))
 
 
 @cache
