@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tidemark.llm import (  # noqa: F401
     op1_query,
     op10_query,
@@ -14,6 +15,8 @@ from tidemark.llm import (  # noqa: F401
     op8_query,
     op9_query,
 )
-from tidemark.llm.queries import CHECKS, QUERIES
+from tidemark.llm.queries import CHECKS, QUERIES, query
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
 
 __all__ = ["CHECKS", "QUERIES"]

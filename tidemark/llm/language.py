@@ -220,16 +220,15 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(grid[int(np.argmin(loss))])
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` (columns id, text and any others) with lang_pred and score."""
+def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """(row, lang_pred, score): every row of ``docs`` as a struct, its language and how sure."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
-    names = docs.columns
+        return rows.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text")
-            _, offsets = text_bytes(texts.fill_null(""))
+            _, offsets = text_bytes(batch.column("text").fill_null(""))
             for a, b in chunks(offsets, 4 << 20):
                 part = batch.slice(a, b - a)
                 lang, score = [], []
@@ -243,12 +242,12 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                         lang.append(model.languages[best] if seen else UNKNOWN)
                         score.append(float(p[best]) if seen else 0.0)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                    [*names, "lang_pred", "score"],
+                    [part.column("row"), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                    ["row", "lang_pred", "score"],
                 )
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(work, f"{kept}, lang_pred string, score double")
+    kept = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(work, f"row {kept}, lang_pred string, score double")
 
 
 def is_held_out(id_column: Column) -> Column:

@@ -14,10 +14,10 @@ from tidemark.llm.queries import query
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = language.fit(language.learning_rows(docs))
-    found = language.predict(docs.select(F.col("doc_id").alias("id"), "text"), model)
+    found = language.predict(docs.select("doc_id", "text"), model)
     return found.select(
-        F.col("id").alias("doc_id"),
-        language.is_held_out(F.col("id")).alias("held_out"),
+        "row.doc_id",
+        language.is_held_out(F.col("row.doc_id")).alias("held_out"),
         "lang_pred",
         "score",
     )

@@ -90,17 +90,52 @@ def scan(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES
     return todo.where(F.size("rules") > 0).select("blob", "rules", F.concat(*found).alias("spans"))
 
 
-def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(id, spans): what the ledger holds for each row (id, text) of ``versions``, of the newest
-    scan of each rule, by start and then by the order of the rules."""
-    current = {r.key for r in rules}
-    newest = F.array(*map(F.lit, sorted(current)))
-    found = (
-        ledger.where(F.arrays_overlap("rules", newest) & (F.size("spans") > 0))
+def known_spans(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(blob, spans) of the blobs with findings of these rule versions, by start and then by the
+    order of the rules."""
+    current = F.array(*(F.lit(r.key) for r in rules))
+    return (
+        ledger.where(F.arrays_overlap("rules", current) & (F.size("spans") > 0))
         .groupBy("blob")
         .agg(F.array_distinct(F.sort_array(F.flatten(F.collect_list("spans")))).alias("spans"))
     )
-    found = write_and_read(found, "findings")
+
+
+def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(id, blob, spans): what the ledger holds for each row (id, text) of ``versions``."""
+    found = write_and_read(known_spans(ledger, rules), "findings")
     rows = versions.select("id", F.sha2("text", 256).alias("blob"))
     none = F.array().cast(SPANS)
     return rows.join(found, "blob", "left").select("id", "blob", F.coalesce("spans", none).alias("spans"))
+
+
+def redacted(text: Column, spans: Column, mark: str) -> Column:
+    """``text`` with every span, or run of spans that touch, replaced by ``mark``."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+        apart = (s["start"] > acc["at"]) | (acc["out"] == "")
+        return F.struct(
+            F.greatest(acc["at"], s["stop"]).alias("at"),
+            F.when(apart, F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"),
+        )
+
+    def finish(acc: Column) -> Column:
+        return F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.lit(2**31 - 1)))
+
+    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, finish)).otherwise(text)
+
+
+def redact(
+    docs: DataFrame, ledger: DataFrame, mark: str = "[SECRET]", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with the secrets that the ledger holds for its texts replaced. A null text stays."""
+    found = write_and_read(known_spans(ledger), "findings")
+    blob = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
+    rows = docs.select(F.struct("*").alias("row"), blob.alias("blob")).join(found, "blob", "left")
+    text = F.col(f"row.{text_col}")
+    clean = F.when(F.col("spans").isNull(), text).otherwise(redacted(text, F.col("spans"), mark))
+    return rows.select("row.*", clean.alias("_clean")).select(
+        *(F.col("_clean").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns)
+    )
