@@ -27,14 +27,15 @@ from tidemark.shared import write_and_read
 #: Documents in a block; slots that a period has about; exponent that tempers natural sizes.
 BLOCK, RESOLUTION, TEMPER = 16, 1000, 0.7
 #: Rows that are numbered together, about.
-GROUP = 4096
+GROUP = 256
 
 
 def numbered(docs: DataFrame, id_col: str, source_col: str) -> DataFrame:
     """``docs`` with _source and _number, the place of a row in its source from 0.
 
-    Rows are numbered in groups of about ``GROUP`` by the first digits of the hash, and the groups of
-    a source are added up, so no source is ever in one place.
+    Rows are numbered in groups of about ``GROUP`` by the first digits of the hash. The sizes of the
+    groups are added up in two steps, by the first half of those digits and then inside each, so no
+    source and no long list of groups is ever in one place.
     """
     total = docs.count()
     digits = max(0, math.ceil(math.log(max(total, 1) / GROUP, 16)))
@@ -46,9 +47,14 @@ def numbered(docs: DataFrame, id_col: str, source_col: str) -> DataFrame:
         F.substring(code, 1, digits).alias("_group"),
     )
     sizes = rows.groupBy("_source", "_group").agg(F.count("*").alias("_size"))
-    earlier = Window.partitionBy("_source").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_part", F.substring("_group", 1, digits // 2))
+    parts = sizes.groupBy("_source", "_part").agg(F.sum("_size").alias("_size"))
+    parts = parts.select("_source", "_part", _sum_before(["_source"], "_part").alias("_first"))
     sizes = sizes.select(
-        "_source", "_group", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
+        "_source", "_part", "_group", _sum_before(["_source", "_part"], "_group").alias("_then")
+    )
+    sizes = sizes.join(parts, ["_source", "_part"]).select(
+        "_source", "_group", (F.col("_first") + F.col("_then")).alias("_before")
     )
     inside = Window.partitionBy("_source", "_group").orderBy("_code", id_col)
     rows = rows.withColumn("_place", F.row_number().over(inside) - 1)
@@ -58,6 +64,11 @@ def numbered(docs: DataFrame, id_col: str, source_col: str) -> DataFrame:
     )
 
 
+def _sum_before(keys: list[str], order: str) -> Column:
+    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+
+
 def tempered(sizes: DataFrame, exponent: float = TEMPER, resolution: int = RESOLUTION) -> DataFrame:
     """(_source, w): whole weights in proportion to a power of the sizes, 1 at least."""
     whole = Window.partitionBy()
