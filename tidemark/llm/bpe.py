@@ -250,23 +250,44 @@ def encode(
     return keyed_text(docs, id_col, text_col).mapInArrow(work, "id long, ids array<int>")
 
 
+def _spelled(
+    own: PairIndexEncoder, keys: pa.Array, ids: np.ndarray, offsets: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """(id, ids, text) of rows of ids, some hundreds at a time."""
+    for a in range(0, len(keys), 512):
+        part = offsets[a : min(a + 512, len(keys)) + 1]
+        flat = ids[part[0] : part[-1]]
+        texts = own.decode(flat, part - part[0])
+        lists = pack_lists(flat, part - part[0], pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [keys.slice(a, len(part) - 1), lists, pa.array(texts, pa.string())], ["id", "ids", "text"]
+        )
+
+
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """(id, ids, text): the ids spelled out again, special tokens included. Null ids are no ids."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = spelling(vocabulary)
         for batch in batches:
             ids = batch.column("ids")
             ids = ids.fill_null([]) if ids.null_count else ids
             offsets = ids.offsets.to_numpy()
-            flat = ids.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
-            for a in range(0, len(ids), 512):
-                b = min(a + 512, len(ids))
-                part = offsets[a : b + 1] - offsets[0]
-                texts = own.decode(flat[part[0] : part[-1]], part - part[0])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id")[a:b], batch.column("ids")[a:b], pa.array(texts, pa.string())],
-                    ["id", "ids", "text"],
-                )
+            flat = ids.values.to_numpy(zero_copy_only=False)
+            yield from _spelled(spelling(vocabulary), batch.column("id"), flat, offsets)
 
     return encoded.select("id", "ids").mapInArrow(spell, "id long, ids array<int>, text string")
+
+
+def round_trip(
+    docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(id, ids, text): :func:`encode` and then :func:`decode`, in one worker for each task."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, ids, offsets in encoder(vocabulary).encode_batches(batches):
+            yield from _spelled(spelling(vocabulary), keys, ids, offsets)
+        pa.default_memory_pool().release_unused()
+
+    return keyed_text(docs, id_col, text_col).mapInArrow(
+        work, "id long, ids array<int>, text string"
+    )

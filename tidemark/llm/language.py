@@ -31,6 +31,8 @@ PER_LANGUAGE, SHARDS, EPOCHS = 3000, 4, 2
 #: Step size, its smoothing, and the two penalties of the elastic net.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.05, 0.02
 UNKNOWN = "und"
+#: Letters whose n-grams are counted at once, in 16 texts at most.
+LETTERS = 1 << 17
 
 
 @dataclass
@@ -45,8 +47,9 @@ class Model:
 def counts_of(texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
     """(first row, counts (rows, BUCKETS)) of n-grams, for a few texts at a time."""
     table = class_table()
-    for first in range(0, len(texts), 32):
-        some = texts[first : first + 32]
+    ends = np.concatenate([[0], np.cumsum([max(len(t), LETTERS // 16) for t in texts])])
+    for first, last in chunks(ends, LETTERS):
+        some = texts[first:last]
         counts = np.zeros(len(some) * BUCKETS, np.int64)
         rows, points = [], []
         for row, text in enumerate(some):
@@ -94,7 +97,7 @@ def document_frequencies(learning: DataFrame) -> tuple[np.ndarray, int]:
         seen = np.zeros(BUCKETS + 1, np.int64)
         for batch in batches:
             _, offsets = text_bytes(batch.column("text"))
-            for a, b in chunks(offsets, 4 << 20):
+            for a, b in chunks(offsets, 2 << 20):
                 for _, counts in counts_of(batch.column("text")[a:b].to_pylist()):
                     seen[:-1] += (counts > 0).sum(axis=0)
                     seen[-1] += len(counts)
@@ -222,17 +225,18 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """(row, lang_pred, score): every row of ``docs`` as a struct, its language and how sure."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.struct("*").alias("row"))
     if model is None:
         return rows.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, offsets = text_bytes(batch.column("text").fill_null(""))
-            for a, b in chunks(offsets, 4 << 20):
+            texts = batch.column("row").field(text_col).cast(pa.string())
+            _, offsets = text_bytes(texts.fill_null(""))
+            for a, b in chunks(offsets, 2 << 20):
                 part = batch.slice(a, b - a)
                 lang, score = [], []
-                some = [t or "" for t in part.column("text").to_pylist()]
+                some = [t or "" for t in texts[a:b].to_pylist()]
                 for _, counts in counts_of(some):
                     for row in counts:
                         at, value = features(row, model.idf)

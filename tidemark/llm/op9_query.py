@@ -16,7 +16,7 @@ VOCABULARY = "byte_bpe_50k.json"
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row."""
     path = public_tokenizers.path(VOCABULARY)
-    decoded = bpe.decode(bpe.encode(docs, path), path)
+    decoded = bpe.round_trip(docs, path)
     return decoded.select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),

@@ -134,7 +134,7 @@ class IdTable:
     Two different pre-tokens share a 63-bit hash with a chance of about n**2 / 2**64.
     """
 
-    def __init__(self, slots: int = 1 << 21) -> None:
+    def __init__(self, slots: int = 1 << 20) -> None:
         self.slots = slots
         self.clear()
 
@@ -146,7 +146,7 @@ class IdTable:
         self.ids = np.zeros(0, np.int32)
 
     def full(self, more: int) -> bool:
-        return len(self.begin) + more > self.slots // 2
+        return len(self.begin) + more > self.slots * 3 // 4
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
         """The entry of each hash, -1 if there is none."""

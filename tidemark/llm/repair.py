@@ -246,6 +246,7 @@ def write_ids(
                     keys, sizes, ids = [], [], []
         if held:
             yield flush()
+        pa.default_memory_pool().release_unused()
 
     text = keyed_text(docs, id_col, text_col)
     sorted_text = text.repartitionByRange("id").sortWithinPartitions("id", "text")
