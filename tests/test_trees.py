@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -13,8 +14,9 @@ from pyspark.sql import functions as F
 from tidemark.operators.verify import REPORT_ORDER
 from tidemark.plans import jobs
 from tidemark.sources import filetree
+from tidemark.sources.image_headers import measure_file
 
-LABEL = "0 0.5 0.5 0.25 0.25\n"
+LABEL = "0 0.31 0.62 0.2 0.17\n"
 PNG = bytes.fromhex("89504e470d0a1a0a0000000d49484452") + (640).to_bytes(4, "big") + (
     480
 ).to_bytes(4, "big")
@@ -28,7 +30,7 @@ def build(root: Path, files: dict[str, str | bytes]) -> str:
     return str(root)
 
 
-SMALL = {"images/train/a.jpg": "not-a-real-image", "labels/train/a.txt": LABEL, "classes.txt": "aircraft\n"}
+SMALL = {"images/run/k7.jpg": "pixels", "labels/run/k7.txt": LABEL, "classes.txt": "heron\n"}
 
 
 def test_listing_keeps_hidden_and_empty_files(spark, tmp_path):
@@ -50,7 +52,7 @@ def test_listing_keeps_hidden_and_empty_files(spark, tmp_path):
     want = {n for n in files if ".transfer-state" not in n} | {"link.txt"}
     listed = filetree.list_files(spark, root, "d")
     assert {r.relative_path for r in listed.collect()} == want
-    read = filetree.with_content(listed, filetree.read_content(spark, root))
+    read = filetree.read_content(listed, root)
     got = {r.relative_path: bytes(r.content) for r in read.collect()}
     assert set(got) == want
     for name, content in files.items():
@@ -58,26 +60,61 @@ def test_listing_keeps_hidden_and_empty_files(spark, tmp_path):
             assert got[name] == (content.encode() if isinstance(content, str) else content)
 
 
-def test_listing_splits_directories_and_walks_deep_ones(tmp_path):
-    files = {f"d{i}/e{j}/f.txt": "x" for i in range(4) for j in range(3)}
-    root = build(tmp_path, files)
-    for limit in ("1", "6", "1000"):
-        reader = filetree.FileTreeReader({"root": root, "maxdirectories": limit, "splits": "3"})
-        parts = reader.partitions()
-        seen = [row[0] for p in parts for row in reader.read(p)]
-        assert sorted(seen) == sorted(files)
-        assert len(parts) <= 3
-
-
-def test_root_must_be_a_directory(tmp_path):
-    with pytest.raises(ValueError, match="not a directory"):
-        filetree.FileTreeReader({"root": str(tmp_path / "none")})
+def test_flat_folder_is_read_in_many_tasks(spark, tmp_path):
+    names = [f"images/train/{k:05}.jpg" for k in range(5000)] + ["a/b/c/d/e.txt"]
+    root = build(tmp_path, {name: name for name in names})
+    listed = filetree.list_files(spark, root, "d", hash_files=True)
+    rows = listed.select("relative_path", "sha256", F.spark_partition_id().alias("task")).collect()
+    assert {r.relative_path: r.sha256 for r in rows} == {
+        n: hashlib.sha256(n.encode()).hexdigest() for n in names
+    }
+    sizes = Counter(r.task for r in rows)
+    assert len(sizes) > spark.sparkContext.defaultParallelism
+    assert max(sizes.values()) < 2 * len(names) / len(sizes)
+
+
+def test_root_must_be_a_mounted_folder(spark, tmp_path):
+    with pytest.raises(ValueError, match="no such folder"):
+        filetree.list_files(spark, str(tmp_path / "none"), "d")
+    for root in ("s3://bucket/x", "hdfs://host/x", "s3a:/x"):
+        with pytest.raises(ValueError, match="mounted"):
+            filetree.list_files(spark, root, "d")
+
+
+def test_unneeded_files_are_not_read(spark, tmp_path):
+    """An image beyond what a column holds, and one that is gone, stop no job that needs neither."""
+    root = build(tmp_path, SMALL | {"images/run/gone.jpg": "x", "labels/run/gone.txt": LABEL})
+    with open(tmp_path / "images" / "run" / "k7.jpg", "wb") as file:
+        file.truncate(3 << 30)
+    assert jobs.inspect_tree(spark, root).first().image_count == 2
+    tree = jobs.open_tree(spark, root)
+    os.remove(tmp_path / "images" / "run" / "gone.jpg")
+    verdict, _ = jobs.verify_tree(spark, root)
+    assert verdict.first().status == "ok"
+    known = F.when(F.col("relative_path").endswith(".jpg"), "known")
+    files = tree.files.withColumns({"sha256": known, "width": F.lit(3), "height": F.lit(4)})
+    rows = {r.relative_path: r for r in filetree.add_missing_metadata(files, root).collect()}
+    assert rows["images/run/gone.jpg"].error is None and rows["images/run/k7.jpg"].sha256 == "known"
+    assert rows["classes.txt"].sha256 == hashlib.sha256(b"heron\n").hexdigest()
+    content = {r.relative_path: r.content for r in filetree.read_content(tree.files, root).collect()}
+    assert content["images/run/k7.jpg"] is None and content["images/run/gone.jpg"] is None
+    lost = filetree.add_missing_metadata(tree.files.where("relative_path like '%gone.jpg'"), root)
+    assert "cannot be read" in lost.first().error
+
+
+def test_jpeg_segments_are_skipped(tmp_path):
+    path = tmp_path / "long.jpg"
+    comment = b"\xff\xfe\xff\xff" + b"c" * 65533
+    path.write_bytes(b"\xff\xd8" + comment * 40 + b"\xff\xc0\x00\x11\x08" + bytes([1, 2, 3, 4]))
+    assert measure_file(str(path)) == (772, 258, None)
+    path.write_bytes(b"\xff\xd8" + comment)
+    assert measure_file(str(path))[2] == "no dimensions: no JPEG frame"
 
 
 def test_metadata_is_read_only_where_missing(spark, tmp_path):
     root = build(tmp_path, {"images/a.png": PNG, "images/b.jpg": "bad", "notes/_n.md": "text"})
     files = filetree.list_files(spark, root, "d")
-    described = filetree.add_missing_metadata(files, filetree.read_content(spark, root))
+    described = filetree.add_missing_metadata(files, root)
     rows = {r.relative_path: r for r in described.collect()}
     assert (rows["images/a.png"].width, rows["images/a.png"].height) == (640, 480)
     assert rows["images/b.jpg"].width is None and rows["images/b.jpg"].error
@@ -89,8 +126,8 @@ def test_metadata_is_read_only_where_missing(spark, tmp_path):
 def test_inspect_small_dataset(spark, tmp_path):
     row = jobs.inspect_tree(spark, build(tmp_path, SMALL)).first()
     assert (row.format, row.file_count, row.image_count, row.label_count) == ("yolo", 3, 1, 1)
-    assert row.classes == ["aircraft"]
-    assert row.sample_files == ["classes.txt", "images/train/a.jpg", "labels/train/a.txt"]
+    assert row.classes == ["heron"]
+    assert row.sample_files == ["classes.txt", "images/run/k7.jpg", "labels/run/k7.txt"]
 
 
 def test_missing_label_is_a_warning(spark, tmp_path):
@@ -99,13 +136,13 @@ def test_missing_label_is_a_warning(spark, tmp_path):
     row = verdict.first()
     assert (row.status, row.error_count, row.warning_count) == ("ok", 0, 1)
     warning = found.first()
-    assert (warning.code, warning.path) == ("missing_yolo_label", "images/train/a.jpg")
-    assert warning.expected_label_path == "labels/train/a.txt"
+    assert (warning.code, warning.path) == ("missing_yolo_label", "images/run/k7.jpg")
+    assert warning.expected_label_path == "labels/run/k7.txt"
 
 
 def test_labels_without_images_fail(spark, tmp_path):
     verdict, found = jobs.verify_tree(
-        spark, build(tmp_path, {"labels/orphan.txt": "0 0.5 0.5 0.2 0.2\n"})
+        spark, build(tmp_path, {"labels/left/alone.txt": "0 0.4 0.1 0.33 0.08\n"})
     )
     row = verdict.first()
     assert (row.status, row.error_count) == ("failed", 1)
@@ -116,20 +153,20 @@ def test_labels_without_images_fail(spark, tmp_path):
 def test_label_text_rules(spark, tmp_path):
     text = "\r\n0 1 2 3\n\n5 0 0 0 0\x0b-1 0 0 0 0 0 x 0 0 0\n"
     files = SMALL | {
-        "labels/train/a.txt": text,
-        "images/train/b.jpg": "x",
-        "labels/train/b.txt": b"\xff\xfe bad",
-        "images/train/c.jpg": "x",
-        "labels/train/c.txt": "",
+        "labels/run/k7.txt": text,
+        "images/run/m.jpg": "x",
+        "labels/run/m.txt": b"\xff\xfe bad",
+        "images/run/n.jpg": "x",
+        "labels/run/n.txt": "",
     }
     _verdict, found = jobs.verify_tree(spark, build(tmp_path, files))
     got = [(r.code, r.path, r.line) for r in found.orderBy(*REPORT_ORDER).collect()]
     assert got == [
-        ("invalid_yolo_label", "labels/train/a.txt", 2),
-        ("unknown_yolo_class", "labels/train/a.txt", 4),
-        ("invalid_yolo_class", "labels/train/a.txt", 5),
-        ("invalid_yolo_label", "labels/train/a.txt", 6),
-        ("label_read_failed", "labels/train/b.txt", None),
+        ("invalid_yolo_label", "labels/run/k7.txt", 2),
+        ("unknown_yolo_class", "labels/run/k7.txt", 4),
+        ("invalid_yolo_class", "labels/run/k7.txt", 5),
+        ("invalid_yolo_label", "labels/run/k7.txt", 6),
+        ("label_read_failed", "labels/run/m.txt", None),
     ]
 
 
@@ -156,35 +193,37 @@ def test_samples_keep_labels_metadata_and_all_class_names(spark, tmp_path):
 
 def test_cleanup_plan(spark, tmp_path):
     states, listing = tmp_path / "states", tmp_path / "listing"
-    done = {"project_id": "proj_1", "import_id": "imp_done", "source": "/d", "format": "yolo"}
+    done = {"project_id": "proj_1", "import_id": "imp_north", "source": "/d", "format": "yolo"}
     flags = {"uploaded": True, "streamed": True}
     document = done | {"completed": True, "files": {"a.jpg": flags, "b.jpg": 3}}
     build(
         states,
         {
-            "proj_1/imp_done.json": json.dumps(document),
+            "proj_1/imp_north.json": json.dumps(document),
             "proj_1/imp_open.json": json.dumps(document | {"import_id": "imp_open"}),
             "proj_1/array.json": "[1]",
             "proj_1/cut.json": json.dumps(document)[:-1],
             "proj_1/none.json": json.dumps({"import_id": "x"}),
-            "other/imp_done.json": json.dumps(document),
+            "other/imp_north.json": json.dumps(document),
         },
     )
     page = {
         "imports": [
-            {"import_id": "imp_done", "status": "succeeded", "progress": {"phase": "done"}},
+            {"import_id": "imp_north", "status": "succeeded", "progress": {"phase": "packing"}},
             {"import_id": "imp_open", "status": "ready"},
             "text",
         ],
-        "next_cursor": None,
+        "next_cursor": "after-north",
     }
     build(listing, {"proj_1/page-1.json": json.dumps(page)})
-    actions = jobs.cleanup_plan(spark, str(states), str(listing), "proj_1").collect()
-    assert [tuple(a) for a in actions] == [
+    actions, local = jobs.cleanup_plan(spark, str(states), str(listing), "proj_1")
+    counts = {r.import_id: (r.total_files, r.uploaded_files) for r in local.collect()}
+    assert counts == {"imp_north": (2, 1), "imp_open": (2, 1), "x": (0, 0)}
+    assert [tuple(a) for a in actions.collect()] == [
         (
             "proj_1",
             "remove_local_state",
-            str(states / "proj_1" / "imp_done.json"),
+            str(states / "proj_1" / "imp_north.json"),
             "server import is terminal and local resume state is completed",
         )
     ]
@@ -192,15 +231,15 @@ def test_cleanup_plan(spark, tmp_path):
 
 def test_upload_plan_resumes(spark, tmp_path):
     state = spark.createDataFrame(
-        [("dataset", "classes.txt", True, True), ("dataset", "images/train/a.jpg", True, False)],
+        [("dataset", "classes.txt", True, True), ("dataset", "images/run/k7.jpg", True, False)],
         "dataset_id string, relative_path string, uploaded boolean, streamed boolean",
     )
     plan = jobs.upload_plan(spark, build(tmp_path, SMALL), state, batch_size=2)
     rows = [(r.relative_path, r.status, r.batch_id) for r in plan.orderBy("row_index").collect()]
     assert rows == [
         ("classes.txt", "done", 0),
-        ("images/train/a.jpg", "pending_stream", 0),
-        ("labels/train/a.txt", "pending_upload", 1),
+        ("images/run/k7.jpg", "pending_stream", 0),
+        ("labels/run/k7.txt", "pending_upload", 1),
     ]
     with pytest.raises(ValueError):
         jobs.upload_plan(spark, str(tmp_path), state, batch_size=1001)
@@ -213,4 +252,4 @@ def test_file_hash_option(spark, tmp_path):
         .where(F.col("relative_path") == "classes.txt")
         .first()
     )
-    assert row.sha256 == hashlib.sha256(b"aircraft\n").hexdigest()
+    assert row.sha256 == hashlib.sha256(b"heron\n").hexdigest()

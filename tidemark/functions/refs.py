@@ -45,8 +45,16 @@ def promote_refs(result_json: Column) -> Column:
 
 
 def compact_import(entry_json: Column) -> Column:
-    """Listing entry reduced to its known keys. Ids and status are text, '' when absent."""
-    entry = F.from_json(entry_json, IMPORT_ENTRY)
+    """Listing entry reduced to its known keys. Ids and status are text, '' when absent.
+
+    An array of one struct, to be taken out with ``inline``: behind a generator the entry is parsed
+    once, however many of its fields are used.
+    """
+    parsed = F.array(F.from_json(entry_json, IMPORT_ENTRY))
+    return F.transform(parsed, _compacted)
+
+
+def _compacted(entry: Column) -> Column:
     return F.struct(
         F.coalesce(entry["import_id"], F.lit("")).alias("import_id"),
         F.coalesce(entry["status"], F.lit("")).alias("status"),

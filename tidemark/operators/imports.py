@@ -14,13 +14,21 @@ REMOVE_STATE = "remove_local_state"
 REMOVE_REASON = "server import is terminal and local resume state is completed"
 
 
-def import_state_counts(import_files: DataFrame) -> DataFrame:
-    """Files per import: all, uploaded, streamed. Entries without flags count only in the total."""
-    return import_files.groupBy(*IMPORT_KEYS).agg(
-        F.count(F.lit(1)).alias("total_files"),
-        F.count_if(F.col("uploaded")).alias("uploaded_files"),
-        F.count_if(F.col("streamed")).alias("streamed_files"),
+COUNTS = ("total_files", "uploaded_files", "streamed_files")
+
+
+def import_state_counts(import_files: DataFrame, import_state: DataFrame | None = None) -> DataFrame:
+    """Files per import: all, uploaded, streamed. Entries without flags count only in the total.
+    With the headers in ``import_state``, imports without files are there too, with zeros."""
+    counts = import_files.groupBy(*IMPORT_KEYS).agg(
+        F.count(F.lit(1)).alias(COUNTS[0]),
+        F.count_if(F.col("uploaded")).alias(COUNTS[1]),
+        F.count_if(F.col("streamed")).alias(COUNTS[2]),
     )
+    if import_state is None:
+        return counts
+    every = import_state.select(*IMPORT_KEYS).distinct().join(counts, list(IMPORT_KEYS), "full")
+    return every.select(*IMPORT_KEYS, *[F.coalesce(c, F.lit(0)).alias(c) for c in COUNTS])
 
 
 def latest_server_imports(server_imports: DataFrame, ordinal: str = "ordinal") -> DataFrame:

@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 
 from tidemark.shared import write_and_read
 
-#: Above this Spark stops pruning a rank filter before its shuffle
-#: (default of spark.sql.optimizer.windowGroupLimitThreshold).
-WINDOW_LIMIT = 1000
-
 
 def _range_sorted(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Range-partition and sort by (group, order), then fix each row's place in a written table.
@@ -101,20 +97,17 @@ def running_totals(
 
 
 def top_k(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[Column],
-    k: int,
-    name: str = "rank",
-    salts: int = 32,
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, name: str = "rank"
 ) -> DataFrame:
-    """First ``k`` rows of each group with their 1-based rank, exact for groups of any size."""
+    """First ``k`` rows of each group with their 1-based rank, exact for groups of any size.
+
+    A group is first ranked in as many parts as there are shuffle partitions; what passes is ranked
+    again. The rank filters are right whether or not Spark prunes rows before its shuffles.
+    """
     if k < 1:
         raise ValueError("k must be at least 1")
-    if k > WINDOW_LIMIT:
-        numbered = number_rows(df, group, order, name).where(F.col(name) < k)
-        return numbered.withColumn(name, (F.col(name) + 1).cast("int"))
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(parts)))
     per_salt = Window.partitionBy(*group, "_salt").orderBy(*order)
     per_group = Window.partitionBy(*group).orderBy(*order)
     few = salted.withColumn("_rank", F.row_number().over(per_salt)).where(F.col("_rank") <= k)
@@ -139,24 +132,15 @@ def ordered_distinct(df: DataFrame, keys: Sequence[str], value: str, ordinal: st
     return present.groupBy(*keys, value).agg(F.min(ordinal).alias(ordinal))
 
 
-def name_order(df: DataFrame, name: str = "name") -> DataFrame:
-    """Rows sorted by name, in code-point order."""
-    return df.orderBy(name)
+def name_order(df: DataFrame, name: str = "name", position: str = "position") -> DataFrame:
+    """Rows with their 0-based place when sorted by name, in code-point order."""
+    return number_rows(df, [], [F.col(name)], position)
 
 
-def lookup(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    spread: str,
-    how: str = "left",
-    salts: int = 32,
-) -> DataFrame:
+def lookup(fact: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join a table holding one row per ``key`` to facts in which one key may be hot.
 
-    The dimension is repeated once per salt and facts pick a salt from ``spread``, so a hot key
-    meets ``salts`` tasks. Spark broadcasts the dimension instead whenever its size allows.
+    Spark broadcasts the dimension when its size allows; else a hot key's partition of facts is
+    split at run time, which only needs that nothing above the join wants the key together.
     """
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+    return fact.join(dim, key, how)

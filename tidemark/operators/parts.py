@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.sizes import part_size
+from tidemark.operators.ordering import last_wins
 from tidemark.operators.planning import assign_batches
 
 SIGN_BATCH = 256
@@ -56,12 +57,14 @@ def number_parts(parts: DataFrame, size: int = SIGN_BATCH) -> DataFrame:
     return assign_batches(parts, size, ["archive_id"], [F.col("part_number")])
 
 
-def assemble_parts(parts: DataFrame, uploaded: DataFrame) -> DataFrame:
+def assemble_parts(parts: DataFrame, uploaded: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     """Planned parts with the tag of their upload; a NULL ``etag`` marks a missing part.
 
-    Uploads of unplanned part numbers are dropped. Order by ``part_number`` when writing out.
+    Of repeated uploads of a part the last counts, by ``ordinal``. Uploads of unplanned part numbers
+    are dropped. Order by ``part_number`` when writing out.
     """
-    tags = uploaded.select("archive_id", "part_number", "etag")
+    keys = ["archive_id", "part_number"]
+    tags = last_wins(uploaded.select(*keys, "etag", ordinal), keys, ordinal, ["etag"]).drop(ordinal)
     return parts.join(tags, ["archive_id", "part_number"], "left").select(
         "archive_id", "part_number", "etag", "size_bytes"
     )

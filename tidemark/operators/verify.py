@@ -202,7 +202,7 @@ def invalid_label_lines(label_lines: DataFrame) -> DataFrame:
 def check_class_range(parsed: DataFrame, class_counts: DataFrame) -> DataFrame:
     """Valid lines whose class lies beyond the dataset's names; no names, no check."""
     known = class_counts.where(F.col("class_count") > 0)
-    ranged = lookup(parsed, known, "dataset_id", "path", "inner")
+    ranged = lookup(parsed, known, "dataset_id", "inner")
     over = ranged.where(F.col("class_value") >= F.col("class_count"))
     return finding(
         over,
@@ -221,7 +221,7 @@ def label_findings(label_lines: DataFrame, class_counts: DataFrame) -> DataFrame
     ``class_counts`` has one row per dataset to check, with 0 where there are no names.
     """
     parsed = parse_labels(label_lines).drop("coords")
-    checked = lookup(parsed, class_counts, "dataset_id", "path", "inner")
+    checked = lookup(parsed, class_counts, "dataset_id", "inner")
     over = (F.col("class_count") > 0) & (F.col("class_value") >= F.col("class_count"))
     unknown = F.col("code").isNull() & over
     reported = checked.where(F.col("code").isNotNull() | unknown)
@@ -258,7 +258,7 @@ def dataset_findings(
     and the manifest is shuffled for the pairing alone.
     """
     yolo = datasets.where(is_yolo()).select("dataset_id")
-    unmatched = lookup(label_pairing(files), yolo, "dataset_id", "path", "inner")
+    unmatched = lookup(label_pairing(files), yolo, "dataset_id", "inner")
     named = classes.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n"))
     counts = (
         datasets.where(is_yolo())

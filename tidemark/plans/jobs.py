@@ -25,7 +25,7 @@ class Tree:
     datasets: DataFrame
     files: DataFrame
     classes: DataFrame
-    contents: DataFrame
+    root: str
     class_problems: DataFrame
 
 
@@ -54,7 +54,8 @@ def open_tree(
 ) -> Tree:
     """Tables of one file tree. Class names come from the whole tree, whatever the limits are.
 
-    The tree is listed once, when called, and that listing is what every later step sees.
+    The tree is listed once, when called, and that listing is what every later step sees. Of the
+    files themselves only the class document is opened.
     """
     fmt = fmt.strip().lower()
     if fmt not in FORMATS:
@@ -63,7 +64,6 @@ def open_tree(
         if value is not None and value <= 0:
             raise ValueError(f"{name} must be greater than 0")
     every = write_and_read(filetree.list_files(spark, root, dataset_id, state_dir))
-    contents = filetree.read_content(spark, root, state_dir)
     datasets = every.sparkSession.range(1).select(
         F.lit(dataset_id).alias("dataset_id"), F.lit(root).alias("source"), F.lit(fmt).alias("format")
     )
@@ -71,12 +71,13 @@ def open_tree(
         chosen = every.join(
             documents.select_class_metadata(every), ["dataset_id", "relative_path"], "left_semi"
         )
-        classes, problems = documents.class_catalog(filetree.file_texts(chosen, contents))
+        texts = write_and_read(filetree.file_texts(chosen, root))
+        classes, problems = documents.class_catalog(texts)
     else:
         classes = spark.createDataFrame([], CLASSES)
         problems = verify.findings(verify.finding(datasets.where(F.lit(False)), "error", "none"))
     files = _limited(every, fmt, max_files, max_samples)
-    return Tree(datasets, files, classes, contents, problems.select(*verify.FINDING_COLUMNS))
+    return Tree(datasets, files, classes, root, problems.select(*verify.FINDING_COLUMNS))
 
 
 def inspect_tree(spark: SparkSession, root: str, fmt: str = "yolo", **options: object) -> DataFrame:
@@ -92,7 +93,7 @@ def verify_tree(
     ``operators.verify.REPORT_ORDER``."""
     tree = open_tree(spark, root, fmt, **options)
     labels = tree.files.where(is_label(F.col("relative_path")))
-    texts = filetree.file_texts(labels, tree.contents)
+    texts = filetree.file_texts(labels, tree.root)
     lines = documents.read_label_lines(texts)
     found = verify.dataset_findings(tree.datasets, tree.files, tree.classes, lines)
     if fmt.strip().lower() == "yolo":
@@ -129,15 +130,17 @@ def archive_plan(
 
 def cleanup_plan(
     spark: SparkSession, state_dir: str, listing_dir: str, project_id: str
-) -> DataFrame:
-    """Local states of one project that can go, given its landed import listing."""
+) -> tuple[DataFrame, DataFrame]:
+    """Local states of one project that can go, given its landed import listing; and all its local
+    states with the files they count."""
     segment = spark.range(1).select(safe_segment(F.lit(project_id))).first()[0]
-    states, _files = imports.read_import_states(spark, state_dir, segment)
-    listed = imports.read_server_imports(spark, listing_dir).where(
-        F.col("project_id") == segment
-    )
+    states, files = imports.read_import_states(spark, state_dir, segment)
+    listed = imports.read_server_imports(spark, listing_dir, segment)
     # Projects are told apart by folder name, on both sides.
     owned = states.withColumn("project_id", F.lit(segment))
-    return import_operators.cleanup_actions(owned, listed).withColumn(
+    actions = import_operators.cleanup_actions(owned, listed).withColumn(
         "project_id", F.lit(project_id)
     )
+    return actions, states.join(
+        import_operators.import_state_counts(files, states), list(import_operators.IMPORT_KEYS)
+    )

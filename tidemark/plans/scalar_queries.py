@@ -323,15 +323,15 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).otherwise(""),
         F.lit("}"),
     )
-    listing = view(spark, sf_dir, "v_import_listing").withColumn("e", refs.compact_import(entry))
-    return listing.select(
+    listing = view(spark, sf_dir, "v_import_listing")
+    return listing.select("entry_no", "ordinal", F.inline(refs.compact_import(entry))).select(
         "entry_no",
         "ordinal",
-        "e.import_id",
-        "e.status",
-        "e.file_count",
-        F.col("e.progress.phase").alias("phase"),
-        F.col("e.progress.items_total").alias("items_total"),
+        "import_id",
+        "status",
+        "file_count",
+        F.col("progress.phase").alias("phase"),
+        F.col("progress.items_total").alias("items_total"),
     )
 
 

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import imports as import_operators
 from tidemark.operators.classes import compact_class_ids
 from tidemark.plans.registry import query
-from tidemark.plans.trees import local_path, write_tree
+from tidemark.plans.trees import write_tree
 from tidemark.plans.views import STATE_DIR, table, view
 from tidemark.shared import new_path
 from tidemark.sources import documents, filetree, image_headers, imports, writers
 
 _KEPT = f"relative_path NOT LIKE '{STATE_DIR}/%'"
-_EMPTY = "doc_id % 40 IN (12, 29)"
+_EMPTY = "doc_id % 40 IN (8, 12, 29)"
+_CUT_SHORT = "doc_id % 40 = 17"
 # Dimensions an image file of a document gets, and its header as hex.
 _W, _H = "(length(text) % 5000 + 1)", "(doc_id % 3000 + 1)"
 _BIG4 = "lpad(hex({0}), 8, '0')"
@@ -39,22 +40,29 @@ _HEADER = f"""CASE doc_id % 8
 
 
 def _tree_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as a file: images get a header before the text, a few files are empty."""
-    body = F.concat(F.unhex(F.expr(_HEADER)), F.col("text").cast("binary"))
-    return view(spark, sf_dir, "v_tree").select(
-        "doc_id", "relative_path", F.when(F.expr(_EMPTY), F.lit(b"")).otherwise(body).alias("content")
+    """Every document as a file: images get a header before the text, a few files are empty and a
+    few images end inside their header."""
+    header = F.expr(_HEADER)
+    body = F.concat(F.unhex(header), F.col("text").cast("binary"))
+    content = (
+        F.when(F.expr(_EMPTY), F.lit(b""))
+        .when(F.expr(_CUT_SHORT), F.unhex(F.substring(header, 1, 20)))
+        .otherwise(body)
     )
+    return view(spark, sf_dir, "v_tree").select("doc_id", "relative_path", content.alias("content"))
 
 
 def _tree(spark: SparkSession, sf_dir: str) -> str:
-    root = local_path(new_path(spark, "trees"))
+    root = filetree.local_root(new_path(spark, "trees"))
     write_tree(_tree_rows(spark, sf_dir), root)
     return root
 
 
 _CONTENT = f"""(SELECT doc_id, text, relative_path, CASE WHEN {_EMPTY} THEN ''::BLOB
+    WHEN {_CUT_SHORT} THEN unhex(substr({_HEADER}, 1, 20))
     ELSE unhex({_HEADER}) || encode(text) END AS content FROM v_tree WHERE {_KEPT})"""
 _IS_IMAGE = "doc_id % 8 < 4"
+_MEASURED = f"{_IS_IMAGE} AND NOT ({_EMPTY}) AND NOT ({_CUT_SHORT})"
 
 
 @query(
@@ -87,8 +95,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _tree(spark, sf_dir)
     listed = filetree.list_files(spark, root, "tree", STATE_DIR)
-    read = filetree.with_content(listed, filetree.read_content(spark, root))
-    return read.select(
+    return filetree.read_content(listed, root).select(
         "relative_path",
         F.octet_length("content").cast("bigint").alias("n_bytes"),
         F.sha2("content", 256).alias("sha256"),
@@ -98,8 +105,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "image_dimensions",
     f"""SELECT doc_id, {_W}::INT AS width, {_H}::INT AS height FROM documents
-      WHERE {_IS_IMAGE} AND NOT ({_EMPTY})
-      UNION ALL SELECT doc_id, NULL, NULL FROM documents WHERE NOT {_IS_IMAGE} OR {_EMPTY}""",
+      WHERE {_MEASURED}
+      UNION ALL SELECT doc_id, NULL, NULL FROM documents WHERE NOT ({_MEASURED})""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     contents = _tree_rows(spark, sf_dir).select("doc_id", "content")
@@ -109,12 +116,12 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "unreadable_images",
     f"""SELECT 'tree' AS dataset_id, relative_path AS path, 'image_read_failed' AS code
-      FROM {_CONTENT} WHERE {_IS_IMAGE} AND octet_length(content) = 0""",
+      FROM {_CONTENT} WHERE {_IS_IMAGE} AND NOT ({_MEASURED})""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _tree(spark, sf_dir)
     files = filetree.list_files(spark, root, "tree", STATE_DIR)
-    described = filetree.add_missing_metadata(files, filetree.read_content(spark, root))
+    described = filetree.add_missing_metadata(files, root)
     return filetree.unreadable_images(described).select("dataset_id", "path", "code")
 
 
@@ -122,9 +129,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     "add_missing_metadata",
     f"""SELECT relative_path,
         CASE WHEN doc_id % 3 = 0 THEN 'known' ELSE sha256(content) END AS sha256,
-        CASE WHEN doc_id % 3 = 0 THEN 7 WHEN {_IS_IMAGE} AND NOT ({_EMPTY}) THEN {_W} END::INT
+        CASE WHEN doc_id % 3 = 0 THEN 7 WHEN {_MEASURED} THEN {_W} END::INT
           AS width,
-        CASE WHEN doc_id % 3 = 0 THEN 9 WHEN {_IS_IMAGE} AND NOT ({_EMPTY}) THEN {_H} END::INT
+        CASE WHEN doc_id % 3 = 0 THEN 9 WHEN {_MEASURED} THEN {_H} END::INT
           AS height
       FROM {_CONTENT}""",
 )
@@ -140,7 +147,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
             "height": F.when(known, 9).cast("int"),
         }
     )
-    filled = filetree.add_missing_metadata(files, filetree.read_content(spark, root))
+    filled = filetree.add_missing_metadata(files, root)
     return filled.select("relative_path", "sha256", "width", "height")
 
 
@@ -227,6 +234,13 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STATE_OWNER = "CASE WHEN o_custkey % 3 = 0 THEN 'proj_0' ELSE 'proj_1' END"
 
 
+def _spelled_flag(flag: Column, number: Column) -> Column:
+    """A flag as JSON: true and false, or another value that counts as the same."""
+    yes = F.when(number % 5 == 0, "1").when(number % 7 == 0, '"false"').when(number % 11 == 0, "[0]")
+    no = F.when(number % 5 == 0, "0").when(number % 7 == 0, '""').when(number % 11 == 0, "null")
+    return F.when(flag, yes.otherwise("true")).otherwise(no.otherwise("false"))
+
+
 def _state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One resume document per customer, holding the customer's orders as files; some are cut
     short, some are arrays."""
@@ -235,14 +249,16 @@ def _state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.when(number % 23 == 0, F.lit("5")).otherwise(
         F.to_json(
             F.struct(
-                (number % 2 == 0).alias("uploaded"),
-                (number % 4 == 0).alias("streamed"),
+                F.lit("<u>").alias("uploaded"),
+                F.lit("<s>").alias("streamed"),
                 F.lit("").alias("sha256"),
                 number.alias("size_bytes"),
                 F.lit(0).alias("width"),
             )
         )
     )
+    value = F.replace(value, F.lit('"<u>"'), _spelled_flag(number % 2 == 0, number))
+    value = F.replace(value, F.lit('"<s>"'), _spelled_flag(number % 4 == 0, number + 1))
     entry = F.concat(F.lit('"images/'), number.cast("string"), F.lit('.jpg":'), value)
     owner = F.expr(_STATE_OWNER).alias("project_id")
     files = orders.groupBy("o_custkey", owner).agg(
@@ -255,7 +271,7 @@ def _state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('","import_id":"imp_'),
         customer,
         F.lit('","source":"/data","format":"yolo","completed":'),
-        (F.col("o_custkey") % 2 == 0).cast("string"),
+        _spelled_flag(F.col("o_custkey") % 2 == 0, F.col("o_custkey")),
         F.lit(',"files":{'),
         "files",
         F.lit("}}"),
@@ -273,7 +289,7 @@ _READABLE = "o_custkey % 10 < 8"
 
 
 def _states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    root = local_path(new_path(spark, "states"))
+    root = filetree.local_root(new_path(spark, "states"))
     write_tree(_state_rows(spark, sf_dir), root)
     return imports.read_import_states(spark, root)
 
@@ -321,7 +337,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     owner = F.expr(_STATE_OWNER).alias("project_id")
     page = F.expr("o_orderkey div 100").alias("page")
-    pages = orders.groupBy(owner, page).agg(
+    # Each entry also stands on the page before, with a status of its own: the later page counts.
+    on_page = orders.select("*", owner, page)
+    earlier = on_page.where("page > 0").withColumns({"page": F.col("page") - 1, "o_orderstatus": F.lit("stale")})
+    pages = on_page.unionByName(earlier).groupBy("project_id", "page").agg(
         F.concat(
             F.lit('{"imports":[7,'),
             F.array_join(F.collect_list(F.to_json(entry)), ","),
@@ -329,9 +348,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("text")
     )
     path = F.concat("project_id", F.lit("/page-"), F.col("page").cast("string"), F.lit(".json"))
-    root = local_path(new_path(spark, "listings"))
+    root = filetree.local_root(new_path(spark, "listings"))
     write_tree(pages.select(path.alias("relative_path"), F.col("text").cast("binary").alias("content")), root)
-    listed = imports.read_server_imports(spark, root)
+    listed = import_operators.latest_server_imports(imports.read_server_imports(spark, root))
     return listed.select(
         "project_id", "import_id", "status", "file_count", F.col("progress.phase").alias("phase")
     )
@@ -348,7 +367,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "write_import_state",
     """SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'proj_0' ELSE 'proj_1' END AS project_id,
-        'imp_' || l_suppkey % 20 AS import_id, count(*) AS total_files,
+        CASE l_suppkey % 20 WHEN 6 THEN '' ELSE 'imp_' || l_suppkey % 20 END AS import_id,
+        count(*) AS total_files,
         count(*) FILTER (l_returnflag <> 'N' AND l_suppkey % 2 = 1) AS uploaded_files,
         0::BIGINT AS streamed_files
       FROM lineitem GROUP BY 1, 2""",
@@ -357,12 +377,14 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     owner = F.when(F.col("l_orderkey") % 3 == 0, "proj_0").otherwise("proj_1")
     lines = table(spark, sf_dir, "lineitem").select(
         owner.alias("project_id"),
-        F.concat(F.lit("imp_"), (F.col("l_suppkey") % 20).cast("string")).alias("import_id"),
+        F.when(F.col("l_suppkey") % 20 == 6, "")
+        .otherwise(F.concat(F.lit("imp_"), (F.col("l_suppkey") % 20).cast("string")))
+        .alias("import_id"),
         (F.col("l_returnflag") != "N").alias("uploaded"),
         F.lit(False).alias("streamed"),
     )
     path = new_path(spark, "import_state")
     writers.write_import_state(lines, path)
-    even = lines.where(F.col("import_id").rlike("[02468]$"))
+    even = lines.where(F.col("import_id").rlike("^$|[02468]$"))
     writers.write_import_state(even.withColumn("uploaded", F.lit(False)), path)
     return import_operators.import_state_counts(spark.read.schema(lines.schema).parquet(path))

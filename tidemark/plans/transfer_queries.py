@@ -24,14 +24,18 @@ def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One upload per planned part, some under a part number nobody planned."""
+    """One upload per planned part, some under a part number nobody planned; every third part was
+    uploaded once before, under another tag."""
     number = F.col("part_number")
     stray = (F.col("archive_id") + number) % 11 == 0
-    return _parts(spark, sf_dir).select(
+    last = _parts(spark, sf_dir).select(
         "archive_id",
         F.when(stray, -number).otherwise(number).alias("part_number"),
         F.concat(F.lit("tag-"), number.cast("string")).alias("etag"),
+        F.lit(2).alias("ordinal"),
     )
+    before = last.where(number % 3 == 0).withColumns({"etag": F.lit("zz-old"), "ordinal": F.lit(1)})
+    return last.unionByName(before)
 
 
 @query("part_ranges", f"SELECT * FROM {_PARTS}")
@@ -64,7 +68,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM (SELECT archive_id, {_TAG} AS part_number FROM {_PARTS})""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    uploads = _uploads(spark, sf_dir).select("archive_id", "part_number")
+    uploads = _uploads(spark, sf_dir).where("ordinal = 2").select("archive_id", "part_number")
     return parts.number_parts(uploads, 8).drop("row_index")
 
 
@@ -105,12 +109,17 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "import_state_counts",
-    """SELECT project_id, import_id, count(*) AS total_files,
+    """SELECT k.project_id, k.import_id, count(relative_path) AS total_files,
         count(*) FILTER (uploaded) AS uploaded_files, count(*) FILTER (streamed) AS streamed_files
-      FROM v_import_files GROUP BY 1, 2""",
+      FROM (SELECT project_id, import_id FROM v_import_files
+        UNION SELECT project_id, import_id FROM v_import_state) k
+      LEFT JOIN v_import_files f ON k.project_id = f.project_id AND k.import_id = f.import_id
+      GROUP BY 1, 2""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return imports.import_state_counts(view(spark, sf_dir, "v_import_files"))
+    return imports.import_state_counts(
+        view(spark, sf_dir, "v_import_files"), view(spark, sf_dir, "v_import_state")
+    )
 
 
 _LATEST = """SELECT * FROM v_import_listing WHERE import_id <> '' QUALIFY row_number() OVER
@@ -179,7 +188,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry.timing_summary(view(spark, sf_dir, "v_transfer_events"), ["run_id", "name"])
 
 
-@query("name_order", f"SELECT name, file_count FROM ({_timing_check('name')}) ORDER BY name")
+@query(
+    "name_order",
+    f"""SELECT name, file_count, row_number() OVER (ORDER BY name) - 1 AS position
+      FROM ({_timing_check('name')})""",
+)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     summed = telemetry.timing_summary(view(spark, sf_dir, "v_transfer_events"))
     return ordering.name_order(summed.select("name", "file_count"))

@@ -30,8 +30,3 @@ def write_tree(rows: DataFrame, root: str) -> int:
 
     counts = rows.select("relative_path", "content").mapInPandas(write, "written bigint")
     return counts.agg(F.sum("written")).first()[0] or 0
-
-
-def local_path(path: str) -> str:
-    """Path for Python's file functions, which know no ``file:`` scheme."""
-    return path.removeprefix("file://").removeprefix("file:")

@@ -1,138 +1,102 @@
-"""File trees as tables: listing, content and metadata."""
+"""File trees as tables: listing, content and metadata.
+
+Files are opened by path in the tasks, and only those that a caller hands over: a job reads what it
+needs of a tree, whatever else lies there. The folder must be one that every executor mounts.
+"""
 
 from __future__ import annotations
 
 import hashlib
+import math
 import os
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tidemark.functions.paths import STATE_DIR, content_type, is_image, relative_path
-from tidemark.functions.refs import content_sha256
+from tidemark.functions.paths import STATE_DIR, content_type, is_image
 from tidemark.functions.text import decode_utf8
 from tidemark.operators.planning import lacks_metadata
 from tidemark.operators.verify import ERROR, finding
-from tidemark.sources.image_headers import image_dimensions
+from tidemark.shared import new_path
+from tidemark.sources.image_headers import measure_file
 
-_LISTING = "relative_path string, size_bytes bigint, sha256 string, content binary"
+_ENTRIES = "relative_path string, size_bytes bigint, is_dir boolean"
 _CHUNK = 1024 * 1024
+#: Bytes that one task opens, about, and that one Arrow batch of content holds.
+TASK_BYTES, BATCH_BYTES = 256 << 20, 16 << 20
+#: The largest value of a binary column.
+LARGEST = 2**31 - 16
 IMAGE_FAILED = "image_read_failed"
 
 
-def is_skipped(relative: str) -> bool:
-    """True when Spark's file readers leave a path out because of one of its names."""
-
-    def hidden(name: str) -> bool:
-        if name.startswith(("_metadata", "_common_metadata")):
-            return False
-        underscore = name.startswith("_") and "=" not in name
-        return underscore or name.startswith(".") or name.endswith("._COPYING_")
-
-    return any(hidden(name) for name in relative.split("/"))
-
-
-@dataclass
-class Branches(InputPartition):
-    """Directories of one task: (path relative to the root, whether to descend)."""
-
-    units: list[tuple[str, bool]]
+def local_root(root: str) -> str:
+    """Path for Python's file functions. Schemes that they cannot open are refused, so nothing is
+    looked for, or written, on a worker's own disk by mistake."""
+    path = root.removeprefix("file://").removeprefix("file:")
+    if "://" in path or path.split("/")[0].endswith(":"):
+        raise ValueError(f"only mounted folders can be opened as a tree, not {root}")
+    return os.path.realpath(os.path.expanduser(path))
 
 
-class FileTreeReader(DataSourceReader):
-    """Plans by directory. The driver looks for sub-directories only, up to ``maxDirectories``;
-    what lies deeper is walked by the task that holds its parent."""
+def _scan(root: str, state_dir: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The entries of each folder, some thousands at a time."""
 
-    def __init__(self, options: dict[str, str]) -> None:
-        self.root = os.path.realpath(os.path.expanduser(options["root"]))
-        self.state_dir = options.get("statedir", STATE_DIR)
-        self.hash_files = options.get("hash", "false").lower() == "true"
-        self.skipped_only = options.get("skippedcontent", "false").lower() == "true"
-        self.max_directories = int(options.get("maxdirectories", "20000"))
-        self.splits = int(options.get("splits", "256"))
-        if not os.path.isdir(self.root):
-            raise ValueError(f"source path is not a directory: {self.root}")
-
-    def _children(self, relative: str) -> Iterator[os.DirEntry]:
-        with os.scandir(os.path.join(self.root, relative)) as entries:
+    def entries_of(folder: str) -> Iterator[tuple[str, int, bool]]:
+        with os.scandir(os.path.join(root, folder)) as entries:
             for entry in entries:
-                if entry.name != self.state_dir:
-                    yield entry
-
-    def partitions(self) -> Sequence[InputPartition]:
-        units: list[tuple[str, bool]] = []
-        frontier = [""]
-        while frontier and len(units) + len(frontier) < self.max_directories:
-            deeper: list[str] = []
-            for relative in frontier:
-                units.append((relative, False))
-                deeper.extend(
-                    os.path.join(relative, e.name)
-                    for e in self._children(relative)
-                    if e.is_dir(follow_symlinks=False)
-                )
-            frontier = deeper
-        units.extend((relative, True) for relative in frontier)
-        count = max(1, min(self.splits, len(units)))
-        return [Branches(units[i::count]) for i in range(count)]
-
-    def _files(self, relative: str, descend: bool) -> Iterator[tuple[str, os.DirEntry]]:
-        for entry in self._children(relative):
-            path = os.path.join(relative, entry.name)
-            if entry.is_dir(follow_symlinks=False):
-                if descend:
-                    yield from self._files(path, True)
-            elif entry.is_file():
-                yield path, entry
-
-    def _hash(self, relative: str) -> str:
-        digest = hashlib.sha256()
-        with open(os.path.join(self.root, relative), "rb") as handle:
-            while chunk := handle.read(_CHUNK):
-                digest.update(chunk)
-        return digest.hexdigest()
-
-    def _content(self, relative: str) -> bytes:
-        with open(os.path.join(self.root, relative), "rb") as handle:
-            return handle.read()
-
-    def read(
-        self, partition: Branches
-    ) -> Iterator[tuple[str, int, str | None, bytes | None]]:
-        for relative, descend in partition.units:
-            for path, entry in self._files(relative, descend):
-                if self.skipped_only:
-                    if is_skipped(path):
-                        yield path, entry.stat().st_size, None, self._content(path)
-                else:
-                    digest = self._hash(path) if self.hash_files else None
-                    yield path, entry.stat().st_size, digest, None
-
-
-class FileTreeSource(DataSource):
-    """``spark.read.format("filetree").option("root", ...)``: every regular file below a folder,
-    hidden and empty ones included, which the built-in file readers leave out."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "filetree"
-
-    def schema(self) -> str:
-        return _LISTING
-
-    def reader(self, schema: object) -> DataSourceReader:
-        return FileTreeReader({k.lower(): v for k, v in self.options.items()})
-
-
-def _tree(spark: SparkSession, root: str, state_dir: str, **flags: bool) -> DataFrame:
-    spark.dataSource.register(FileTreeSource)
-    reader = spark.read.format("filetree").option("root", root).option("stateDir", state_dir)
-    for name, value in flags.items():
-        reader = reader.option(name, str(value).lower())
-    return reader.load()
+                path = os.path.join(folder, entry.name)
+                if entry.name == state_dir:
+                    continue
+                if entry.is_dir(follow_symlinks=False):
+                    yield path, 0, True
+                elif entry.is_file():
+                    yield path, entry.stat().st_size, False
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["relative_path", "size_bytes", "is_dir"]
+        for batch in batches:
+            for folder in batch["relative_path"]:
+                rows = []
+                for row in entries_of(folder):
+                    rows.append(row)
+                    if len(rows) == 10000:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows = []
+                if rows:
+                    yield pd.DataFrame(rows, columns=names)
+
+    return scan
+
+
+def list_entries(spark: SparkSession, root: str, state_dir: str = STATE_DIR) -> DataFrame:
+    """(relative_path, size_bytes) of every regular file below ``root``, hidden and empty ones
+    included. Folders are listed level by level, each by one of many tasks; the driver sees none of
+    their entries. Runs one job for each level when called and keeps the result as a table."""
+    real = local_root(root)
+    if not os.path.isdir(real):
+        raise ValueError(f"no such folder: {root}")
+    table, level = new_path(spark, "listings"), 0
+    folders = spark.createDataFrame([("",)], "relative_path string")
+    while True:
+        here = f"{table}/level={level}"
+        folders.mapInPandas(_scan(real, state_dir), _ENTRIES).write.parquet(here)
+        below = spark.read.schema(_ENTRIES).parquet(here).where("is_dir").select("relative_path")
+        if below.isEmpty():
+            break
+        folders, level = below.repartition(4 * spark.sparkContext.defaultParallelism), level + 1
+    found = spark.read.schema(_ENTRIES).parquet(*(f"{table}/level={k}" for k in range(level + 1)))
+    return found.where("NOT is_dir").drop("is_dir")
+
+
+def by_bytes(files: DataFrame) -> DataFrame:
+    """The same rows in tasks of about equal bytes, several for each core; counts the bytes when
+    called. A flat folder is split like any other."""
+    total = files.agg(F.sum("size_bytes")).first()[0] or 0
+    tasks = max(2 * files.sparkSession.sparkContext.defaultParallelism, math.ceil(total / TASK_BYTES))
+    return files.repartition(tasks, F.xxhash64("relative_path", F.lit(7)))
 
 
 def list_files(
@@ -144,89 +108,133 @@ def list_files(
 ) -> DataFrame:
     """Manifest of one file tree. Content is read only with ``hash_files``, in chunks, so files
     larger than a column value can hold are hashed too."""
-    listed = _tree(spark, root, state_dir, hash=hash_files)
     unknown = F.lit(None)
-    return listed.select(
+    listed = list_entries(spark, root, state_dir).select(
         F.lit(dataset_id).alias("dataset_id"),
         "relative_path",
         "size_bytes",
         content_type(F.col("relative_path")).alias("content_type"),
         unknown.cast("int").alias("width"),
         unknown.cast("int").alias("height"),
-        "sha256",
-    )
-
-
-def read_content(spark: SparkSession, root: str, state_dir: str = STATE_DIR) -> DataFrame:
-    """Bytes of the files below ``root``.
-
-    Spark's reader takes the bulk; the few names it skips come from the tree source. Empty files
-    are missing here: join this to the listing, as :func:`with_content` does.
-    """
-    real = os.path.realpath(os.path.expanduser(root))
-    read = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"file://{real}")
+        unknown.cast("string").alias("sha256"),
     )
-    usual = read.select(relative_path(real, F.col("path")).alias("relative_path"), "content")
-    skipped = _tree(spark, root, state_dir, skippedContent=True)
-    return usual.unionByName(skipped.select("relative_path", "content"))
-
-
-def with_content(files: DataFrame, contents: DataFrame) -> DataFrame:
-    """Files with their bytes; an empty file has empty bytes, an unread one NULL."""
-    joined = files.join(contents, "relative_path", "left")
-    empty = F.when(F.col("size_bytes") == 0, F.lit(b""))
-    return joined.withColumn("content", F.coalesce("content", empty))
-
-
-def file_texts(files: DataFrame, contents: DataFrame) -> DataFrame:
+    if not hash_files:
+        return listed
+    every = by_bytes(listed).withColumns({"_hash": F.lit(True), "_size": F.lit(False)})
+    hashed = every.mapInArrow(_measure(local_root(root), every.columns), _with_found(every))
+    return hashed.select(*[c for c in listed.columns if c != "sha256"], F.col("_sha256").alias("sha256"))
+
+
+def _hash(path: str) -> str:
+    digest = hashlib.sha256()
+    with open(path, "rb") as handle:
+        while chunk := handle.read(_CHUNK):
+            digest.update(chunk)
+    return digest.hexdigest()
+
+
+_FOUND = "_sha256 string, _width int, _height int, _error string"
+
+
+def _with_found(files: DataFrame) -> str:
+    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
+    return f"{own}, {_FOUND}"
+
+
+def _measure(
+    root: str, columns: list[str]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows with what their files have: the hash where ``_hash`` asks for it, and width and height
+    where ``_size`` does; of an image only the header is read for those."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: tuple[list, ...] = ([], [], [], [])
+            for name, wants_hash, wants_size in zip(
+                batch.column("relative_path").to_pylist(),
+                batch.column("_hash").to_pylist(),
+                batch.column("_size").to_pylist(),
+                strict=True,
+            ):
+                path, digest, size = os.path.join(root, name), None, (None, None, None)
+                try:
+                    digest = _hash(path) if wants_hash else None
+                    size = measure_file(path) if wants_size else size
+                except OSError as exc:
+                    size = (None, None, f"file cannot be read: {exc.strerror}")
+                for column, value in zip(found, (digest, *size), strict=True):
+                    column.append(value)
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *(pa.array(v, k) for v, k in zip(found, kinds, strict=True))],
+                [*columns, "_sha256", "_width", "_height", "_error"],
+            )
+
+    return measure
+
+
+def read_content(files: DataFrame, root: str) -> DataFrame:
+    """The given files with their bytes as ``content``. Only they are opened. A file that cannot be
+    read, or is larger than a column value can be, has NULL."""
+    real, columns = local_root(root), files.columns
+
+    def content_of(name: str) -> bytes | None:
+        path = os.path.join(real, name)
+        try:
+            if os.path.getsize(path) > LARGEST:
+                return None
+            with open(path, "rb") as handle:
+                return handle.read()
+        except OSError:
+            return None
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, held, size = 0, [], 0
+            for at, name in enumerate(batch.column("relative_path").to_pylist()):
+                held.append(content_of(name))
+                size += len(held[-1] or b"")
+                if size >= BATCH_BYTES or at == batch.num_rows - 1:
+                    part = batch.slice(first, len(held))
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns, pa.array(held, pa.binary())], [*columns, "content"]
+                    )
+                    first, held, size = at + 1, [], 0
+
+    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
+    return by_bytes(files).mapInArrow(read, f"{own}, content binary")
+
+
+def file_texts(files: DataFrame, root: str) -> DataFrame:
     """Files as text; NULL where the bytes are not UTF-8 or could not be read."""
-    read = with_content(files, contents)
-    return read.select(
+    return read_content(files.select("dataset_id", "relative_path", "size_bytes"), root).select(
         "dataset_id",
         F.col("relative_path").alias("path"),
         decode_utf8(F.col("content")).alias("text"),
     )
 
 
-def measured(files: DataFrame, contents: DataFrame) -> DataFrame:
-    """Hash, and for images dimensions, of the given files read from their bytes.
-
-    Images pass through Python for their header; every other file stays in the JVM.
-    """
-    read = with_content(files.select("dataset_id", "relative_path", "size_bytes"), contents)
-    hashed = read.withColumn("sha256", content_sha256(F.col("content"))).drop("size_bytes")
-    image = is_image(F.col("relative_path"))
-    plain = hashed.where(~image).drop("content")
-    return image_dimensions(hashed.where(image)).unionByName(plain, allowMissingColumns=True)
-
-
-def add_missing_metadata(files: DataFrame, contents: DataFrame) -> DataFrame:
+def add_missing_metadata(files: DataFrame, root: str) -> DataFrame:
     """Fill hash and dimensions of only those files that lack them; known values are kept.
 
-    The bytes of complete files are not looked at. ``error`` tells why an image stays unmeasured.
+    Complete files are not opened, and of an image that only lacks dimensions nothing but its
+    header is read. ``error`` tells why an image stays unmeasured.
     """
-    lacking = lacks_metadata()
-    found = measured(files.where(lacking), contents).select(
-        "dataset_id",
-        "relative_path",
-        *[F.col(c).alias(f"_{c}") for c in ("width", "height", "sha256", "error")],
-    )
     both = (F.coalesce("width", F.lit(0)) > 0) & (F.coalesce("height", F.lit(0)) > 0)
     known_hash = F.when(F.coalesce("sha256", F.lit("")) != "", F.col("sha256"))
-    filled = (
-        files.where(lacking)
-        .join(found, ["dataset_id", "relative_path"], "left")
-        .withColumns(
-            {
-                "width": F.when(both, F.col("width")).otherwise(F.col("_width")),
-                "height": F.when(both, F.col("height")).otherwise(F.col("_height")),
-                "sha256": F.coalesce(known_hash, F.col("_sha256")),
-                "error": F.when(~both, F.col("_error")),
-            }
-        )
+    lacking = by_bytes(files.where(lacks_metadata())).withColumns(
+        {"_hash": known_hash.isNull(), "_size": is_image(F.col("relative_path")) & ~both}
+    )
+    found = lacking.mapInArrow(_measure(local_root(root), lacking.columns), _with_found(lacking))
+    filled = found.withColumns(
+        {
+            "width": F.when(both, F.col("width")).otherwise(F.col("_width")),
+            "height": F.when(both, F.col("height")).otherwise(F.col("_height")),
+            "sha256": F.coalesce(known_hash, F.col("_sha256")),
+            "error": F.when(~both, F.col("_error")),
+        }
     )
-    complete = files.where(~lacking).withColumn("error", F.lit(None).cast("string"))
+    complete = files.where(~lacks_metadata()).withColumn("error", F.lit(None).cast("string"))
     return complete.unionByName(filled.select(*files.columns, "error"))
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
 DIMENSIONS = "width int, height int, error string"
+#: Bytes at the beginning that hold the dimensions of every format but JPEG.
+HEAD = 32
 # Fixed value: JPEG frame markers, which carry the dimensions.
 _FRAMES = frozenset(range(0xC0, 0xD0)) - {0xC4, 0xC8, 0xCC}
 
@@ -20,19 +24,23 @@ def _little(data: bytes, start: int, size: int) -> int:
     return int.from_bytes(data[start : start + size], "little")
 
 
-def _jpeg(data: bytes) -> tuple[int, int]:
+def _jpeg(file: BinaryIO) -> tuple[int, int]:
+    """From segment to segment: what a segment holds is skipped, not read."""
     at = 2
-    while at + 9 <= len(data):
-        if data[at] != 0xFF:
+    while True:
+        file.seek(at)
+        segment = file.read(9)
+        if len(segment) < 9:
+            raise ValueError("no JPEG frame")
+        if segment[0] != 0xFF:
             raise ValueError("broken JPEG segment")
-        marker = data[at + 1]
+        marker = segment[1]
         if marker == 0xFF or 0xD0 <= marker <= 0xD8 or marker == 0x01:
             at += 1 if marker == 0xFF else 2
         elif marker in _FRAMES:
-            return _big(data, at + 7, 2), _big(data, at + 5, 2)
+            return _big(segment, 7, 2), _big(segment, 5, 2)
         else:
-            at += 2 + max(2, _big(data, at + 2, 2))
-    raise ValueError("no JPEG frame")
+            at += 2 + max(2, _big(segment, 2, 2))
 
 
 def _webp(data: bytes) -> tuple[int, int]:
@@ -47,12 +55,13 @@ def _webp(data: bytes) -> tuple[int, int]:
     raise ValueError("unknown WebP chunk")
 
 
-def image_size(data: bytes) -> tuple[int, int]:
-    """Dimensions of PNG, JPEG, BMP and WebP bytes; ValueError for anything else."""
+def image_size(file: BinaryIO) -> tuple[int, int]:
+    """Dimensions of a PNG, JPEG, BMP or WebP file; ValueError for anything else."""
+    data = file.read(HEAD)
     if data[:8] == b"\x89PNG\r\n\x1a\n" and data[12:16] == b"IHDR":
         need, size = 24, (_big(data, 16, 4), _big(data, 20, 4))
     elif data[:2] == b"\xff\xd8":
-        need, size = 4, _jpeg(data)
+        need, size = 4, _jpeg(file)
     elif data[:2] == b"BM" and _little(data, 14, 4) == 12:
         need, size = 22, (_little(data, 18, 2), _little(data, 20, 2))
     elif data[:2] == b"BM":
@@ -61,18 +70,23 @@ def image_size(data: bytes) -> tuple[int, int]:
     elif data[:4] == b"RIFF" and data[8:12] == b"WEBP":
         need, size = 30 if data[12:16] != b"VP8L" else 25, _webp(data)
     else:
-        raise ValueError("not a known image header")
+        raise ValueError("unknown kind of image")
     if len(data) < need or size[0] < 1 or size[1] < 1:
-        raise ValueError("truncated image header")
+        raise ValueError("image header ends early")
     return size
 
 
-def _measure(data: bytes) -> tuple[int | None, int | None, str | None]:
+def _measure(file: BinaryIO) -> tuple[int | None, int | None, str | None]:
     try:
-        width, height = image_size(bytes(data))
-        return width, height, None
-    except (ValueError, IndexError, TypeError) as exc:
-        return None, None, f"cannot read image dimensions: {exc}"
+        return *image_size(file), None
+    except (ValueError, IndexError) as exc:
+        return None, None, f"no dimensions: {exc}"
+
+
+def measure_file(path: str) -> tuple[int | None, int | None, str | None]:
+    """(width, height, error) of an image file, of which only the header is read."""
+    with open(path, "rb", buffering=512) as file:
+        return _measure(file)
 
 
 def image_dimensions(images: DataFrame) -> DataFrame:
@@ -84,7 +98,7 @@ def image_dimensions(images: DataFrame) -> DataFrame:
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes = [_measure(data) for data in batch["content"]]
+            sizes = [_measure(io.BytesIO(data or b"")) for data in batch["content"]]
             out = batch[names].copy()
             for i, name in enumerate(("width", "height")):
                 out[name] = pd.array([s[i] for s in sizes], dtype="Int32")

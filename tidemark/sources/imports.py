@@ -12,11 +12,10 @@ from tidemark.schemas import IMPORT_STATE
 
 _HEADER = (
     "struct<project_id:string,import_id:string,source:string,format:string,task_key:string,"
-    "completed:boolean,files:map<string,string>>"
+    "files:map<string,string>>"
 )
 _ENTRY = (
-    "struct<uploaded:boolean,streamed:boolean,object_key:string,sha256:string,size_bytes:bigint,"
-    "width:int,height:int>"
+    "struct<object_key:string,sha256:string,size_bytes:bigint,width:int,height:int>"
 )
 
 
@@ -44,17 +43,28 @@ def is_json_object(text: Column) -> Column:
     return F.coalesce(kind.startswith("OBJECT"), F.lit(False))
 
 
+def is_truthy(value: Column) -> Column:
+    """Whether a JSON value (variant) counts as yes: all but null, false, zero and what is empty.
+    NULL where there is no value."""
+    text = F.to_json(value)
+    nothing = text.isin("null", "false", '""', "[]", "{}")
+    return ~nothing & ~F.coalesce(text.try_cast("double") == 0, F.lit(False))
+
+
 def state_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Header and file rows of resume states (``path``, ``mtime``, ``text``). Documents that are
     not JSON objects are skipped; an entry that is not an object keeps NULL flags."""
     parsed = documents.where(is_json_object(F.col("text"))).select(
-        F.col("path").alias("state_path"), "mtime", F.from_json("text", _HEADER).alias("s")
+        F.col("path").alias("state_path"),
+        "mtime",
+        F.from_json("text", _HEADER).alias("s"),
+        is_truthy(F.try_variant_get(F.try_parse_json("text"), "$.completed", "variant")).alias("done"),
     )
     texts = ("project_id", "import_id", "source", "format")
     header = parsed.select(
         *[F.coalesce(F.col(f"s.{c}"), F.lit("")).alias(c) for c in texts],
         F.col("s.task_key").alias("task_key"),
-        F.coalesce("s.completed", F.lit(False)).alias("completed"),
+        F.coalesce("done", F.lit(False)).alias("completed"),
         "state_path",
         "mtime",
     )
@@ -62,14 +72,21 @@ def state_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         *[F.coalesce(F.col(f"s.{c}"), F.lit("")).alias(c) for c in ("project_id", "import_id")],
         F.explode("s.files").alias("relative_path", "value"),
     )
-    entry = F.when(F.col("value").startswith("{"), F.from_json("value", _ENTRY))
-    flagged = entries.withColumn("e", entry)
+    is_object = F.col("value").startswith("{")
+    flagged = entries.withColumns(
+        {
+            "e": F.when(is_object, F.from_json("value", _ENTRY)),
+            "v": F.when(is_object, F.try_parse_json("value")),
+        }
+    )
     files = flagged.select(
         "project_id",
         "import_id",
         "relative_path",
-        F.col("e.uploaded").alias("uploaded"),
-        F.col("e.streamed").alias("streamed"),
+        *[
+            is_truthy(F.try_variant_get("v", f"$.{flag}", "variant")).alias(flag)
+            for flag in ("uploaded", "streamed")
+        ],
         F.nullif("e.object_key", F.lit("")).alias("object_key"),
         F.nullif("e.sha256", F.lit("")).alias("sha256"),
         F.col("e.size_bytes").alias("size_bytes"),
@@ -88,21 +105,29 @@ def read_import_states(
 
 
 def listed_imports(pages: DataFrame) -> DataFrame:
-    """Entries of landed listing pages (``project_id``, ``path``, ``text``), all pages. Entries
-    that are not objects are dropped; ``ordinal`` follows page and position."""
+    """Entries of landed listing pages (``project_id``, ``path``, ``mtime``, ``text``), all pages.
+
+    Entries that are not objects are dropped. ``ordinal`` follows the number that the page's name
+    ends with, so page 10 comes after page 9, then the time it landed, and the position in it.
+    """
+    number = F.regexp_extract("path", r"([0-9]+)\D*$", 1).try_cast("decimal(38,0)")
     entries = pages.select(
         "project_id",
         "path",
+        "mtime",
+        F.coalesce(number, F.lit(0)).alias("page"),
         F.posexplode(F.from_json("text", "struct<imports:array<string>>")["imports"]),
     )
     kept = entries.where(F.col("col").startswith("{"))
-    return kept.withColumn("e", compact_import(F.col("col"))).select(
-        "project_id", "e.*", F.struct("path", "pos").alias("ordinal")
-    )
+    ordinal = F.struct("page", "mtime", "path", "pos").alias("ordinal")
+    compact = kept.select("project_id", ordinal, F.inline(compact_import(F.col("col"))))
+    return compact.select("project_id", *compact.columns[2:], "ordinal")
 
 
-def read_server_imports(spark: SparkSession, listing_dir: str) -> DataFrame:
-    """Listing pages landed as ``<listing_dir>/<project>/*.json``."""
-    pages = _documents(spark, listing_dir)
+def read_server_imports(
+    spark: SparkSession, listing_dir: str, project_segment: str | None = None
+) -> DataFrame:
+    """Listing pages landed as ``<listing_dir>/<project>/*.json``, of one project folder or of all."""
+    pages = _documents(spark, listing_dir, project_segment)
     project = F.regexp_extract("path", "([^/]+)/[^/]+$", 1)
-    return listed_imports(pages.select(project.alias("project_id"), "path", "text"))
+    return listed_imports(pages.select(project.alias("project_id"), "path", "mtime", "text"))

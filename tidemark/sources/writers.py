@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.operators.imports import IMPORT_KEYS
+from tidemark.shared import write_and_read
+from tidemark.streaming.deltas import read_log
+
+#: Folders that import states are dealt to, by the hash of project and import.
+BUCKETS = 256
 
 
 def write_manifest(files: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -14,11 +20,24 @@ def write_manifest(files: DataFrame, path: str, fmt: str = "parquet") -> None:
     balanced.write.partitionBy("dataset_id").mode("overwrite").format(fmt).save(path)
 
 
-def write_import_state(import_files: DataFrame, path: str) -> None:
-    """Replace the stored rows of exactly the imports present in ``import_files``."""
-    balanced = import_files.hint("rebalance", *IMPORT_KEYS)
+def write_import_state(import_files: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """Replace the stored rows of exactly the imports present in ``import_files``.
+
+    Rows lie in a fixed number of folders; those that hold one of these imports are written anew,
+    with the rows of their other imports. Ids stay columns of the files, so an empty one stays what
+    it is. Read the table with a schema, or drop its ``bucket``.
+    """
+    bucket = F.pmod(F.xxhash64(*IMPORT_KEYS), F.lit(buckets)).cast("int")
+    new = import_files.withColumn("bucket", bucket)
+    stored = read_log(import_files.sparkSession, path, new.schema)
+    touched = new.select("bucket").distinct()
+    others = stored.join(touched, "bucket", "left_semi").join(
+        new.select(*IMPORT_KEYS).distinct(), list(IMPORT_KEYS), "left_anti"
+    )
+    whole = write_and_read(new.unionByName(others.select(*new.columns)), "import_state")
     (
-        balanced.write.partitionBy(*IMPORT_KEYS)
+        whole.hint("rebalance", "bucket")
+        .write.partitionBy("bucket")
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
