@@ -68,17 +68,41 @@ def is_yolo() -> Column:
     return F.lower(strip(F.col("format"))) == "yolo"
 
 
-def no_images(datasets: DataFrame, files: DataFrame) -> DataFrame:
-    """Datasets without images: below images/ for YOLO, anywhere for the other formats."""
+def dataset_rules(datasets: DataFrame, files: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rules that ask one question of a whole dataset, from one pass over its files: it has
+    images (below images/ for YOLO, anywhere for the other formats), and a YOLO dataset has class
+    names or at least a class file."""
     path = F.col("relative_path")
-    counts = files.groupBy("dataset_id").agg(
+    seen = files.groupBy("dataset_id").agg(
         F.count_if(is_image(path)).alias("anywhere"),
         F.count_if(is_dataset_image(path)).alias("below"),
+        F.bool_or(is_class_file(path)).alias("class_file"),
+    )
+    named = classes.select("dataset_id").distinct().withColumn("named", F.lit(True))
+    facts = datasets.join(seen, "dataset_id", "left").join(named, "dataset_id", "left")
+    images = F.coalesce(F.when(is_yolo(), F.col("below")).otherwise(F.col("anywhere")), F.lit(0))
+    nameless = ~F.coalesce("class_file", F.lit(False)) & ~F.coalesce("named", F.lit(False))
+    found = F.array(
+        _rule(images == 0, ERROR, NO_IMAGES, F.when(is_yolo(), NO_IMAGES_YOLO_MESSAGE).otherwise(NO_IMAGES_MESSAGE)),
+        _rule(is_yolo() & nameless, WARNING, MISSING_NAMES, F.lit(MISSING_NAMES_MESSAGE)),
+    )
+    broken = facts.select("dataset_id", F.inline(F.filter(found, lambda r: r["broken"])))
+    return finding(broken, F.col("severity"), F.col("code"), message=F.col("message"))
+
+
+def _rule(broken: Column, severity: str, code: str, message: Column) -> Column:
+    return F.struct(
+        F.coalesce(broken, F.lit(False)).alias("broken"),
+        F.lit(severity).alias("severity"),
+        F.lit(code).alias("code"),
+        message.alias("message"),
     )
-    seen = F.when(is_yolo(), F.col("below")).otherwise(F.col("anywhere"))
-    empty = datasets.join(counts, "dataset_id", "left").where(F.coalesce(seen, F.lit(0)) == 0)
-    message = F.when(is_yolo(), NO_IMAGES_YOLO_MESSAGE).otherwise(NO_IMAGES_MESSAGE)
-    return finding(empty, ERROR, NO_IMAGES, message=message)
+
+
+def no_images(datasets: DataFrame, files: DataFrame) -> DataFrame:
+    """Datasets without images."""
+    nameless = datasets.select("dataset_id").limit(0)
+    return dataset_rules(datasets, files, nameless).where(F.col("code") == NO_IMAGES)
 
 
 def has_class_file(files: DataFrame) -> DataFrame:
@@ -88,9 +112,7 @@ def has_class_file(files: DataFrame) -> DataFrame:
 
 def missing_class_names(datasets: DataFrame, files: DataFrame, classes: DataFrame) -> DataFrame:
     """YOLO datasets with neither class names nor a class file."""
-    named = has_class_file(files).unionByName(classes.select("dataset_id").distinct())
-    bare = datasets.where(is_yolo()).join(named, "dataset_id", "left_anti")
-    return finding(bare, WARNING, MISSING_NAMES, message=MISSING_NAMES_MESSAGE)
+    return dataset_rules(datasets, files, classes).where(F.col("code") == MISSING_NAMES)
 
 
 def _expected(files: DataFrame) -> DataFrame:
@@ -138,15 +160,24 @@ def orphan_labels(files: DataFrame) -> DataFrame:
 
 
 def label_pairing(files: DataFrame) -> DataFrame:
-    """Both label rules from one join: each side of the manifest is shuffled once, not twice.
+    """Both label rules from one pass: every image and label file meets at the label's path, and
+    what stays alone there is reported.
 
-    The key includes the path, so a hot dataset spreads over all tasks.
+    The key includes the path, so a hot dataset spreads over all tasks. The images that expect one
+    label differ in their suffix only, so a list holds a handful.
     """
-    pairs = (
-        _expected(files)
-        .join(_present(files).withColumn("present", F.lit(True)), ["dataset_id", "label"], "full")
-        .where(F.col("image").isNull() | F.col("present").isNull())
+    path = F.col("relative_path")
+    image = is_dataset_image(path)
+    ends = files.where(image | is_label(path)).select(
+        "dataset_id",
+        F.when(image, expected_label_path(path)).otherwise(path).alias("label"),
+        F.when(image, path).alias("image"),
+    )
+    met = ends.groupBy("dataset_id", "label").agg(
+        F.collect_list("image").alias("images"), F.bool_or(F.col("image").isNull()).alias("present")
     )
+    alone = met.where(~F.col("present") | (F.size("images") == 0))
+    pairs = alone.select("dataset_id", "label", F.explode_outer("images").alias("image"))
     missing = F.col("image").isNotNull()
     return finding(
         pairs,
@@ -266,8 +297,7 @@ def dataset_findings(
         .select("dataset_id", F.coalesce("n", F.lit(0)).alias("class_count"))
     )
     return findings(
-        no_images(datasets, files),
-        missing_class_names(datasets, files, classes),
+        dataset_rules(datasets, files, classes),
         unmatched,
         label_findings(label_lines, counts),
     )
