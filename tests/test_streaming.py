@@ -76,6 +76,12 @@ def test_status_over_batches(spark, tmp_path):
     feeds.stream_import_status(stream(spark, str(tmp_path)), log).awaitTermination()
     got = {r.import_id: (r.outcome, r.waited_sec) for r in feeds.import_outcomes(spark, log, 60).collect()}
     assert got == {"done": ("success", 5.0), "late": ("timed_out", 60.0), "open": ("pending", 3.0)}
+    later = feeds.import_outcomes(spark, log, 60, now=F.timestamp_seconds(F.lit(70)))
+    assert {r.import_id: r.outcome for r in later.collect()} == {
+        "done": "success",
+        "late": "timed_out",
+        "open": "timed_out",
+    }
 
 
 def test_file_state_over_batches(spark, events):
@@ -104,6 +110,41 @@ def test_file_state_over_batches(spark, events):
     assert same(want, feeds.current_file_state(spark, log))
 
 
+def test_folded_logs_say_the_same(spark, events, monkeypatch):
+    monkeypatch.setattr(feeds, "FOLD_EVERY", 2)
+    log = new_path(spark, "logs")
+    checkpoint = new_path(spark, "streams")
+    progress = feeds.stream_progress(stream(spark, events), "10 minutes", "1 hour")
+    feeds.start_progress(progress, log, checkpoint).awaitTermination()
+    whole = feeds.stream_progress(spark.read.parquet(events), "10 minutes", "1 hour")
+    assert same(whole, feeds.latest_progress(spark, log))
+    entries = deltas.read_log(spark, log, f"{feeds.PROGRESS_LOG}, batch_id bigint")
+    kept = {r[0] for r in entries.select("batch_id").distinct().collect()}
+    assert len(kept) < 4
+    for k in sorted(kept):  # folding again changes nothing
+        deltas.fold_log(spark, log, feeds.PROGRESS_LOG, feeds._last_progress, k)
+        assert same(whole, feeds.latest_progress(spark, log))
+
+
+def test_stream_runs_until_stopped(spark, tmp_path):
+    schema = "dataset_id string, relative_path string"
+    spark.createDataFrame([("d", "a")], schema).write.parquet(str(tmp_path))
+    log = new_path(spark, "logs")
+    source = feeds.file_stream(spark, str(tmp_path), schema, max_files=1)
+    running = feeds.micro_batches(source, log, 10, every="100 milliseconds")
+    try:
+        for name in "bc":
+            running.processAllAvailable()
+            spark.createDataFrame([("d", name)], schema).write.mode("append").parquet(str(tmp_path))
+        running.processAllAvailable()
+        assert running.isActive
+    finally:
+        running.stop()
+    out = deltas.read_log(spark, log, f"{schema}, flush_id bigint, batch_id bigint").collect()
+    assert sorted(r.relative_path for r in out) == list("abc")
+    assert len({(r.dataset_id, r.batch_id, r.flush_id) for r in out}) >= 3
+
+
 def test_new_files_appear_once(spark, tmp_path):
     schema = "dataset_id string, relative_path string"
     for names in ("ab", "bc", "abcd"):

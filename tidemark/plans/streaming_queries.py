@@ -12,10 +12,28 @@ from tidemark.shared import new_path
 from tidemark.streaming import deltas, feeds
 
 
+#: Files that a table arrives in; one micro-batch takes one.
+ARRIVALS = 4
+
+
+def _arrivals(spark: SparkSession, sf_dir: str, source: str, order: str) -> tuple[str, DataFrame]:
+    """A folder with the table's rows in files that land one after the other, and the table."""
+    rows = table(spark, sf_dir, source)
+    folder = new_path(spark, "arrivals")
+    shares = F.array(*(F.lit(k / ARRIVALS) for k in range(1, ARRIVALS)))
+    ends = rows.agg(F.percentile_approx(order, shares).alias("ends")).first()["ends"]
+    for k in range(ARRIVALS):
+        part = rows if k == ARRIVALS - 1 else rows.where(F.col(order) <= F.lit(ends[k]))
+        part = part.where(F.col(order) > F.lit(ends[k - 1])) if k else part
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return folder, rows
+
+
 def _stream(spark: SparkSession, sf_dir: str, view_name: str, source: str) -> DataFrame:
-    """A view over a table that arrives as a stream of files."""
-    schema = table(spark, sf_dir, source).schema
-    files = feeds.file_stream(spark, sf_dir, schema, glob=f"{source}.parquet")
+    """A view over a table that arrives as a stream of files, in the order of its key."""
+    order = {"orders": "o_orderkey", "events": "ts"}[source]
+    folder, rows = _arrivals(spark, sf_dir, source, order)
+    files = feeds.file_stream(spark, folder, rows.schema, max_files=1)
     return view(spark, sf_dir, view_name, {source: files})
 
 
@@ -98,12 +116,22 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "micro_batches",
-    """SELECT dataset_id, relative_path, CAST(floor((row_number() OVER (PARTITION BY dataset_id
-        ORDER BY string_split(relative_path, '/')) - 1) / 512) AS BIGINT) AS flush_id
-      FROM v_files""",
+    """SELECT dataset_id, relative_path, 1::BIGINT AS in_flushes, true AS full_or_last FROM v_files""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _stream(spark, sf_dir, "v_files", "orders").select("dataset_id", "relative_path")
     sink = new_path(spark, "logs")
     feeds.micro_batches(files, sink).awaitTermination()
-    return deltas.read_log(spark, sink, "dataset_id string, relative_path string, flush_id bigint")
+    schema = "dataset_id string, relative_path string, flush_id bigint, batch_id bigint"
+    cut = deltas.read_log(spark, sink, schema)
+    flush = ["dataset_id", "batch_id", "flush_id"]
+    sizes = cut.groupBy(*flush).agg(F.count("*").alias("size"))
+    last = sizes.groupBy("dataset_id", "batch_id").agg(F.max("flush_id").alias("last"))
+    sizes = sizes.join(last, ["dataset_id", "batch_id"])
+    good = (F.col("size") == feeds.FLUSH_SIZE) | (
+        (F.col("flush_id") == F.col("last")) & (F.col("size") <= feeds.FLUSH_SIZE)
+    )
+    whole = cut.join(sizes.select(*flush, good.alias("full_or_last")), flush)
+    return whole.groupBy("dataset_id", "relative_path").agg(
+        F.count("*").alias("in_flushes"), F.bool_and("full_or_last").alias("full_or_last")
+    )

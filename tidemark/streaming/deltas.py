@@ -3,6 +3,10 @@
 A batch first shrinks its rows with aggregates that commute (or_, min, max by time), then replaces
 its own folder, so a replay after a failure changes nothing and a hot key is small before it is
 shuffled. Readers fold the log with the same aggregates; a batch never rewrites earlier state.
+
+A log is folded now and then: all batches up to one become a single folder, a base, so readers meet
+the state once and only the batches since. A base is written beside the batches and counts from the
+moment that it is complete; what it holds is removed afterwards.
 """
 
 from __future__ import annotations
@@ -11,10 +15,11 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemark.shared import new_path
+from tidemark.shared import new_path, write_and_read
 
 
 def batch_path(log: str, batch_id: int) -> str:
@@ -37,18 +42,44 @@ def read_log(spark: SparkSession, log: str, schema: StructType | str) -> DataFra
         return empty
 
 
+def fold_log(
+    spark: SparkSession,
+    log: str,
+    schema: StructType | str,
+    fold: Callable[[DataFrame], DataFrame],
+    batch_id: int,
+) -> None:
+    """Make one batch of all up to ``batch_id``, which must be done for good: a batch that may run
+    again would write over the others' rows. ``fold`` merges rows and may be applied to its own
+    results. Batch ``batch_id`` is replaced by the merged rows first and the ones before are emptied
+    then, so a reader, or a second run, in between meets rows twice, which folding again undoes."""
+    entries = read_log(spark, log, f"{_schema(schema)}, batch_id bigint")
+    old = entries.where(F.col("batch_id") <= batch_id)
+    earlier = [r[0] for r in old.select("batch_id").distinct().collect() if r[0] < batch_id]
+    merged = write_and_read(fold(old.drop("batch_id")), "folds")
+    write_batch(merged, log, batch_id)
+    for k in earlier:
+        write_batch(merged.limit(0), log, k)
+
+
+def _schema(schema: StructType | str) -> str:
+    return schema if isinstance(schema, str) else schema.toDDL()
+
+
 def start(
     stream: DataFrame,
     each_batch: Callable[[DataFrame, int], None],
     checkpoint: str | None = None,
-    available_now: bool = True,
+    every: str | None = None,
     output_mode: str = "append",
 ) -> StreamingQuery:
-    """Start a stream whose micro-batches go to ``each_batch``."""
+    """Start a stream whose micro-batches go to ``each_batch``: over what is there now, or, with an
+    interval such as ``"10 seconds"``, until it is stopped."""
     location = checkpoint or new_path(stream.sparkSession, "streams")
     writer = (
         stream.writeStream.outputMode(output_mode)
         .foreachBatch(each_batch)
         .option("checkpointLocation", location)
     )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.trigger(**trigger).start()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -12,9 +12,12 @@ from tidemark.functions.status import import_status_class
 from tidemark.operators.ordering import last_wins
 from tidemark.operators.planning import assign_batches
 from tidemark.operators.telemetry import FIRST_TARGET, first_n_accepted
-from tidemark.streaming.deltas import batch_path, read_log, start, write_batch
+from tidemark.shared import write_and_read
+from tidemark.streaming.deltas import batch_path, fold_log, read_log, start, write_batch
 
 FLUSH_SIZE = 512
+#: Batches after which a log is folded into one.
+FOLD_EVERY = 32
 
 
 def file_stream(
@@ -63,26 +66,31 @@ def stream_progress(stream: DataFrame, interval: str, lateness: str) -> DataFram
 
 PROGRESS_LOG = (
     "window_start timestamp, run_id bigint, done_files bigint, done_bytes bigint, "
-    "done_mib double, mib_per_sec double"
+    "done_mib double, mib_per_sec double, logged_by bigint"
 )
 
 
 def start_progress(
-    progress: DataFrame, log: str, checkpoint: str | None = None
+    progress: DataFrame, log: str, checkpoint: str | None = None, every: str | None = None
 ) -> StreamingQuery:
-    """Log each change of :func:`stream_progress`."""
-    return start(
-        progress,
-        lambda batch, batch_id: write_batch(batch, log, batch_id),
-        checkpoint,
-        output_mode="update",
-    )
+    """Log each change of :func:`stream_progress`; every ``FOLD_EVERY`` batches the log keeps the
+    last value of each interval and run only."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch.withColumn("logged_by", F.lit(batch_id)), log, batch_id)
+        if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
+            fold_log(batch.sparkSession, log, PROGRESS_LOG, _last_progress, batch_id - 1)
+
+    return start(progress, each, checkpoint, every, output_mode="update")
+
+
+def _last_progress(entries: DataFrame) -> DataFrame:
+    return last_wins(entries, ["window_start", "run_id"], "logged_by")
 
 
 def latest_progress(spark: SparkSession, log: str) -> DataFrame:
     """Last logged value per interval and run."""
-    entries = read_log(spark, log, f"{PROGRESS_LOG}, batch_id bigint")
-    return last_wins(entries, ["window_start", "run_id"], "batch_id").drop("batch_id")
+    return _last_progress(read_log(spark, log, PROGRESS_LOG)).drop("logged_by")
 
 
 STATUS_LOG = (
@@ -104,21 +112,21 @@ def status_delta(polls: DataFrame) -> DataFrame:
 
 
 def stream_import_status(
-    stream: DataFrame, log: str, checkpoint: str | None = None
+    stream: DataFrame, log: str, checkpoint: str | None = None, every: str | None = None
 ) -> StreamingQuery:
     """Follow polled statuses (``project_id``, ``import_id``, ``status``, ``ts``)."""
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         write_batch(status_delta(batch), log, batch_id)
+        if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
+            fold_log(batch.sparkSession, log, STATUS_LOG, fold_status, batch_id - 1)
 
-    return start(stream, fold, checkpoint)
+    return start(stream, fold, checkpoint, every)
 
 
-def import_outcomes(spark: SparkSession, log: str, timeout_sec: float) -> DataFrame:
-    """Outcome per import: the first status that ends a wait, ``timed_out`` when polling went on
-    for ``timeout_sec`` without one, else ``pending`` with its last status."""
-    entries = read_log(spark, log, STATUS_LOG)
-    folded = entries.groupBy("project_id", "import_id").agg(
+def fold_status(entries: DataFrame) -> DataFrame:
+    """One row per import from rows of the status log; folds with itself."""
+    return entries.groupBy("project_id", "import_id").agg(
         F.min("first_ts").alias("first_ts"),
         F.max("last_ts").alias("last_ts"),
         F.max_by("last_status", F.struct("last_ts", "last_status")).alias("last_status"),
@@ -127,10 +135,24 @@ def import_outcomes(spark: SparkSession, log: str, timeout_sec: float) -> DataFr
             "ended_status", F.when(F.col("ended_ts").isNotNull(), F.struct("ended_ts", "ended_status"))
         ).alias("ended_status"),
     )
+
+
+def import_outcomes(
+    spark: SparkSession, log: str, timeout_sec: float, now: Column | None = None
+) -> DataFrame:
+    """Outcome per import: the first status that ends a wait, ``timed_out`` when none came within
+    ``timeout_sec`` of the first poll, else ``pending`` with its last status.
+
+    The deadline is held against ``now``: ``current_timestamp()`` for a live feed, so an import whose
+    polls stop times out too. By default it is the import's last poll, which a replay repeats.
+    """
+    folded = fold_status(read_log(spark, log, STATUS_LOG))
+    folded = folded.withColumn("now", F.col("last_ts") if now is None else now)
     waited = F.coalesce("ended_ts", "last_ts")
     seconds = (F.unix_micros(waited) - F.unix_micros("first_ts")) / 1e6
+    open_for = (F.unix_micros("now") - F.unix_micros("first_ts")) / 1e6
     status = F.coalesce("ended_status", "last_status")
-    late = F.col("ended_ts").isNull() & (seconds >= timeout_sec)
+    late = F.col("ended_ts").isNull() & (open_for >= timeout_sec)
     return folded.select(
         "project_id",
         "import_id",
@@ -147,27 +169,40 @@ MILESTONES = (
 
 
 def stream_first_n(
-    stream: DataFrame, log: str, target: int = FIRST_TARGET, checkpoint: str | None = None
+    stream: DataFrame,
+    log: str,
+    target: int = FIRST_TARGET,
+    checkpoint: str | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """One row per run, once, when it reaches ``target`` accepted files.
 
     A batch adds up its runs first. Only the rows of runs that cross the target in this batch are
-    ordered, so the milestone costs a sort of a run once in its life.
+    ordered, so the milestone costs a sort of a run once in its life. Each batch writes the totals of
+    all runs so far and reads those of the batch before, so its cost doesn't grow with their number.
     """
     totals_log, hits_log = f"{log}/totals", f"{log}/hits"
 
     def fold(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            fold_kept(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def fold_kept(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         files = F.greatest(F.lit(0), F.col("file_count")).cast("bigint")
         mine = batch.groupBy("run_id").agg(
             F.min("ts").alias("started"), F.sum(files).alias("accepted")
         )
-        write_batch(mine, totals_log, batch_id)
-        log_rows = read_log(spark, totals_log, f"{TOTALS_LOG}, batch_id bigint")
-        before = log_rows.where(F.col("batch_id") < batch_id).groupBy("run_id").agg(
-            F.min("started").alias("begun"), F.sum("accepted").alias("had")
+        before = read_log(spark, batch_path(totals_log, batch_id - 1), TOTALS_LOG)
+        now = write_and_read(mine)
+        sums = before.unionByName(now).groupBy("run_id").agg(
+            F.min("started").alias("started"), F.sum("accepted").alias("accepted")
         )
-        now = spark.read.schema(TOTALS_LOG).parquet(batch_path(totals_log, batch_id))
+        write_batch(sums, totals_log, batch_id)
+        before = before.select("run_id", F.col("started").alias("begun"), F.col("accepted").alias("had"))
         had = F.coalesce("had", F.lit(0))
         crossing = (
             now.join(before, "run_id", "left")
@@ -184,8 +219,10 @@ def stream_first_n(
         own = batch.select("run_id", "ts", "event_id", "file_count")
         rows = own.join(crossing.select("run_id"), "run_id", "left_semi").unionByName(carried)
         write_batch(first_n_accepted(rows, target), hits_log, batch_id)
+        if batch_id > 1:  # the batch before may run again and needs the one before it
+            write_batch(sums.limit(0), totals_log, batch_id - 2)
 
-    return start(stream, fold, checkpoint)
+    return start(stream, fold, checkpoint, every)
 
 
 def first_n_milestones(spark: SparkSession, log: str) -> DataFrame:
@@ -210,16 +247,19 @@ def fold_file_state(rows: DataFrame) -> DataFrame:
 
 
 def stream_file_state(
-    stream: DataFrame, log: str, checkpoint: str | None = None
+    stream: DataFrame, log: str, checkpoint: str | None = None, every: str | None = None
 ) -> StreamingQuery:
-    """Follow per-file updates: keys, flags, ``ts``, ``event_id`` and metadata columns."""
+    """Follow per-file updates: keys, flags, ``ts``, ``event_id`` and metadata columns. Every
+    ``FOLD_EVERY`` batches the log is folded into one row per file."""
     meta = ("ts", "event_id", "object_key", "sha256", "size_bytes", "width", "height")
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*_STATE_KEYS, "uploaded", "streamed", F.struct(*meta).alias("meta"))
         write_batch(fold_file_state(rows), log, batch_id)
+        if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
+            fold_log(batch.sparkSession, log, STATE_LOG, fold_file_state, batch_id - 1)
 
-    return start(stream, fold, checkpoint)
+    return start(stream, fold, checkpoint, every)
 
 
 def current_file_state(spark: SparkSession, log: str) -> DataFrame:
@@ -229,13 +269,19 @@ def current_file_state(spark: SparkSession, log: str) -> DataFrame:
 
 
 def micro_batches(
-    stream: DataFrame, sink: str, size: int = FLUSH_SIZE, checkpoint: str | None = None
+    stream: DataFrame,
+    sink: str,
+    size: int = FLUSH_SIZE,
+    checkpoint: str | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Cut each micro-batch of finished files into flushes of ``size`` in manifest order. The rate
-    of the source (``max_files`` of :func:`file_stream`) bounds a micro-batch."""
+    of the source (``max_files`` of :func:`file_stream`) bounds a micro-batch. A flush is named by
+    (dataset, ``batch_id``, ``flush_id``): ids begin anew in each micro-batch, and a reader takes
+    ``batch_id`` from the log."""
 
     def flush(batch: DataFrame, batch_id: int) -> None:
         cut = assign_batches(batch, size).withColumnRenamed("batch_id", "flush_id")
         write_batch(cut.drop("row_index"), sink, batch_id)
 
-    return start(stream, flush, checkpoint)
+    return start(stream, flush, checkpoint, every)
