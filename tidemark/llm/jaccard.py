@@ -11,9 +11,12 @@ are worked on apart:
 2. The fragments count in how many of the remaining classes each shingle is. The global order is by
    that count (as a power of two), then by hash; shingles that only one class has are left out.
 3. Any two classes that link share one of the first ``n - ceil(0.75 n) + 1`` shingles of that order.
-   Each class is first compared with the smallest class of each such shingle; then, as only
-   components are asked for, with the classes that it meets in other components.
-4. A pair's overlap is counted for each fragment of the global order apart and summed.
+   Each class is first compared with one other of these, the one whose shingles are the most common:
+   a pair's overlap is counted for each fragment of the global order apart and summed.
+4. As only components are asked for, what is left are classes that share such a shingle but are in
+   different components so far. Components, and classes still alone by what they were compared
+   with, are cut into blocks of ``BLOCK``; a class goes to the blocks that it has to be compared
+   with, once to each, from the smaller side to the larger. What links is found by exact overlap.
 
 Null and empty texts, and those without words, have empty sets and link with nothing. Repeated rows
 and ids are answered row by row. A null id is reached and reaches, but is never a component's name
@@ -30,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, components, keyed_text, partitions, text_bytes
+from tidemark.llm.common import chunks, components, keyed_text, mix, partitions, text_bytes
 from tidemark.llm.words import shingle_hashes, word_hashes
 from tidemark.shared import write_and_read
 
@@ -38,6 +41,8 @@ WIDTH = 5
 #: Similarity as a fraction: 100 * intersection >= PERCENT * union.
 PERCENT = 75
 AT_ONCE = 1 << 20
+#: Classes that are held together while others are compared with them.
+BLOCK = 512
 
 
 def least_common(n: np.ndarray) -> np.ndarray:
@@ -140,6 +145,47 @@ def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarra
         yield joined()
 
 
+def bundled(bundles: int, names: np.ndarray, values: list[bytes]) -> pa.RecordBatch:
+    """One row (bundle, names, lengths, values) for each bundle of classes: what a task found out
+    about each class, as few rows whatever the number of classes."""
+    bundle = (mix(names.view(np.uint64)) % np.uint64(bundles)).astype(np.int64)
+    rows: tuple[list, ...] = ([], [], [], [])
+    order = np.argsort(bundle, kind="stable")
+    edges = np.searchsorted(bundle[order], np.arange(bundles + 1))
+    for k in np.flatnonzero(np.diff(edges)).tolist():
+        at = order[edges[k] : edges[k + 1]].tolist()
+        some = [values[j] for j in at]
+        rows[0].append(k)
+        rows[1].append(names[at].astype("<i8").tobytes())
+        rows[2].append(np.array([len(v) for v in some], "<i8").tobytes())
+        rows[3].append(b"".join(some))
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(r, k) for r, k in zip(rows, kinds, strict=True)],
+        ["bundle", "names", "lengths", "parts"],
+    )
+
+
+BUNDLE = "bundle int, names binary, lengths binary, parts binary"
+
+
+def unbundled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[list[bytes]]]]:
+    """(names, parts of each) for each bundle of a sorted partition."""
+    held: dict[int, list[bytes]] = {}
+    current = None
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["bundle"] != current:
+                if held:
+                    yield np.array(list(held), np.int64), list(held.values())
+                current, held = row["bundle"], {}
+            cuts = np.concatenate([[0], np.cumsum(np.frombuffer(row["lengths"], "<i8"))]).tolist()
+            for k, name in enumerate(np.frombuffer(row["names"], "<i8").tolist()):
+                held.setdefault(name, []).append(row["parts"][cuts[k] : cuts[k + 1]])
+    if held:
+        yield np.array(list(held), np.int64), list(held.values())
+
+
 def runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each run of equal values begins, and its length."""
     begin = np.flatnonzero(np.append(True, sorted_values[1:] != sorted_values[:-1]))
@@ -148,7 +194,7 @@ def runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def shared_counts(text: DataFrame) -> DataFrame:
     """(class, shared): of the shingles that a class sends in step 1, how many are in another."""
-    fragments = 4 * partitions(text.sparkSession)
+    fragments, bundles = 4 * partitions(text.sparkSession), partitions(text.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,18 +213,32 @@ def shared_counts(text: DataFrame) -> DataFrame:
                     yield packs(fragments, hashes[keep], owner[keep], names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: tuple[list, list] = ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)])
         for _, shingles, names in unpacked(batches):
-            begin, size = runs(shingles)
+            _, size = runs(shingles)
             several = np.repeat(size > 1, size)
             found, n = np.unique(names[several], return_counts=True)
+            total[0].append(found)
+            total[1].append(n)
+        names, place = np.unique(np.concatenate(total[0]), return_inverse=True)
+        sums = np.bincount(place, np.concatenate(total[1]), len(names)).astype("<i8")
+        yield bundled(bundles, names, [n.tobytes() for n in sums])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for names, parts in unbundled(batches):
+            sums = [int(np.frombuffer(b"".join(p), "<i8").sum()) for p in parts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.int64()), pa.array(n, pa.int64())], ["class", "shared"]
+                [pa.array(names, pa.int64()), pa.array(sums, pa.int64())], ["class", "shared"]
             )
 
     dealt = text.select("text").mapInArrow(send, PACK)
     dealt = dealt.repartition(partitions(text.sparkSession), "fragment").sortWithinPartitions("fragment")
-    found = dealt.mapInArrow(count, "class long, shared long")
-    return found.groupBy("class").agg(F.sum("shared").alias("shared"))
+    return by_bundle(dealt.mapInArrow(count, BUNDLE)).mapInArrow(add, "class long, shared long")
+
+
+def by_bundle(found: DataFrame) -> DataFrame:
+    count = partitions(found.sparkSession)
+    return found.repartition(count, "bundle").sortWithinPartitions("bundle")
 
 
 def sets_of(text: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -217,52 +277,41 @@ def ordered(sets: DataFrame) -> DataFrame:
                 yield packs(fragments, np.concatenate(own), owner, part.column("class").to_numpy())
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every: tuple[list, list] = ([np.zeros(0, np.int64)], [np.zeros(0, np.uint64)])
         for fragment, shingles, names in unpacked(batches):
             _, size = runs(shingles)
             several = np.repeat(size > 1, size)
             power = np.log2(np.repeat(size, size)).astype(np.uint64)
             hashes = shingles * np.uint64(fragments) + np.uint64(fragment)
-            place = (power << np.uint64(58)) | (hashes >> np.uint64(6))
-            names, place = names[several], place[several]
-            order = np.argsort(names, kind="stable")
-            names, place = names[order], place[order]
-            if not len(names):
-                continue
-            begin, size = runs(names)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(names[begin], pa.int64()),
-                    pa.array([p.astype("<u8").tobytes() for p in np.split(place, begin[1:])], pa.binary()),
-                ],
-                ["class", "part"],
-            )
-
-    dealt = sets.select("class", "shingles").mapInArrow(send, PACK)
-    dealt = dealt.repartition(partitions(sets.sparkSession), "fragment").sortWithinPartitions("fragment")
-    parts = dealt.mapInArrow(number, "class long, part binary")
-    parts = parts.groupBy("class").agg(F.collect_list("part").alias("parts"))
-    parts = parts.join(sets.select("class", "n"), "class")
+            every[0].append(names[several])
+            every[1].append(((power << np.uint64(58)) | (hashes >> np.uint64(6)))[several])
+        names, place = map(np.concatenate, every)
+        order = np.argsort(names, kind="stable")
+        names, place = names[order], place[order].astype("<u8")
+        if len(names):
+            begin, _ = runs(names)
+            parts = [p.tobytes() for p in np.split(place, begin[1:])]
+            yield bundled(fragments, names[begin], parts)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.column("n").to_numpy()
-            made = [np.sort(np.frombuffer(b"".join(p), "<u8")) for p in batch.column("parts").to_pylist()]
-            keep = np.flatnonzero(np.array([len(m) for m in made]) >= least_common(n))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("class").take(pa.array(keep)),
-                    pa.array(n[keep], pa.int64()),
-                    pa.array([made[k].tobytes() for k in keep], pa.binary()),
-                ],
-                ["class", "n", "shingles"],
-            )
+        for names, parts in unbundled(batches):
+            made = [np.sort(np.frombuffer(b"".join(p), "<u8")).tobytes() for p in parts]
+            for a in range(0, len(made), 500):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[a : a + 500], pa.int64()), pa.array(made[a : a + 500], pa.binary())],
+                    ["class", "shingles"],
+                )
 
-    return parts.select("class", "n", "parts").mapInArrow(gather, "class long, n long, shingles binary")
+    dealt = sets.select("class", "shingles").mapInArrow(send, PACK)
+    dealt = dealt.repartition(partitions(sets.sparkSession), "fragment").sortWithinPartitions("fragment")
+    made = by_bundle(dealt.mapInArrow(number, BUNDLE)).mapInArrow(gather, "class long, shingles binary")
+    enough = F.expr(f"100 * (length(shingles) div 8) >= {PERCENT} * n")
+    return made.join(sets.select("class", "n"), "class").where(enough).select("class", "n", "shingles")
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
-    """(shingle, class, n) for the shingles at the beginning of the global order that decide whether
-    two classes can link."""
+    """(shingle, class, n, score) for the shingles at the beginning of the global order that decide
+    whether two classes can link; score tells how common a class's shingles are."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,6 +321,7 @@ def prefixes(sets: DataFrame) -> DataFrame:
                 own = [np.frombuffer(s, "<u8") for s in part.column("shingles").to_pylist()]
                 alone = n - np.array([len(o) for o in own])
                 size = np.maximum(n - least_common(n) + 1 - alone, 0)
+                score = np.array([float((o >> np.uint64(58)).sum()) for o in own]) / n
                 own = [o[:k] for o, k in zip(own, size, strict=True)]
                 count = np.array([len(o) for o in own])
                 yield pa.RecordBatch.from_arrays(
@@ -279,11 +329,12 @@ def prefixes(sets: DataFrame) -> DataFrame:
                         pa.array(np.concatenate(own).view("<i8"), pa.int64()),
                         pa.array(np.repeat(part.column("class").to_numpy(), count), pa.int64()),
                         pa.array(np.repeat(n, count), pa.int64()),
+                        pa.array(np.repeat(score, count), pa.float64()),
                     ],
-                    ["shingle", "class", "n"],
+                    ["shingle", "class", "n", "score"],
                 )
 
-    return sets.mapInArrow(work, "shingle long, class long, n long")
+    return sets.mapInArrow(work, "shingle long, class long, n long, score double")
 
 
 def verified(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
@@ -344,29 +395,161 @@ def may_link(n_a: str, n_b: str) -> str:
 def class_components(sets: DataFrame) -> DataFrame:
     """(node, component) for classes that link with another."""
     firsts = write_and_read(prefixes(sets), "prefixes")
-    fragments = write_and_read(cut(sets), "fragments")
-    least = firsts.groupBy("shingle").agg(F.min(F.struct("class", "n")).alias("l"), F.count("*").alias("k"))
-    least = least.where("k > 1").select("shingle", F.col("l.class").alias("b"), F.col("l.n").alias("n_b"))
-    stars = firsts.join(least, "shingle").where("class <> b").where(may_link("n", "n_b"))
-    stars = stars.select(F.col("class").alias("a"), "b", F.col("n").alias("n_a"), "n_b").distinct()
-    edges = write_and_read(verified(stars, fragments), "links")
+    best = firsts.groupBy("shingle").agg(
+        F.max(F.struct("score", "class", "n")).alias("l"), F.count("*").alias("k")
+    )
+    best = best.where("k > 1").select("shingle", "l")
+    leaders = firsts.join(best, "shingle").groupBy("class", "n").agg(F.max("l").alias("l"))
+    leaders = leaders.select("class", "n", F.col("l.class").alias("leader"), F.col("l.n").alias("n_l"))
+    leaders = write_and_read(leaders, "leaders")
+    pairs = leaders.where("class <> leader").where(may_link("n", "n_l")).select(
+        F.col("class").alias("a"), F.col("leader").alias("b"), F.col("n").alias("n_a"), F.col("n_l").alias("n_b")
+    )
+    edges = write_and_read(verified(pairs, write_and_read(cut(sets), "fragments")), "links")
     joined = write_and_read(components(edges), "components")
-    # what is left: classes that share a shingle but are in different components so far
-    placed = firsts.join(joined.withColumnRenamed("node", "class"), "class", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "class"))
-    mixed = placed.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    placed = placed.join(mixed.where("x < y").select("shingle"), "shingle", "left_semi")
-    placed = write_and_read(placed, "mixed")
-    met = placed.select("shingle", F.col("component").alias("other")).distinct()
-    left = placed.select("shingle", F.col("class").alias("a"), F.col("n").alias("n_a"), "component")
-    left = left.join(met, "shingle").where("component < other").select("shingle", "a", "n_a", "other")
-    right = placed.select(
-        "shingle", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("other")
+    sizes = joined.groupBy("component").agg(F.count("*").alias("size"))
+    placed = leaders.select("class", "leader").join(
+        joined.join(sizes, "component").withColumnRenamed("node", "class"), "class", "left"
+    )
+    lone = F.col("component").isNull()
+    alone = placed.where(lone).groupBy("leader").agg(F.count("*").alias("lone_size"))
+    placed = placed.join(alone, "leader", "left").select(
+        "class",
+        lone.alias("lone"),
+        F.coalesce("component", "leader").alias("group"),
+        F.when(lone, F.col("lone_size")).otherwise(F.col("size")).alias("size"),
     )
-    more = left.join(right, ["shingle", "other"]).where(may_link("n_a", "n_b"))
-    more = more.select("a", "b", "n_a", "n_b").distinct().join(stars, ["a", "b"], "left_anti")
-    found = write_and_read(verified(more, fragments), "links")
-    return components(edges.union(found))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("class"), blocks).cast("int"))
+    placed = write_and_read(placed, "placed")
+    more = compared(sets, placed, asked_blocks(firsts, placed))
+    return components(edges.union(write_and_read(more, "links")))
+
+
+GROUP = ["lone", "group", "part"]
+
+
+def asked_blocks(firsts: DataFrame, placed: DataFrame) -> DataFrame:
+    """(asker, lone, group, part): the blocks that a class has to be compared with, because they hold
+    a class of another component with which it shares a shingle. Of two groups, the classes of the
+    smaller one ask."""
+    rows = firsts.select("shingle", "class").join(placed, "class")
+    several = rows.groupBy("shingle").agg(
+        F.min(F.struct("lone", "group")).alias("x"),
+        F.max(F.struct("lone", "group")).alias("y"),
+        F.count("*").alias("k"),
+    )
+    several = several.where("k > 1 AND (x <> y OR x.lone)").select("shingle")
+    rows = write_and_read(rows.join(several, "shingle", "left_semi"), "mixed")
+    met = rows.select("shingle", "size", *GROUP).distinct()
+    own = rows.select(
+        "shingle",
+        F.col("class").alias("asker"),
+        F.struct("size", "lone", "group").alias("own_group"),
+    )
+    both = own.join(met, "shingle")
+    other = F.struct("size", "lone", "group")
+    asks = (F.col("own_group") < other) | ((F.col("own_group") == other) & F.col("lone"))
+    return both.where(asks).select("asker", *GROUP).distinct()
+
+
+def compared(sets: DataFrame, placed: DataFrame, asked: DataFrame) -> DataFrame:
+    """(a, b) of links between askers and members of the blocks they ask; of the links in a block
+    as many as join what is linked."""
+    asked = write_and_read(asked, "asked")
+    wanted = asked.select(*GROUP).distinct()
+    members = sets.join(placed.select("class", *GROUP), "class").join(wanted, GROUP, "left_semi")
+    askers = sets.join(asked.withColumnRenamed("asker", "class"), "class")
+    columns = [*GROUP, "asks", "class", "n", "shingles"]
+    rows = members.withColumn("asks", F.lit(False)).select(*columns).union(
+        askers.withColumn("asks", F.lit(True)).select(*columns)
+    )
+    rows = rows.repartition(partitions(sets.sparkSession), *GROUP).sortWithinPartitions(*GROUP, "asks")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, current = None, None
+        for batch in batches:
+            table = batch.to_pydict()
+            edges: list[tuple[int, int]] = []
+            for at in range(batch.num_rows):
+                key = tuple(table[g][at] for g in GROUP)
+                if key != current:
+                    edges += block.joins() if block else []
+                    block, current = Block(), key
+                row = (table["class"][at], table["n"][at], np.frombuffer(table["shingles"][at], "<u8"))
+                if table["asks"][at]:
+                    edges += block.ask(*row)
+                else:
+                    block.hold(*row)
+            yield edge_batch(edges)
+        if block:
+            yield edge_batch(block.joins())
+
+    return rows.mapInArrow(work, "a long, b long")
+
+
+def edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
+    flat = np.array(edges, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["a", "b"])
+
+
+class Block:
+    """Classes whose overlap with others is counted by an index of their shingles."""
+
+    def __init__(self) -> None:
+        self.names: list[int] = []
+        self.sizes: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.ready = False
+
+    def hold(self, name: int, size: int, shingles: np.ndarray) -> None:
+        self.names.append(name)
+        self.sizes.append(size)
+        self.sets.append(shingles)
+
+    def _index(self) -> None:
+        owner = np.repeat(np.arange(len(self.sets), dtype=np.int32), [len(s) for s in self.sets])
+        flat = np.concatenate(self.sets)
+        order = np.argsort(flat, kind="stable")
+        self.owner = owner[order]
+        flat = flat[order]
+        self.begin, self.length = runs(flat)
+        self.shingles = flat[self.begin]
+        self.n = np.array(self.sizes, np.int64)
+        self.root = np.arange(len(self.sets))
+        self.sets.clear()
+        self.ready = True
+
+    def ask(self, name: int, size: int, shingles: np.ndarray) -> list[tuple[int, int]]:
+        """The link of a class with one of the block; others that it links with are joined."""
+        if not self.ready:
+            if not self.names:
+                return []
+            self._index()
+        at = np.minimum(np.searchsorted(self.shingles, shingles), len(self.shingles) - 1)
+        at = at[self.shingles[at] == shingles]
+        length = self.length[at]
+        ends = np.cumsum(length)
+        if not len(ends):
+            return []
+        places = np.arange(int(ends[-1])) + np.repeat(self.begin[at] - (ends - length), length)
+        common = np.bincount(self.owner[places], minlength=len(self.n))
+        linked = np.flatnonzero(100 * common >= PERCENT * (size + self.n - common))
+        linked = [k for k in linked.tolist() if self.names[k] != name]
+        if not linked:
+            return []
+        roots = np.unique(self.root[linked])
+        if len(roots) > 1:
+            self.root[np.isin(self.root, roots)] = roots[0]
+        return [(name, self.names[linked[0]])]
+
+    def joins(self) -> list[tuple[int, int]]:
+        """Links, direct or not, among the block's own classes."""
+        if not self.ready:
+            return []
+        return [
+            (self.names[k], self.names[r]) for k, r in enumerate(self.root.tolist()) if k != r
+        ]
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
