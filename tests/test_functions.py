@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import random
 
 import pytest
@@ -224,10 +225,10 @@ def test_image_headers():
     lossless = b"RIFF" + bytes(4) + b"WEBPVP8L" + bytes(4) + b"\x2f" + little((639) | (479 << 14), 4)
     lossy = b"RIFF" + bytes(4) + b"WEBPVP8 " + bytes(7) + b"\x9d\x01\x2a" + little(320, 2) + little(200, 2)
     jpeg = bytes.fromhex("ffd8ffe000040102ffffc2000b08") + bytes([0, 9, 1, 0]) + bytes(6)
-    assert image_size(bmp) == (31, 17)
-    assert image_size(lossless) == (640, 480)
-    assert image_size(lossy) == (320, 200)
-    assert image_size(jpeg) == (256, 9)
+    assert image_size(io.BytesIO(bmp)) == (31, 17)
+    assert image_size(io.BytesIO(lossless)) == (640, 480)
+    assert image_size(io.BytesIO(lossy)) == (320, 200)
+    assert image_size(io.BytesIO(jpeg)) == (256, 9)
     for broken in (b"", b"\xff\xd8", b"BM", bmp[:20], lossy[:24], b"RIFF....WEBPVP8L", b"GIF89a"):
         with pytest.raises((ValueError, IndexError)):
-            image_size(broken)
+            image_size(io.BytesIO(broken))

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import mimetypes
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.mime_types import COMPRESSED, SUFFIXES, TYPES
+
 # Class metadata names in the order they are looked up.
 CLASS_FILES = ("data.yaml", "data.yml", "dataset.yaml", "dataset.yml", "classes.txt")
 # Fixed value: file name endings that make an image.
@@ -88,24 +87,20 @@ def _map_value(table: dict[str, str], key: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), key)
 
 
-def content_type(path: Column, common: Sequence[str] = (".jpg", ".png", ".txt")) -> Column:
-    """MIME type by extension.
+def content_type(path: Column) -> Column:
+    """MIME type by extension, from the table kept with this package.
 
-    The table is Python's built-in one, without the files an operating system may add.
     A compression suffix is removed first, so ``x.tar.gz`` is a tar and a lone ``x.gz`` unknown.
     """
-    base = mimetypes.MimeTypes(filenames=())
-    types = {ext: base.types_map[True][ext] for ext in common}
-    types.update(base.types_map[True])
     expanded = path
-    for short, full in base.suffix_map.items():
+    for short, full in SUFFIXES.items():
         expanded = F.regexp_replace(
             expanded, rf"(?i)([^/.][^/]*){short.replace('.', '[.]')}\z", f"$1{full}"
         )
     # Written as one pattern: the suffixes above are rare and regexes over every path are not free.
-    any_short = "|".join(s.lstrip(".") for s in base.suffix_map)
+    any_short = "|".join(s.lstrip(".") for s in SUFFIXES)
     expanded = F.when(path.rlike(rf"(?i)\.({any_short})\z"), expanded).otherwise(path)
-    packed = "|".join(s.lstrip(".") for s in base.encodings_map)
+    packed = "|".join(s.lstrip(".") for s in COMPRESSED)
     plain = F.regexp_replace(expanded, rf"([^/.][^/]*)\.({packed})\z", "$1")
     extension = F.lower(F.regexp_extract(plain, _EXTENSION, 1))
-    return F.coalesce(_map_value(types, extension), F.lit(DEFAULT_CONTENT_TYPE))
+    return F.coalesce(_map_value(TYPES, extension), F.lit(DEFAULT_CONTENT_TYPE))

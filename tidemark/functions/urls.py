@@ -37,7 +37,7 @@ def resolve_url(base: Column, url: Column) -> Column:
 
 
 def resolve_url_error(base: Column, url: Column) -> Column:
-    return F.when(resolve_url(base, url).isNull(), "cannot resolve relative URL without absolute base")
+    return F.when(resolve_url(base, url).isNull(), "relative URL needs a base with scheme and host")
 
 
 def rewrite_origin(url: Column, origin: Column) -> Column:

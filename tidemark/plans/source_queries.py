@@ -221,9 +221,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "class_catalog_problems",
     f"""SELECT 'set_' || block AS dataset_id, 'invalid_class_metadata' AS code, 'data.yaml' AS path,
-        CASE block % 6 WHEN 1 THEN 'names keys must be integer class ids'
+        CASE block % 6 WHEN 1 THEN 'a key of names is not an integer'
           WHEN 4 THEN 'nc is 7 but there are ' || count(*) FILTER (p_partkey % 7 <> 0) || ' names'
-          ELSE 'metadata is not valid YAML' END AS message
+          ELSE 'document cannot be parsed as YAML' END AS message
       FROM {_NAMED} WHERE block % 6 IN (1, 4, 5) GROUP BY block""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +46,12 @@ def write_and_read(df: DataFrame, kind: str = "tables") -> DataFrame:
     path = new_path(df.sparkSession, kind)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, where it isn't installed on them: tasks import it."""
+    root = Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}/tidemark", "zip", root.parent, root.name
+    )
+    spark.sparkContext.addPyFile(archive)

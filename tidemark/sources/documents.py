@@ -64,9 +64,9 @@ def _names_of(text: str | None) -> dict[str, object]:
     try:
         root = yaml.load(text, Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader))
     except (yaml.YAMLError, ValueError):
-        return {"names": [], "error": "metadata is not valid YAML"}
+        return {"names": [], "error": "document cannot be parsed as YAML"}
     if not isinstance(root, dict):
-        return {"names": [], "error": "metadata root is not a mapping"}
+        return {"names": [], "error": "top level of the document holds no keys"}
     names = root.get("names")
     if names is None:
         return {"names": [], "error": None}
@@ -76,9 +76,9 @@ def _names_of(text: str | None) -> dict[str, object]:
         try:
             pairs = [_keyed(int(key), name) for key, name in names.items()]
         except (TypeError, ValueError):
-            return {"names": [], "error": "names keys must be integer class ids"}
+            return {"names": [], "error": "a key of names is not an integer"}
     else:
-        return {"names": [], "error": "names must be a list or a mapping"}
+        return {"names": [], "error": "names is neither list nor mapping"}
     kept = [p for p in pairs if str(p["raw_name"]).strip()]
     error = None if kept else "names are empty"
     if kept and root.get("nc") is not None:
