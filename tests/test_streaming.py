@@ -127,15 +127,16 @@ def test_folded_logs_say_the_same(spark, events, monkeypatch):
 
 
 def test_stream_runs_until_stopped(spark, tmp_path):
+    folder = str(tmp_path / "in")
     schema = "dataset_id string, relative_path string"
-    spark.createDataFrame([("d", "a")], schema).write.parquet(str(tmp_path))
+    spark.createDataFrame([("d", "a")], schema).write.parquet(folder)
     log = new_path(spark, "logs")
-    source = feeds.file_stream(spark, str(tmp_path), schema, max_files=1)
+    source = feeds.file_stream(spark, folder, schema, max_files=1)
     running = feeds.micro_batches(source, log, 10, every="100 milliseconds")
     try:
         for name in "bc":
             running.processAllAvailable()
-            spark.createDataFrame([("d", name)], schema).write.mode("append").parquet(str(tmp_path))
+            spark.createDataFrame([("d", name)], schema).write.mode("append").parquet(folder)
         running.processAllAvailable()
         assert running.isActive
     finally:
