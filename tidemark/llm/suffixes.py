@@ -10,8 +10,9 @@ document with a smaller id, or before in the same one. Strings never cross docum
 2. Between shards, suffixes are compared at places chosen by their content: in every string of
    ``LENGTH`` bytes the ``GRAM`` bytes with the smallest hash. Such an anchor goes to the fragment of
    its hash with a hash of all bytes that a string around it can reach. Anchors with an equal
-   surrounding that is earlier are repeats, with all strings around them. The first of several
-   different surroundings goes on to step 3.
+   surrounding that is earlier are repeats, with all strings around them. A string has at least half
+   of its other bytes on one side of its anchor: the first of a surrounding goes on to step 3 where
+   another surrounding has the same bytes so far to the left, or to the right.
 3. The strings around those anchors are merged one by one: each sorted fragment is searched for the
    first place of every string.
 
@@ -43,7 +44,10 @@ SHARD = 1 << 20
 #: its anchor there, an anchor there has to be looked at closer.
 STRING, AROUND, OPEN = 0, 1, 2
 
-PACK = "fragment int, code binary, detail binary, owner binary, place binary, ids binary, keys binary"
+PACK = (
+    "fragment int, code binary, detail binary, sides binary, owner binary, place binary, "
+    "ids binary, keys binary"
+)
 FLAG = "key long, kind int, places binary"
 
 
@@ -196,6 +200,21 @@ def around(
     return mix(hashes.of(begin, end) + (places - begin).astype(np.uint64)), begin, end
 
 
+def sides_of(places: np.ndarray, offsets: np.ndarray, hashes: Hashes) -> np.ndarray:
+    """(n, 2) short hashes of half the bytes that a string has beside its anchor, to the left and to
+    the right of it; 0 where the row has fewer."""
+    half = (LENGTH - GRAM + 1) // 2
+    row = np.searchsorted(offsets, places, side="right") - 1
+    left = np.where(places - half >= offsets[row], places - half, places)
+    end = places + GRAM
+    right = np.where(end + half <= offsets[row + 1], end + half, end)
+    made = np.stack([hashes.of(left, places), hashes.of(end, right)], axis=1) >> np.uint64(48)
+    made = np.maximum(made, np.uint64(1))
+    made[left == places, 0] = 0
+    made[right == end, 1] = 0
+    return made.astype("<u2")
+
+
 def in_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(bytes, offsets, ids, keys) for parts of the rows (id, key, text), ascending, without rows
     that occur twice in a part."""
@@ -220,6 +239,7 @@ def pack(
     place: np.ndarray,
     ids: np.ndarray,
     keys: np.ndarray,
+    sides: np.ndarray | None = None,
 ) -> list[tuple]:
     """Rows of ``PACK``: entries dealt to the fragments of their codes."""
     fragment = (code % np.uint64(fragments)).astype(np.int64)
@@ -235,6 +255,7 @@ def pack(
                 f,
                 short.tobytes(),
                 detail[at].astype("<u8").tobytes(),
+                b"" if sides is None else sides[at].tobytes(),
                 owner.astype("<u2" if len(used) < 1 << 16 else "<u4").tobytes(),
                 place[at].astype("<u4").tobytes(),
                 ids[used].astype("<i8").tobytes(),
@@ -246,8 +267,8 @@ def pack(
 
 def pack_batch(rows: list[tuple]) -> pa.RecordBatch:
     names = [c.split(" ")[0] for c in PACK.split(", ")]
-    kinds = [pa.int32()] + [pa.binary()] * 6
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
+    kinds = [pa.int32()] + [pa.binary()] * 7
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * 8
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
     )
@@ -270,7 +291,7 @@ def flag_batch(key: np.ndarray, kind: int, place: np.ndarray) -> pa.RecordBatch:
 
 
 def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(code, detail, id, key, place) arrays of each fragment of a sorted partition; rows of
+    """(code, detail, id, key, place, sides) arrays of each fragment of a sorted partition; rows of
     fragment -1 are given as they are."""
     held: list[list[np.ndarray]] = []
     current = None
@@ -286,6 +307,7 @@ def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
                 current, held = row["fragment"], []
             place = np.frombuffer(row["place"], "<u4")
             width = len(row["owner"]) // max(len(place), 1)
+            sides = np.frombuffer(row["sides"], "<u2").reshape(-1, 2)
             owner = np.frombuffer(row["owner"], f"<u{width or 2}")
             held.append(
                 [
@@ -294,6 +316,7 @@ def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
                     np.frombuffer(row["ids"], "<i8")[owner],
                     np.frombuffer(row["keys"], "<i8")[owner],
                     place,
+                    sides if len(sides) else np.zeros((len(place), 2), "<u2"),
                 ]
             )
     if held:
@@ -303,15 +326,16 @@ def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 def sorted_entries(part: tuple) -> tuple:
     """Entries by code, detail and then order of documents and places, each once; with whether an
     entry is the first of its code and detail."""
-    code, detail, ids, keys, place = part
+    code, detail, ids, keys, place, sides = part
     order = np.lexsort((place, keys, ids, detail, code))
     code, detail, ids, keys, place = (x[order] for x in (code, detail, ids, keys, place))
+    sides = sides[order]
     same = np.zeros(len(code), bool)
     same[1:] = (code[1:] == code[:-1]) & (detail[1:] == detail[:-1])
     again = same.copy()
     again[1:] &= (keys[1:] == keys[:-1]) & (place[1:] == place[:-1])
     keep = ~again
-    return code[keep], detail[keep], ids[keep], keys[keep], place[keep], ~same[keep]
+    return code[keep], detail[keep], sides[keep], keys[keep], place[keep], ~same[keep]
 
 
 def shard_findings(text: DataFrame, fragments: int) -> DataFrame:
@@ -329,7 +353,8 @@ def shard_findings(text: DataFrame, fragments: int) -> DataFrame:
                 for part in np.split(np.arange(len(found)), begin[1:]):
                     k = int(owner[part[0]])
                     places = (found[part] - offsets[k]).astype("<u4").tobytes()
-                    rows.append((-1 - int(keys[k]) % 1009, b"", b"", b"", places, b"", keys[k : k + 1].astype("<i8").tobytes()))
+                    own = keys[k : k + 1].astype("<i8").tobytes()
+                    rows.append((-1 - int(keys[k]) % 1009, b"", b"", b"", b"", places, b"", own))
             hashes = Hashes(flat)
             places, codes = anchors(flat, offsets, hashes)
             if len(places):
@@ -338,8 +363,9 @@ def shard_findings(text: DataFrame, fragments: int) -> DataFrame:
                 last = np.minimum(end - LENGTH, places)
                 open_ = fresh[last + 1] - fresh[begin] > 0
                 places, codes, detail = places[open_], codes[open_], detail[open_]
+                sides = sides_of(places, offsets, hashes)
                 owner = np.searchsorted(offsets, places, side="right") - 1
-                rows += pack(fragments, codes, detail, owner, places - offsets[owner], ids, keys)
+                rows += pack(fragments, codes, detail, owner, places - offsets[owner], ids, keys, sides)
             if rows:
                 yield pack_batch(rows)
 
@@ -372,12 +398,16 @@ def anchor_flags(packs: DataFrame) -> DataFrame:
         for part in entries(others()):
             yield from passed
             passed.clear()
-            code, _, _, keys, place, first = sorted_entries(part)
+            code, _, sides, keys, place, first = sorted_entries(part)
             yield flag_batch(keys[~first], AROUND, place[~first])
-            begin = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
-            several = np.add.reduceat(first.astype(np.int64), begin) > 1
-            several = np.repeat(several, np.diff(np.append(begin, len(code))))
-            yield flag_batch(keys[first & several], OPEN, place[first & several])
+            code, sides, keys, place = code[first], sides[first], keys[first], place[first]
+            met = np.zeros(len(code), bool)
+            for side in sides.T:
+                _, group, size = np.unique(
+                    code.astype(np.int64) << 16 | side, return_inverse=True, return_counts=True
+                )
+                met |= (size[group] > 1) & (side > 0)
+            yield flag_batch(keys[met], OPEN, place[met])
         yield from passed
 
     return packs.mapInArrow(work, FLAG)
@@ -410,8 +440,9 @@ def string_packs(rows: DataFrame, fragments: int) -> DataFrame:
                     continue
                 codes = Hashes(text).of(begin, begin + LENGTH)
                 owner = np.searchsorted(ends, begin, side="right") - 1
+                fragment = codes % np.uint64(fragments)  # all that the code has to tell here
                 yield pack_batch(
-                    pack(fragments, codes, codes, owner, begin - ends[owner], ids[a:b], keys[a:b])
+                    pack(fragments, fragment, codes, owner, begin - ends[owner], ids[a:b], keys[a:b])
                 )
 
     return rows.select("id", "key", "text", "places", "known").mapInArrow(work, PACK)
@@ -483,7 +514,7 @@ def deal(packs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, spans, kept_sha256) of every row."""
     text = keyed_text(docs, id_col, text_col).withColumn("key", F.xxhash64("id", "text"))
-    fragments = 4 * partitions(docs.sparkSession)
+    fragments = partitions(docs.sparkSession)
     found = shard_findings(text.select("id", "key", "text"), fragments)
     flags = write_and_read(anchor_flags(deal(found)), "repeats")
     nearer = flags.where(F.col("kind") == OPEN).groupBy("key").agg(F.collect_list("places").alias("places"))
