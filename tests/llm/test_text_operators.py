@@ -241,6 +241,27 @@ def test_jaccard_chain(docs_of):
     assert {r["component"] for r in out} == {0} and len(out) == 60
 
 
+def test_jaccard_of_short_texts(docs_of):
+    """Three shingles of four: 0.75 exactly, the least that links."""
+    rows = []
+    for k in range(20):
+        words = [f"w{k}x{j}" for j in range(8)]
+        rows += [(10 * k, " ".join(words[:7])), (10 * k + 1, " ".join(words))]
+        rows += [(10 * k + 5, " ".join(words[:7][::-1])), (10 * k + 6, " ".join(words[::-1]))]
+    out = jaccard.join(docs_of(rows)).collect()
+    assert {r["id"]: r["component"] for r in out} == {i: i - i % 5 for i, _ in rows}
+
+
+def test_links_pass_the_first_step():
+    """The worst case of every two sizes that can link: what both do not share comes first."""
+    sent = jaccard.sent_first(np.arange(150)).tolist()
+    for a in range(1, 150):
+        for b in range(1, 150):
+            common = -(-75 * (a + b) // 175)
+            if common <= min(a, b):
+                assert min(common, sent[a] - (a - common), sent[b] - (b - common)) >= 1 + a // 4
+
+
 def test_components(spark):
     rng = random.Random(7)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(k, k + 1) for k in range(1000, 1100)]
