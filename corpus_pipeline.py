@@ -7,8 +7,8 @@ the digests of the encoded texts. Every result is written and read again.
 * near_duplicates: of each component of near-copies the document with the smallest id stays; rows
   that repeat an id stay or go together.
 * secrets: every secret found in a text is replaced by a mark; no document goes.
-* mixing: the sources in the proportions of their tempered sizes, in the order of the schedule; what
-  lies beyond the slot where the first source runs out isn't part of the mix.
+* mixing: all documents in the order of the schedule, which has the sources in the proportions of
+  their tempered sizes; where one runs out, the others go on by their weights.
 * encode: ids of the texts, and the texts that they spell.
 """
 
@@ -47,7 +47,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    plan = mixing.mix(docs.select("doc_id", "source")).where("_mixed")
+    plan = mixing.mix(docs.select("doc_id", "source"))
     plan = plan.groupBy("doc_id", "source").agg(F.min("_slot").alias("_slot"))
     plan = plan.withColumnsRenamed({"doc_id": "_id", "source": "_from"})
     same = docs["doc_id"].eqNullSafe(plan["_id"]) & docs["source"].eqNullSafe(plan["_from"])

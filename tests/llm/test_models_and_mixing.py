@@ -127,6 +127,16 @@ def test_mix_of_odd_rows(docs_of):
     assert mixing.mix(docs_of([])).collect() == []
 
 
+def test_mixing_stage_keeps_all_rows(spark, docs_of):
+    """A source of one row runs out at once; the others go on, in the order of the schedule."""
+    sizes = {"big": 3000, "small": 200, "rare": 1, None: 1}
+    rows = [(k, f"t{k}", None, s) for k, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    docs = docs_of(rows)
+    out = corpus_pipeline.mixed(spark, docs, SF).select("doc_id").collect()
+    slot = {r["doc_id"]: r["_slot"] for r in mixing.mix(docs).collect()}
+    assert [r["doc_id"] for r in out] == sorted(slot, key=lambda i: (slot[i], i)) and len(out) == len(rows)
+
+
 @pytest.fixture(scope="module")
 def stages(spark, tmp_path_factory):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
