@@ -73,6 +73,34 @@ def test_redaction(docs_of):
     assert got == {1: "é # and #.", 2: None, 3: "clean", 4: "é # and #."}
 
 
+def test_private_keys_go_whole(docs_of):
+    """Body and END line go with the BEGIN line; the text around stays."""
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    lines = ["MIIEow" + "aB3+/9xY" * 7] * 25 + ["Qk0="]
+    fields = "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n"
+    body = "\n".join(lines)
+    keys = {
+        1: f"{begin}\n{body}\n{end}",
+        2: f"{begin}{fields}{body}\n{end}",
+        3: f"{begin}\\n{body}\\n{end}".replace("\n", "\\n"),
+        4: f"{begin}\r\n" + body.replace("\n", "\r\n") + f"\r\n{end}",
+        5: f"{begin} {' '.join(lines)} {end}",
+        6: f"{begin}\n{body}",
+        7: f"{begin}{fields}" + "\n".join(lines * 30),
+        8: f"{begin}\n  " + "\n  ".join(lines),
+        9: f"{begin}\n{body}\n{end}\n{begin}\n{body}\n{end}",
+        10: begin,
+    }
+    rows = [(k, f"é before {t}\n\nand - after.") for k, t in keys.items()]
+    docs = docs_of([*rows, (20, "-----END RSA PRIVATE KEY----- alone"), (21, begin + " and-so " * 20000)])
+    versions = keyed_text(docs)
+    out = secrets.redact(docs, secrets.scan(versions, secrets.empty_ledger(versions)), "#")
+    got = {r["doc_id"]: r["text"] for r in out.collect()}
+    want = {k: "é before #\n\nand - after." for k in keys} | {9: "é before #\n#\n\nand - after."}
+    assert {k: got[k] for k in keys} == want
+    assert got[20] == "-----END RSA PRIVATE KEY----- alone" and got[21] == "#" + " and-so " * 20000
+
+
 def luhn(digits):
     total = 0
     for k, d in enumerate(map(int, reversed(digits))):

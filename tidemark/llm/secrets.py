@@ -54,9 +54,20 @@ BASE = (
     Rule("access", 1, "AKIA[A-Z0-9]{12,}"),
     Rule("hex", 1, "[0-9a-f]{32,}"),
 )
+#: A private key from its BEGIN line to the END line, whatever lies between except another such
+#: line. Without an END: the header fields and the lines of base64 that follow, a line being whole up
+#: to its first other character; or its words of 32 and more on one line.
+PEM_LINE = r"[\x20\t]*(?:\r?\n|\\r\\n|\\n)[\x20\t>]*"
+PEM = (
+    "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+    "(?:[^-]*(?:-{1,4}[^-]+){0,40}-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    f"|(?:{PEM_LINE}(?:Proc-Type|DEK-Info):[A-Za-z0-9,\\x20-]+){{0,9}}"
+    f"(?:(?:{PEM_LINE}){{1,9}}[A-Za-z0-9+/=]{{16,}}(?:{PEM_LINE}[A-Za-z0-9+/=]+){{0,1000}}"
+    r"|(?:\x20[A-Za-z0-9+/=]{32,}){1,30})?)"
+)
 #: Further kinds: private key blocks, web tokens, and tokens with a known beginning.
 MORE = (
-    Rule("pem", 1, "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("pem", 2, PEM),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("prefixed", 1, "gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}"),
 )
