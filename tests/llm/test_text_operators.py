@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard, pii, secrets, simhash, suffixes
+from tidemark.llm.all_queries import QUERIES
 from tidemark.llm.common import components, keyed_text, text_bytes
 from tidemark.llm.spans import written
 
@@ -356,6 +357,28 @@ def test_block_tables_find_all(spark, radius, keyed):
     assert counts == {a: sum((int(a, 16) ^ int(b, 16)).bit_count() <= radius for b in prints) for a in set(prints[:20])}
 
 
+def test_near_copies_are_counted(spark, tmp_path, docs_of):
+    """A few words edited is near, far more than copies; counts equal brute force."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(3000)]
+    rows = []
+    for k in range(0, 1000, 50):
+        base = rng.choices(words, k=200)
+        rows.append((k, " ".join(base)))
+        for n in range(1, 9):
+            own = list(base)
+            for at in rng.sample(range(200), n):
+                own[at] = rng.choice(words)
+            rows += [(k + n, " ".join(own))] * (1 + n % 2)
+    docs_of(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    out = QUERIES["op8_fingerprints"](spark, str(tmp_path)).collect()
+    prints = [int(r["fingerprint"], 16) for r in out]
+    got = [(int(r["fingerprint"], 16), r["n_near"]) for r in out if r["n_near"] is not None]
+    assert len(got) == 20
+    for own, n in got:
+        assert n == sum((own ^ p).bit_count() <= simhash.RADIUS for p in prints) - 1 and n > 0
+
+
 def test_equal_texts_have_equal_prints():
     texts = ["one two three four", "one two three four", "", "One  two three\nfour"]
     prints = simhash.fingerprints(*text_bytes(pa.array(texts)))

@@ -9,6 +9,11 @@ To find all fingerprints within a Hamming radius the bits are cut into ``radius
 two fingerprints within the radius agree in at least ``keyed`` of them, so a table for each choice of
 ``keyed`` blocks, keyed by their bits, finds every pair. Equal fingerprints are searched once.
 
+``count_likely`` does so for a wide radius: of ``BLOCKS`` blocks of 16 bits one at least differs in
+two bits or fewer if the fingerprints are no more than ``RADIUS = 3 * BLOCKS - 1`` bits apart. Those
+asked about are looked up under every key that near their own. A pair counts in the first of the
+tables that find it, and tables send sums, not pairs.
+
 A null or empty text has no terms and the fingerprint 0, like any text without words. Equal texts
 have equal fingerprints. Rows with the same id stand in the order of their texts. A table of one row
 is its own next document; an empty one gives none.
@@ -32,6 +37,9 @@ from tidemark.llm.words import shingle_hashes, word_hashes
 BITS = 256
 WIDTH = 3
 AT_ONCE = 1 << 19
+#: Tables of ``count_likely``, and the distance up to which they find every pair.
+BLOCKS = BITS // 16
+RADIUS = 3 * BLOCKS - 1
 
 
 def fingerprints(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -202,3 +210,105 @@ def count_near(prints: DataFrame, asked: DataFrame, radius: int = 3, keyed: int
     found = within_radius(prints, asked, radius, keyed)
     found = found.join(copies, F.col("found") == F.col("fingerprint"))
     return found.groupBy(F.col("asked").alias("fingerprint")).agg(F.sum("copies").alias("n_near"))
+
+
+def count_likely(prints: DataFrame, asked: DataFrame) -> DataFrame:
+    """``count_near`` for a radius of ``RADIUS`` bits."""
+    spark = prints.sparkSession
+    buckets = max(1, 4 * partitions(spark) // BLOCKS)
+    flips = np.array([0] + [1 << k | 1 << j for k in range(16) for j in range(k + 1)], "<u2")
+    copies = prints.groupBy("fingerprint").agg(F.count("*").alias("copies"))
+    rows = copies.withColumn("asks", F.lit(False)).unionByName(
+        asked.select("fingerprint").distinct().select("*", F.lit(0).cast("long").alias("copies"), F.lit(True).alias("asks"))
+    )
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row for each fragment of a table and side: keys, fingerprints and their copies."""
+        for batch in (b.slice(k, 512) for b in batches for k in range(0, b.num_rows, 512)):
+            raw = bytes.fromhex("".join(batch.column("fingerprint").to_pylist()))
+            own = np.frombuffer(raw, np.uint8).reshape(-1, BITS // 8)
+            copies = batch.column("copies").to_numpy()
+            asks = batch.column("asks").to_numpy(zero_copy_only=False)
+            made: tuple[list, ...] = ([], [], [], [], [])
+            for side in (True, False):
+                at = np.flatnonzero(asks == side)
+                for block in range(BLOCKS):
+                    key = own[at, 2 * block : 2 * block + 2].copy().view("<u2")
+                    key = (key ^ flips if side else key).ravel()
+                    row = np.repeat(at, len(flips)) if side else at
+                    bucket = (mix(key.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+                    for k in np.unique(bucket).tolist():
+                        here = bucket == k
+                        made[0].append(block * buckets + k)
+                        made[1].append(not side)
+                        made[2].append(key[here].tobytes())
+                        made[3].append(own[row[here]].tobytes())
+                        made[4].append(copies[row[here]].astype("<i8").tobytes())
+            kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(m, k) for m, k in zip(made, kinds, strict=True)],
+                ["fragment", "held", "keys", "prints", "copies"],
+            )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The sums of every fragment; the rows that ask come before those that are held."""
+        current, asking, index = None, [], None
+
+        def sums() -> pa.RecordBatch:
+            _, who, total = index
+            some = np.flatnonzero(total)
+            names, place = np.unique(who[some], axis=0, return_inverse=True)
+            added = np.zeros(len(names), np.int64)
+            np.add.at(added, place.ravel(), total[some])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([n.tobytes().hex() for n in names], pa.string()), pa.array(added)],
+                ["fingerprint", "n"],
+            )
+
+        for batch in batches:
+            for at in range(batch.num_rows):
+                fragment, held, *parts = (batch.column(k)[at].as_py() for k in range(5))
+                if fragment != current:
+                    if index:
+                        yield sums()
+                    current, asking, index = fragment, [], None
+                key = np.frombuffer(parts[0], "<u2")
+                own = np.frombuffer(parts[1], np.uint8).reshape(-1, BITS // 8)
+                if not held:
+                    asking.append((key, own))
+                    continue
+                if not asking:
+                    continue
+                if index is None:
+                    keys, who = (np.concatenate(x) for x in zip(*asking, strict=True))
+                    order = np.argsort(keys, kind="stable")
+                    index = keys[order], who[order], np.zeros(len(keys), np.int64)
+                _add_near(index, fragment // buckets, key, own, np.frombuffer(parts[2], "<i8"))
+        if index:
+            yield sums()
+
+    dealt = rows.select("fingerprint", "copies", "asks").mapInArrow(
+        deal, "fragment int, held boolean, keys binary, prints binary, copies binary"
+    )
+    dealt = dealt.repartition(partitions(spark), "fragment").sortWithinPartitions("fragment", "held")
+    found = dealt.mapInArrow(count, "fingerprint string, n long")
+    return found.groupBy("fingerprint").agg(F.sum("n").alias("n_near"))
+
+
+def _add_near(
+    index: tuple[np.ndarray, ...], block: int, key: np.ndarray, own: np.ndarray, copies: np.ndarray
+) -> None:
+    """Add the copies of these fingerprints to those of the index that they are near to, if no table
+    before ``block`` finds the pair."""
+    keys, who, total = index
+    begin = np.searchsorted(keys, key, "left")
+    length = np.searchsorted(keys, key, "right") - begin
+    for a, b in chunks(np.append(0, np.cumsum(length)), AT_ONCE // 2):
+        ends = np.cumsum(length[a:b])
+        if not len(ends) or not ends[-1]:
+            continue
+        mine = np.repeat(np.arange(a, b), length[a:b])
+        at = np.arange(int(ends[-1])) + np.repeat(begin[a:b] - (ends - length[a:b]), length[a:b])
+        apart = np.bitwise_count(who[at].view("<u2") ^ own[mine].view("<u2"))
+        near = (apart.sum(axis=1, dtype=np.int64) <= RADIUS) & (np.argmax(apart <= 2, axis=1) == block)
+        np.add.at(total, at[near], copies[mine[near]])
