@@ -17,5 +17,5 @@ def test_query(spark, name):
 
 def test_all_are_there():
     numbers = {name.split("_")[0] for name in QUERIES}
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == numbers
-    assert set(CHECKS) == {"op1_secrets", "op5_mixing", "op10_jaccard"}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == numbers
+    assert set(CHECKS) == {"op1_secrets", "op5_mixing", "op10_jaccard", "op11_topk", "op12_hard_negatives"}

@@ -6,6 +6,9 @@ import corpus_pipeline
 from tidemark.llm import (  # noqa: F401
     op1_query,
     op10_query,
+    op11_query,
+    op12_query,
+    op13_query,
     op2_query,
     op3_query,
     op4_query,
