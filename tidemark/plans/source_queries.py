@@ -387,4 +387,6 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     writers.write_import_state(lines, path)
     even = lines.where(F.col("import_id").rlike("^$|[02468]$"))
     writers.write_import_state(even.withColumn("uploaded", F.lit(False)), path)
-    return import_operators.import_state_counts(spark.read.schema(lines.schema).parquet(path))
+    writers.fold_import_state(spark, path, lines.schema)
+    writers.write_import_state(even.where("import_id = ''").withColumn("uploaded", F.lit(False)), path)
+    return import_operators.import_state_counts(writers.read_import_state(spark, path, lines.schema))

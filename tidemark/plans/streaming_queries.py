@@ -4,37 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.plans.registry import query
 from tidemark.plans.transfer_queries import FIRST_N_CHECK
 from tidemark.plans.views import table, view
 from tidemark.shared import new_path
-from tidemark.streaming import deltas, feeds
+from tidemark.streaming import feeds, sinks
 
-
-#: Files that a table arrives in; one micro-batch takes one.
+#: A table arrives in so many parts, one after the other; a micro-batch takes about one of them.
 ARRIVALS = 4
 
 
-def _arrivals(spark: SparkSession, sf_dir: str, source: str, order: str) -> tuple[str, DataFrame]:
-    """A folder with the table's rows in files that land one after the other, and the table."""
-    rows = table(spark, sf_dir, source)
-    folder = new_path(spark, "arrivals")
+def _land(rows: DataFrame, order: str, folder: str) -> None:
+    """Write a table in parts, in the order of a column; Spark decides the files of each part."""
     shares = F.array(*(F.lit(k / ARRIVALS) for k in range(1, ARRIVALS)))
     ends = rows.agg(F.percentile_approx(order, shares).alias("ends")).first()["ends"]
     for k in range(ARRIVALS):
         part = rows if k == ARRIVALS - 1 else rows.where(F.col(order) <= F.lit(ends[k]))
         part = part.where(F.col(order) > F.lit(ends[k - 1])) if k else part
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return folder, rows
+        part.write.mode("append").parquet(folder)
+
+
+def _landed(
+    spark: SparkSession, folder: str, schema: StructType | str, parts: int = ARRIVALS
+) -> DataFrame:
+    files = len(spark.read.schema(schema).parquet(folder).inputFiles())
+    return feeds.file_stream(spark, folder, schema, max_files=-(-files // parts))
 
 
 def _stream(spark: SparkSession, sf_dir: str, view_name: str, source: str) -> DataFrame:
     """A view over a table that arrives as a stream of files, in the order of its key."""
     order = {"orders": "o_orderkey", "events": "ts"}[source]
-    folder, rows = _arrivals(spark, sf_dir, source, order)
-    files = feeds.file_stream(spark, folder, rows.schema, max_files=1)
-    return view(spark, sf_dir, view_name, {source: files})
+    rows, folder = table(spark, sf_dir, source), new_path(spark, "arrivals")
+    _land(rows, order, folder)
+    return view(spark, sf_dir, view_name, {source: _landed(spark, folder, rows.schema)})
 
 
 @query(
@@ -46,9 +50,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = listing.unionByName(_stream(spark, sf_dir, "v_files", "orders"))
     columns = ("dataset_id", "relative_path", "size_bytes")
     fresh = feeds.stream_new_files(twice.select(*columns))
-    log = new_path(spark, "logs")
-    deltas.start(fresh, lambda b, i: deltas.write_batch(b, log, i)).awaitTermination()
-    return deltas.read_log(spark, log, fresh.schema)
+    folder = new_path(spark, "feeds")
+    sinks.start(fresh, folder).awaitTermination()
+    return sinks.read_rows(spark, folder, fresh.schema)
 
 
 @query(
@@ -62,42 +66,50 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _stream(spark, sf_dir, "v_transfer_events", "events")
-    log = new_path(spark, "logs")
+    folder, checkpoint = new_path(spark, "feeds"), new_path(spark, "streams")
     progress = feeds.stream_progress(events, "6 hours", "1 day")
-    feeds.start_progress(progress, log).awaitTermination()
-    latest = feeds.latest_progress(spark, log)
+    feeds.start_progress(progress, folder, checkpoint).awaitTermination()
+    latest = feeds.latest_progress(spark, folder, checkpoint)
     return latest.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query(
     "stream_import_status",
-    """WITH folded AS (
-        SELECT project_id, import_id, min(ts) AS first_ts, max(ts) AS last_ts,
+    """WITH p AS (
+        SELECT *, min(ts) OVER (PARTITION BY project_id, import_id) AS first_ts,
+          trim(lower(status)) IN ('failed', 'succeeded') AS ended, max(ts) OVER () AS end_ts
+        FROM v_polls),
+      folded AS (
+        SELECT project_id, import_id, min(first_ts) AS first_ts, max(ts) AS last_ts, min(end_ts) AS end_ts,
           arg_max(status, ts) AS last_status,
-          min(ts) FILTER (trim(lower(status)) IN ('failed', 'succeeded')) AS ended_ts,
-          arg_min(status, ts) FILTER (trim(lower(status)) IN ('failed', 'succeeded')) AS ended_status
-        FROM v_polls GROUP BY 1, 2)
-      SELECT project_id, import_id, coalesce(ended_status, last_status) AS status,
-        CASE WHEN ended_ts IS NULL AND epoch_us(last_ts) - epoch_us(first_ts) >= 86400000000
-            THEN 'timed_out'
-          WHEN trim(lower(ended_status)) = 'failed' THEN 'failed'
+          min(ts) FILTER (ended AND epoch_ms(ts) < epoch_ms(first_ts) + 86400000) AS ended_ts,
+          arg_min(status, ts) FILTER (ended AND epoch_ms(ts) < epoch_ms(first_ts) + 86400000) AS ended_status
+        FROM p GROUP BY 1, 2),
+      judged AS (
+        SELECT *, ended_ts IS NULL AND epoch_ms(first_ts) + 86400000
+          <= greatest(epoch_ms(last_ts), epoch_ms(end_ts) - 3600000) AS late FROM folded)
+      SELECT project_id, import_id,
+        CASE WHEN late THEN NULL ELSE coalesce(ended_status, last_status) END AS status,
+        CASE WHEN late THEN 'timed_out' WHEN trim(lower(ended_status)) = 'failed' THEN 'failed'
           WHEN ended_status IS NOT NULL THEN 'success' ELSE 'pending' END AS outcome,
-        (epoch_us(coalesce(ended_ts, last_ts)) - epoch_us(first_ts)) / 1e6 AS waited_sec
-      FROM folded""",
+        CASE WHEN late THEN 86400.0::DOUBLE
+          ELSE (epoch_us(coalesce(ended_ts, last_ts)) - epoch_us(first_ts)) / 1e6 END AS waited_sec
+      FROM judged""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     polls = _stream(spark, sf_dir, "v_polls", "events")
-    log = new_path(spark, "logs")
-    feeds.stream_import_status(polls, log).awaitTermination()
-    return feeds.import_outcomes(spark, log, 86400.0)
+    folder = new_path(spark, "feeds")
+    sinks.start(feeds.stream_import_status(polls, 86400.0, "1 hour", 1e9), folder).awaitTermination()
+    outcomes = sinks.read_rows(spark, folder, feeds.OUTCOMES)
+    return outcomes.unionByName(feeds.open_imports(view(spark, sf_dir, "v_polls"), outcomes))
 
 
 @query("stream_first_n", f"SELECT * FROM ({FIRST_N_CHECK}) WHERE reached")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _stream(spark, sf_dir, "v_transfer_events", "events")
-    log = new_path(spark, "logs")
-    feeds.stream_first_n(events, log).awaitTermination()
-    return feeds.first_n_milestones(spark, log)
+    folder = new_path(spark, "feeds")
+    sinks.start(feeds.stream_first_n(events), folder, timers=True).awaitTermination()
+    return sinks.read_rows(spark, folder, feeds.MILESTONES)
 
 
 @query(
@@ -108,9 +120,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     updates = _stream(spark, sf_dir, "v_updates", "events")
-    log = new_path(spark, "logs")
-    feeds.stream_file_state(updates, log).awaitTermination()
-    state = feeds.current_file_state(spark, log)
+    checkpoint = new_path(spark, "streams")
+    feeds.start_file_state(feeds.stream_file_state(updates), checkpoint).awaitTermination()
+    state = feeds.current_file_state(spark, checkpoint)
     return state.drop("sha256", "width", "height")
 
 
@@ -119,19 +131,23 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT dataset_id, relative_path, 1::BIGINT AS in_flushes, true AS full_or_last FROM v_files""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = _stream(spark, sf_dir, "v_files", "orders").select("dataset_id", "relative_path")
-    sink = new_path(spark, "logs")
-    feeds.micro_batches(files, sink).awaitTermination()
-    schema = "dataset_id string, relative_path string, flush_id bigint, batch_id bigint"
-    cut = deltas.read_log(spark, sink, schema)
-    flush = ["dataset_id", "batch_id", "flush_id"]
-    sizes = cut.groupBy(*flush).agg(F.count("*").alias("size"))
-    last = sizes.groupBy("dataset_id", "batch_id").agg(F.max("flush_id").alias("last"))
-    sizes = sizes.join(last, ["dataset_id", "batch_id"])
-    good = (F.col("size") == feeds.FLUSH_SIZE) | (
-        (F.col("flush_id") == F.col("last")) & (F.col("size") <= feeds.FLUSH_SIZE)
+    rows = view(spark, sf_dir, "v_files").select("dataset_id", "relative_path", "file_no")
+    arrivals, folder = new_path(spark, "arrivals"), new_path(spark, "feeds")
+    _land(rows, "file_no", arrivals)
+    ends = rows.select("dataset_id").distinct().withColumns(
+        {"relative_path": F.lit(None).cast("string"), "file_no": F.lit(None).cast(rows.schema["file_no"].dataType)}
+    )
+    ends.write.mode("append").parquet(arrivals)
+    files = _landed(spark, arrivals, rows.schema, ARRIVALS + 1)
+    flushes = feeds.micro_batches(files, wait_sec=3600.0, finished=F.col("relative_path").isNull())
+    sinks.start(flushes, folder, timers=True).awaitTermination()
+    cut = sinks.read_rows(spark, folder, feeds.FLUSHES).withColumn("short", F.size("entries") < feeds.FLUSH_SIZE)
+    shorts = cut.where("short").groupBy("dataset_id").agg(F.count("*").alias("shorts"))
+    good = (F.size("entries") == feeds.FLUSH_SIZE) | (
+        F.col("short") & (F.col("reason") == "finished") & (F.col("shorts") == 1)
     )
-    whole = cut.join(sizes.select(*flush, good.alias("full_or_last")), flush)
-    return whole.groupBy("dataset_id", "relative_path").agg(
-        F.count("*").alias("in_flushes"), F.bool_and("full_or_last").alias("full_or_last")
+    whole = cut.join(shorts, "dataset_id", "left")
+    each = whole.select("dataset_id", F.explode("entries").alias("relative_path"), good.alias("good"))
+    return each.groupBy("dataset_id", "relative_path").agg(
+        F.count("*").alias("in_flushes"), F.bool_and("good").alias("full_or_last")
     )

@@ -55,3 +55,22 @@ def ship_package(spark: SparkSession) -> None:
         f"{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}/tidemark", "zip", root.parent, root.name
     )
     spark.sparkContext.addPyFile(archive)
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    """Hadoop's file system of ``path``, and the path as it knows it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more, on whatever file system it lies."""
+    files, hadoop = _file_system(spark, path)
+    files.delete(hadoop, True)
+
+
+def finished_writes(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` that a Spark job has written to its end, in order. Spark leaves
+    ``_SUCCESS`` as a job's last act, so a folder is here whole or not at all."""
+    files, hadoop = _file_system(spark, f"{path}/*/_SUCCESS")
+    return sorted(status.getPath().getParent().getName() for status in files.globStatus(hadoop) or ())

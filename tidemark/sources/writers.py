@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators.imports import IMPORT_KEYS
-from tidemark.shared import write_and_read
-from tidemark.streaming.deltas import read_log
+from tidemark.shared import finished_writes, remove
 
-#: Folders that import states are dealt to, by the hash of project and import.
-BUCKETS = 256
+_VERSION = "version"
 
 
 def write_manifest(files: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -20,25 +22,47 @@ def write_manifest(files: DataFrame, path: str, fmt: str = "parquet") -> None:
     balanced.write.partitionBy("dataset_id").mode("overwrite").format(fmt).save(path)
 
 
-def write_import_state(import_files: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """Replace the stored rows of exactly the imports present in ``import_files``.
+def write_import_state(import_files: DataFrame, path: str) -> str:
+    """Replace the stored rows of exactly the imports present in ``import_files``; returns the version.
 
-    Rows lie in a fixed number of folders; those that hold one of these imports are written anew,
-    with the rows of their other imports. Ids stay columns of the files, so an empty one stays what
-    it is. Read the table with a schema, or drop its ``bucket``.
+    A write is a folder of its own and touches no other. Readers see it once Spark has finished it, so
+    never in part, and take each import from the last version that has it: writers at the same time lose
+    nothing of each other's imports, and of one import the write that began later stands. A write that
+    fails leaves a folder that is never read. Versions are named by the clock of the driver.
     """
-    bucket = F.pmod(F.xxhash64(*IMPORT_KEYS), F.lit(buckets)).cast("int")
-    new = import_files.withColumn("bucket", bucket)
-    stored = read_log(import_files.sparkSession, path, new.schema)
-    touched = new.select("bucket").distinct()
-    others = stored.join(touched, "bucket", "left_semi").join(
-        new.select(*IMPORT_KEYS).distinct(), list(IMPORT_KEYS), "left_anti"
-    )
-    whole = write_and_read(new.unionByName(others.select(*new.columns)), "import_state")
-    (
-        whole.hint("rebalance", "bucket")
-        .write.partitionBy("bucket")
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    import_files.write.parquet(f"{path}/{_VERSION}={version}")
+    return version
+
+
+def _versions(spark: SparkSession, path: str, names: list[str], schema: StructType) -> DataFrame:
+    if not names:
+        return spark.createDataFrame([], schema)
+    read = spark.read.schema(schema).option("basePath", path)
+    return read.parquet(*(f"{path}/{name}" for name in names))
+
+
+def read_import_state(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """Rows of each import from its last finished write, as of this call."""
+    return _current(spark, path, finished_writes(spark, path), schema).drop(_VERSION)
+
+
+def _current(spark: SparkSession, path: str, names: list[str], schema: StructType | str) -> DataFrame:
+    own = spark.createDataFrame([], schema).schema
+    rows = _versions(spark, path, names, StructType([*own.fields]).add(_VERSION, "string"))
+    last = rows.groupBy(*(F.col(k).alias(f"_{k}") for k in IMPORT_KEYS)).agg(F.max(_VERSION).alias("_last"))
+    same = [rows[k].eqNullSafe(last[f"_{k}"]) for k in IMPORT_KEYS]
+    kept = rows.join(last, [*same, rows[_VERSION] == last["_last"]], "left_semi")
+    return kept.select(*own.names, _VERSION)
+
+
+def fold_import_state(spark: SparkSession, path: str, schema: StructType | str) -> None:
+    """Make one version of all that are finished now, and remove those. Writers may go on meanwhile: what
+    they finish counts as later. Readers that began before must be done."""
+    names = finished_writes(spark, path)
+    if len(names) > 1:
+        rows = _current(spark, path, names, schema).drop(_VERSION)
+        # Sorts behind the newest of the versions in it and before any that begins later.
+        rows.write.parquet(f"{path}/{names[-1]}~{uuid.uuid4().hex}")
+        for name in names:
+            remove(spark, f"{path}/{name}")

@@ -1,4 +1,4 @@
-"""Continuous feeds: new files, progress, import status, milestones and file state."""
+"""Continuous feeds: new files, progress, import status, milestones, file state and flushes."""
 
 from __future__ import annotations
 
@@ -9,15 +9,12 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.sizes import mib, mib_rate
 from tidemark.functions.status import import_status_class
-from tidemark.operators.ordering import last_wins
-from tidemark.operators.planning import assign_batches
-from tidemark.operators.telemetry import FIRST_TARGET, first_n_accepted
-from tidemark.shared import write_and_read
-from tidemark.streaming.deltas import batch_path, fold_log, read_log, start, write_batch
+from tidemark.operators.telemetry import FIRST_TARGET
+from tidemark.streaming import keyed
+from tidemark.streaming.sinks import read_rows, start, start_state, state_rows
 
 FLUSH_SIZE = 512
-#: Batches after which a log is folded into one.
-FOLD_EVERY = 32
+WEEK_SEC = 7 * 86400
 
 
 def file_stream(
@@ -36,252 +33,187 @@ def file_stream(
     return reader.parquet(path)
 
 
-def stream_new_files(stream: DataFrame) -> DataFrame:
-    """Manifest rows not seen before. The state is one key per file: use the RocksDB state store
-    on a large tree so that it lives on disk."""
-    return stream.dropDuplicates(["dataset_id", "relative_path"])
+def stream_new_files(
+    stream: DataFrame, horizon: str = "7 days", seen_at: str | None = None
+) -> DataFrame:
+    """Manifest rows not seen within ``horizon``: a file is remembered for that long after it was first
+    seen and then forgotten, so the state stays as large as what comes in a horizon. ``seen_at`` is a
+    timestamp column, by default the time of the micro-batch. Start it inside :func:`sinks.rocksdb`."""
+    seen = F.current_timestamp() if seen_at is None else F.col(seen_at)
+    timed = stream.withColumn("_seen", seen).withWatermark("_seen", horizon)
+    return timed.dropDuplicatesWithinWatermark(["dataset_id", "relative_path"]).drop("_seen")
 
 
-def stream_progress(stream: DataFrame, interval: str, lateness: str) -> DataFrame:
-    """Files, bytes and rate per run and interval. Rows later than ``lateness`` are dropped."""
-    seconds = F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))
-    windows = (
-        stream.withWatermark("ts", lateness)
-        .groupBy(F.window("ts", interval), "run_id")
-        .agg(
-            F.sum("file_count").alias("done_files"),
-            F.sum("byte_count").alias("done_bytes"),
-            (seconds / 1e6).alias("elapsed_sec"),
-        )
+# Progress -------------------------------------------------------------------------------------------
+
+_PROGRESS_SUMS = "done_files: bigint, done_bytes: bigint, last_ts: timestamp, first_ts: timestamp"
+PROGRESS = (
+    "window_start timestamp, run_id bigint, done_files bigint, done_bytes bigint, "
+    "done_mib double, mib_per_sec double"
+)
+
+
+def _windows(events: DataFrame, interval: str) -> DataFrame:
+    return events.groupBy(F.window("ts", interval), "run_id").agg(
+        F.sum("file_count").alias("done_files"),
+        F.sum("byte_count").alias("done_bytes"),
+        F.max("ts").alias("last_ts"),
+        F.min("ts").alias("first_ts"),
     )
+
+
+def _progress(windows: DataFrame) -> DataFrame:
+    seconds = (F.unix_micros("last_ts") - F.unix_micros("first_ts")) / 1e6
     return windows.select(
         F.col("window.start").alias("window_start"),
         "run_id",
         "done_files",
         "done_bytes",
         F.round(mib(F.col("done_bytes")), 1).alias("done_mib"),
-        mib_rate(F.col("done_bytes"), F.col("elapsed_sec")).alias("mib_per_sec"),
+        mib_rate(F.col("done_bytes"), seconds).alias("mib_per_sec"),
     )
 
 
-PROGRESS_LOG = (
-    "window_start timestamp, run_id bigint, done_files bigint, done_bytes bigint, "
-    "done_mib double, mib_per_sec double, logged_by bigint"
-)
+def stream_progress(stream: DataFrame, interval: str, lateness: str) -> DataFrame:
+    """Files, bytes and rate per run and interval. Rows later than ``lateness`` are dropped."""
+    return _progress(_windows(stream.withWatermark("ts", lateness), interval))
 
 
 def start_progress(
-    progress: DataFrame, log: str, checkpoint: str | None = None, every: str | None = None
+    progress: DataFrame, folder: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Log each change of :func:`stream_progress`; every ``FOLD_EVERY`` batches the log keeps the
-    last value of each interval and run only."""
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch.withColumn("logged_by", F.lit(batch_id)), log, batch_id)
-        if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
-            fold_log(batch.sparkSession, log, PROGRESS_LOG, _last_progress, batch_id - 1)
+    """Write each interval of :func:`stream_progress` once, when no more rows can come for it; open
+    intervals stay in the state."""
+    return start(progress, folder, checkpoint, every)
 
-    return start(progress, each, checkpoint, every, output_mode="update")
 
+def latest_progress(spark: SparkSession, folder: str, checkpoint: str) -> DataFrame:
+    """Closed intervals as written, and open ones as they stand in the state."""
+    closed = read_rows(spark, folder, PROGRESS)
+    return closed.unionByName(_progress(state_rows(spark, checkpoint, _PROGRESS_SUMS)))
 
-def _last_progress(entries: DataFrame) -> DataFrame:
-    return last_wins(entries, ["window_start", "run_id"], "logged_by")
 
+# Import status --------------------------------------------------------------------------------------
 
-def latest_progress(spark: SparkSession, log: str) -> DataFrame:
-    """Last logged value per interval and run."""
-    return _last_progress(read_log(spark, log, PROGRESS_LOG)).drop("logged_by")
-
-
-STATUS_LOG = (
-    "project_id string, import_id string, first_ts timestamp, last_ts timestamp, "
-    "last_status string, ended_ts timestamp, ended_status string"
-)
-
-
-def status_delta(polls: DataFrame) -> DataFrame:
-    """What a set of polls says about each import; folds with itself."""
-    ended = import_status_class(F.col("status")) != "pending"
-    return polls.groupBy("project_id", "import_id").agg(
-        F.min("ts").alias("first_ts"),
-        F.max("ts").alias("last_ts"),
-        F.max_by("status", F.struct("ts", "status")).alias("last_status"),
-        F.min(F.when(ended, F.col("ts"))).alias("ended_ts"),
-        F.min_by("status", F.when(ended, F.struct("ts", "status"))).alias("ended_status"),
-    )
+OUTCOMES = "project_id string, import_id string, status string, outcome string, waited_sec double"
 
 
 def stream_import_status(
-    stream: DataFrame, log: str, checkpoint: str | None = None, every: str | None = None
-) -> StreamingQuery:
-    """Follow polled statuses (``project_id``, ``import_id``, ``status``, ``ts``)."""
-
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        write_batch(status_delta(batch), log, batch_id)
-        if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
-            fold_log(batch.sparkSession, log, STATUS_LOG, fold_status, batch_id - 1)
-
-    return start(stream, fold, checkpoint, every)
-
-
-def fold_status(entries: DataFrame) -> DataFrame:
-    """One row per import from rows of the status log; folds with itself."""
-    return entries.groupBy("project_id", "import_id").agg(
-        F.min("first_ts").alias("first_ts"),
-        F.max("last_ts").alias("last_ts"),
-        F.max_by("last_status", F.struct("last_ts", "last_status")).alias("last_status"),
-        F.min("ended_ts").alias("ended_ts"),
-        F.min_by(
-            "ended_status", F.when(F.col("ended_ts").isNotNull(), F.struct("ended_ts", "ended_status"))
-        ).alias("ended_status"),
-    )
-
-
-def import_outcomes(
-    spark: SparkSession, log: str, timeout_sec: float, now: Column | None = None
+    stream: DataFrame, timeout_sec: float, lateness: str | None = None, keep_sec: float = WEEK_SEC
 ) -> DataFrame:
-    """Outcome per import: the first status that ends a wait, ``timed_out`` when none came within
-    ``timeout_sec`` of the first poll, else ``pending`` with its last status.
+    """The end of each polled import (``project_id``, ``import_id``, ``status``, ``ts``), once: the first
+    status that ends the wait, or ``timed_out`` without a status as soon as ``timeout_sec`` have passed
+    since its first poll, whether or not it is polled again.
 
-    The deadline is held against ``now``: ``current_timestamp()`` for a live feed, so an import whose
-    polls stop times out too. By default it is the import's last poll, which a replay repeats.
+    The clock is that of the machine, so a silent import ends by itself while the stream runs. With
+    ``lateness`` the clock is the stream's own: the largest ``ts`` less ``lateness``, which a replay
+    repeats. An import that ended is forgotten ``keep_sec`` later.
     """
-    folded = fold_status(read_log(spark, log, STATUS_LOG))
-    folded = folded.withColumn("now", F.col("last_ts") if now is None else now)
-    waited = F.coalesce("ended_ts", "last_ts")
-    seconds = (F.unix_micros(waited) - F.unix_micros("first_ts")) / 1e6
-    open_for = (F.unix_micros("now") - F.unix_micros("first_ts")) / 1e6
-    status = F.coalesce("ended_status", "last_status")
-    late = F.col("ended_ts").isNull() & (open_for >= timeout_sec)
-    return folded.select(
+    polls = stream.select(
         "project_id",
         "import_id",
-        status.alias("status"),
-        F.when(late, "timed_out").otherwise(import_status_class(status)).alias("outcome"),
-        seconds.alias("waited_sec"),
+        "ts",
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
+        "status",
+        import_status_class(F.col("status")).alias("outcome"),
     )
+    few = polls.where(F.col("ts").isNotNull()).mapInArrow(keyed.thin_polls, polls.schema)
+    if lateness is not None:
+        few = few.withWatermark("ts", lateness)
+    watch = keyed.ImportWatch(int(timeout_sec * 1000), int(keep_sec * 1000), lateness is not None)
+    clock = "ProcessingTime" if lateness is None else "EventTime"
+    return few.groupBy("project_id", "import_id").transformWithState(watch, OUTCOMES, "Append", clock)
+
+
+def open_imports(polls: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Imports without an end so far, with their last status, in the columns of ``outcomes``."""
+    last = polls.groupBy("project_id", "import_id").agg(
+        F.max_by("status", F.struct("ts", "status")).alias("status"),
+        ((F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))) / 1e6).alias("waited_sec"),
+    )
+    left = last.join(outcomes, ["project_id", "import_id"], "left_anti")
+    return left.withColumn("outcome", F.lit(keyed.PENDING)).select(*outcomes.columns)
+
 
+# Milestones -----------------------------------------------------------------------------------------
 
-TOTALS_LOG = "run_id bigint, started timestamp, accepted bigint"
 MILESTONES = (
     "run_id bigint, target_files bigint, reached boolean, elapsed_sec double, accepted_files bigint"
 )
 
 
 def stream_first_n(
-    stream: DataFrame,
-    log: str,
-    target: int = FIRST_TARGET,
-    checkpoint: str | None = None,
-    every: str | None = None,
-) -> StreamingQuery:
-    """One row per run, once, when it reaches ``target`` accepted files.
+    stream: DataFrame, target: int = FIRST_TARGET, keep_sec: float = WEEK_SEC
+) -> DataFrame:
+    """One row per run, once, when it reaches ``target`` accepted files; elapsed from its first event.
+    A micro-batch reads and writes the totals of the runs in it; a run without events for ``keep_sec`` is
+    forgotten."""
+    files = stream.select(
+        F.col("run_id").cast("bigint").alias("run_id"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
+        F.col("event_id").cast("bigint").alias("event_id"),
+        F.greatest(F.lit(0), F.coalesce("file_count", F.lit(0))).cast("bigint").alias("files"),
+    )
+    few = files.where(F.col("us").isNotNull()).mapInArrow(keyed.thin_files(target), files.schema)
+    runs = keyed.FirstN(target, int(keep_sec * 1000))
+    return few.groupBy("run_id").transformWithState(runs, MILESTONES, "Append", "ProcessingTime")
 
-    A batch adds up its runs first. Only the rows of runs that cross the target in this batch are
-    ordered, so the milestone costs a sort of a run once in its life. Each batch writes the totals of
-    all runs so far and reads those of the batch before, so its cost doesn't grow with their number.
-    """
-    totals_log, hits_log = f"{log}/totals", f"{log}/hits"
-
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            fold_kept(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    def fold_kept(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        files = F.greatest(F.lit(0), F.col("file_count")).cast("bigint")
-        mine = batch.groupBy("run_id").agg(
-            F.min("ts").alias("started"), F.sum(files).alias("accepted")
-        )
-        before = read_log(spark, batch_path(totals_log, batch_id - 1), TOTALS_LOG)
-        now = write_and_read(mine)
-        sums = before.unionByName(now).groupBy("run_id").agg(
-            F.min("started").alias("started"), F.sum("accepted").alias("accepted")
-        )
-        write_batch(sums, totals_log, batch_id)
-        before = before.select("run_id", F.col("started").alias("begun"), F.col("accepted").alias("had"))
-        had = F.coalesce("had", F.lit(0))
-        crossing = (
-            now.join(before, "run_id", "left")
-            .where((had < target) & (had + F.col("accepted") >= target))
-            .select("run_id", had.alias("had"), F.least("begun", "started").alias("begun"))
-        )
-        # What a run had before the batch enters as one row ahead of the batch's own rows.
-        carried = crossing.select(
-            "run_id",
-            F.col("begun").alias("ts"),
-            F.lit(-1).cast("bigint").alias("event_id"),
-            F.col("had").alias("file_count"),
-        )
-        own = batch.select("run_id", "ts", "event_id", "file_count")
-        rows = own.join(crossing.select("run_id"), "run_id", "left_semi").unionByName(carried)
-        write_batch(first_n_accepted(rows, target), hits_log, batch_id)
-        if batch_id > 1:  # the batch before may run again and needs the one before it
-            write_batch(sums.limit(0), totals_log, batch_id - 2)
-
-    return start(stream, fold, checkpoint, every)
-
-
-def first_n_milestones(spark: SparkSession, log: str) -> DataFrame:
-    return read_log(spark, f"{log}/hits", MILESTONES)
-
-
-STATE_LOG = (
-    "project_id string, import_id string, relative_path string, uploaded boolean, "
-    "streamed boolean, meta struct<ts:timestamp,event_id:bigint,object_key:string,sha256:string,"
-    "size_bytes:bigint,width:int,height:int>"
+
+# File state -----------------------------------------------------------------------------------------
+
+_STATE_KEYS = ["project_id", "import_id", "relative_path"]
+_META = ["ts", "event_id", "object_key", "sha256", "size_bytes", "width", "height"]
+_STATE = (
+    "uploaded: boolean, streamed: boolean, meta: struct<ts: timestamp, event_id: bigint, "
+    "object_key: string, sha256: string, size_bytes: bigint, width: int, height: int>"
 )
-_STATE_KEYS = ("project_id", "import_id", "relative_path")
 
 
-def fold_file_state(rows: DataFrame) -> DataFrame:
-    """Flags only turn on; metadata is that of the latest update. Folds with itself."""
-    return rows.groupBy(*_STATE_KEYS).agg(
-        F.coalesce(F.bool_or("uploaded"), F.lit(False)).alias("uploaded"),
-        F.coalesce(F.bool_or("streamed"), F.lit(False)).alias("streamed"),
-        F.max("meta").alias("meta"),
+def stream_file_state(stream: DataFrame) -> DataFrame:
+    """Per-file updates folded by key: flags only turn on; metadata is that of the latest update. The
+    fold is the state of an aggregation: a micro-batch touches the files that it names, and copies of
+    an update or a replay change nothing."""
+    return stream.groupBy(*_STATE_KEYS).agg(
+        F.max(F.coalesce("uploaded", F.lit(False))).alias("uploaded"),
+        F.max(F.coalesce("streamed", F.lit(False))).alias("streamed"),
+        F.max(F.struct(*_META)).alias("meta"),
     )
 
 
-def stream_file_state(
-    stream: DataFrame, log: str, checkpoint: str | None = None, every: str | None = None
-) -> StreamingQuery:
-    """Follow per-file updates: keys, flags, ``ts``, ``event_id`` and metadata columns. Every
-    ``FOLD_EVERY`` batches the log is folded into one row per file."""
-    meta = ("ts", "event_id", "object_key", "sha256", "size_bytes", "width", "height")
+def start_file_state(states: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    return start_state(states, checkpoint, every)
+
 
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*_STATE_KEYS, "uploaded", "streamed", F.struct(*meta).alias("meta"))
-        write_batch(fold_file_state(rows), log, batch_id)
-        if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
-            fold_log(batch.sparkSession, log, STATE_LOG, fold_file_state, batch_id - 1)
+def current_file_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """State after the last micro-batch."""
+    found = state_rows(spark, checkpoint, _STATE)
+    return found.select(*_STATE_KEYS, "uploaded", "streamed", "meta.*").drop("ts", "event_id")
 
-    return start(stream, fold, checkpoint, every)
 
+# Flushes --------------------------------------------------------------------------------------------
 
-def current_file_state(spark: SparkSession, log: str) -> DataFrame:
-    """State after all batches so far."""
-    folded = fold_file_state(read_log(spark, log, STATE_LOG))
-    return folded.select(*_STATE_KEYS, "uploaded", "streamed", "meta.*").drop("ts", "event_id")
+FLUSHES = "dataset_id string, flush_id string, reason string, entries array<string>"
 
 
 def micro_batches(
     stream: DataFrame,
-    sink: str,
     size: int = FLUSH_SIZE,
-    checkpoint: str | None = None,
-    every: str | None = None,
-) -> StreamingQuery:
-    """Cut each micro-batch of finished files into flushes of ``size`` in manifest order. The rate
-    of the source (``max_files`` of :func:`file_stream`) bounds a micro-batch. A flush is named by
-    (dataset, ``batch_id``, ``flush_id``): ids begin anew in each micro-batch, and a reader takes
-    ``batch_id`` from the log."""
-
-    def flush(batch: DataFrame, batch_id: int) -> None:
-        cut = assign_batches(batch, size).withColumnRenamed("batch_id", "flush_id")
-        write_batch(cut.drop("row_index"), sink, batch_id)
-
-    return start(stream, flush, checkpoint, every)
+    wait_sec: float = 2.0,
+    entry: Column | None = None,
+    finished: Column | None = None,
+) -> DataFrame:
+    """Finished files of each dataset in flushes of exactly ``size``, over micro-batches: what is left
+    over waits for more, ``wait_sec`` at most, or until a row for which ``finished`` holds says that its
+    dataset is complete. ``entry`` is what is flushed of a file, its path by default; a row with a null
+    entry is only a sign. A flush is named by the hash of its entries.
+
+    Tasks make full flushes of the rows that they read; less than one for a dataset and task goes to the
+    dataset's own state."""
+    rows = stream.select(
+        F.col("dataset_id").cast("string").alias("dataset_id"),
+        (F.col("relative_path") if entry is None else entry).cast("string").alias("entry"),
+        F.coalesce(F.lit(False) if finished is None else finished, F.lit(False)).alias("finished"),
+    )
+    blocks = rows.mapInArrow(keyed.blocks_of(size), keyed.BLOCK)
+    flusher = keyed.Flusher(size, int(wait_sec * 1000))
+    return blocks.groupBy("dataset_id", "lane").transformWithState(flusher, FLUSHES, "Append", "ProcessingTime")
