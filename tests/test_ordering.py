@@ -118,3 +118,35 @@ def test_first_n_counts_negatives_as_zero(spark):
     assert (got[1].reached, got[1].elapsed_sec, got[1].accepted_files) == (True, 3.0, 512)
     assert (got[2].reached, got[2].elapsed_sec, got[2].accepted_files) == (False, None, 5)
     assert 3 not in got
+
+
+def test_nothing_runs_before_an_action(spark, df):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("numbering", "numbering")
+    try:
+        numbered = ordering.number_rows(df, ["g"], [F.col("k")])
+        totals = ordering.running_totals(df, ["g"], [F.col("k")], {"total": "v"}, {"start": "k"})
+        assert len(tracker.getJobIdsForGroup("numbering")) == 0
+        assert numbered.count() == totals.count() == df.count()
+        assert len(tracker.getJobIdsForGroup("numbering")) > 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_numbering_of_hot_null_and_repeated_groups(spark):
+    rows = [(g, k) for g, n in ((None, 700), ("a", 40), ("b", 1), ("", 300)) for k in [None, *range(n - 1)]]
+    df = spark.createDataFrame(rows, "g string, k int").repartition(5)
+    got = ordering.number_rows(df, ["g"], [F.col("k")]).collect()
+    assert len(got) == len(rows)
+    assert all(r.row_index == (0 if r.k is None else r.k + 1) for r in got)
+    assert ordering.number_rows(df.limit(0), ["g"], [F.col("k")]).collect() == []
+    whole = ordering.number_rows(df.where("g = 'a'"), [], [F.col("k")]).collect()
+    assert sorted(r.row_index for r in whole) == list(range(40))
+
+
+def test_hot_group_is_cut_into_ranges(spark):
+    """No task of the numbering has most of a group."""
+    df = spark.range(20000).select(F.lit("hot").alias("g"), F.col("id").alias("k"))
+    ranged, _ = ordering._ranged(df, ["g"], [F.col("k")])
+    sizes = [r["count"] for r in ranged.groupBy("_range").count().collect()]
+    assert len(sizes) >= 7 and max(sizes) < 0.3 * 20000

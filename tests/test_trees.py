@@ -5,16 +5,22 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import time
 from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from tidemark.operators.verify import REPORT_ORDER
 from tidemark.plans import jobs
+from tidemark.shared import new_path
 from tidemark.sources import filetree
-from tidemark.sources.image_headers import measure_file
+from tidemark.sources.image_headers import measure
+from tidemark.sources.stores import Store
+from tidemark.sources.tree_source import tree_file_stream, tree_files
+from tidemark.streaming import sinks
 
 LABEL = "0 0.31 0.62 0.2 0.17\n"
 PNG = bytes.fromhex("89504e470d0a1a0a0000000d49484452") + (640).to_bytes(4, "big") + (
@@ -73,12 +79,121 @@ def test_flat_folder_is_read_in_many_tasks(spark, tmp_path):
     assert max(sizes.values()) < 2 * len(names) / len(sizes)
 
 
-def test_root_must_be_a_mounted_folder(spark, tmp_path):
+def below_shared_root():
+    """A second file system: pyarrow's, seen from a folder above the tree."""
+
+    def opener(root):
+        parent, name = os.path.split(root)
+        return fs.SubTreeFileSystem(parent, fs.LocalFileSystem()), name
+
+    return opener
+
+
+def not_below_b():
+    """Local files, but nobody may look into a folder called b."""
+
+    class NotBelowB(fs.FileSystemHandler):
+        def get_file_info(self, paths):
+            return fs.LocalFileSystem().get_file_info(paths)
+
+        def get_file_info_selector(self, selector):
+            if selector.base_dir.endswith("/b"):
+                raise OSError("closed to readers")
+            return fs.LocalFileSystem().get_file_info(selector)
+
+        def get_type_name(self):
+            return "not_below_b"
+
+        def normalize_path(self, path):
+            return path
+
+    for name in NotBelowB.__abstractmethods__:
+        setattr(NotBelowB, name, None)
+    NotBelowB.__abstractmethods__ = frozenset()
+    return lambda root: (fs.PyFileSystem(NotBelowB()), root)
+
+
+def test_root_must_be_a_folder(spark, tmp_path):
     with pytest.raises(ValueError, match="no such folder"):
         filetree.list_files(spark, str(tmp_path / "none"), "d")
-    for root in ("s3://bucket/x", "hdfs://host/x", "s3a:/x"):
-        with pytest.raises(ValueError, match="mounted"):
-            filetree.list_files(spark, root, "d")
+    with pytest.raises(ValueError, match="local path"):
+        filetree.local_root("s3://bucket/x")
+
+
+def test_file_systems_give_equal_rows(spark, tmp_path):
+    files = SMALL | {".hid/a/b/c.txt": "", "images/run/p.png": PNG, "a/.transfer-state/z": "z"}
+    root = build(tmp_path, files)
+    seen = []
+    stores = (root, f"file://{root}", Store(root, below_shared_root()))
+    for store in stores:
+        listed = filetree.list_files(spark, store, "d")
+        described = filetree.add_missing_metadata(listed, store)
+        content = filetree.read_content(listed, store).select("relative_path", "content", "read_error")
+        seen.append((sorted(map(repr, described.collect())), sorted(map(repr, content.collect()))))
+    assert seen[0] == seen[1] == seen[2] and len(seen[0][0]) == len(files) - 1
+
+
+def test_filters_reach_the_reader(spark, tmp_path):
+    """Only folders that can hold a wanted path are listed: others may be unreadable."""
+    root = build(tmp_path, {f"{d}/x/{k}.{e}": "1" for d in "ab" for k in range(3) for e in ("txt", "jpg")})
+    closed = Store(root, not_below_b())
+    wanted = F.col("relative_path").startswith("a/x/") & F.col("relative_path").endswith(".txt")
+    listed = tree_files(spark, closed).where(wanted)
+    assert sorted(r.relative_path for r in listed.collect()) == [f"a/x/{k}.txt" for k in range(3)]
+    one = tree_files(spark, closed).where("relative_path = 'a/x/2.jpg' AND size_bytes = 1")
+    assert [r.relative_path for r in one.collect()] == ["a/x/2.jpg"]
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" not in plan.split("Scan")[0]
+    with pytest.raises(Exception, match="closed to readers"):
+        tree_files(spark, closed).collect()
+
+
+def test_listing_is_lazy_and_has_no_job_for_a_level(spark, tmp_path):
+    root = build(tmp_path, {f"{'d/' * depth}{k}": "x" for depth in range(12) for k in range(3)})
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        listed = filetree.list_files(spark, root, "d")
+        filetree.read_content(listed, root)
+        assert len(tracker.getJobIdsForGroup("listing")) == 0
+        assert len(listed.collect()) == 36
+        assert len(tracker.getJobIdsForGroup("listing")) == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_files_in_chunks(spark, tmp_path):
+    root = build(tmp_path, {"a.bin": bytes(range(250)) * 4, "empty": ""})
+    with open(tmp_path / "large.bin", "wb") as file:
+        file.truncate((2 << 30) + 5)
+    listed = filetree.list_files(spark, root, "d")
+    small = filetree.read_chunks(listed.where("relative_path <> 'large.bin'"), root, 300).collect()
+    assert sorted((r.relative_path, r.offset) for r in small) == [("a.bin", k) for k in (0, 300, 600, 900)] + [("empty", 0)]
+    parts = {r.offset: bytes(r.chunk) for r in small if r.relative_path == "a.bin"}
+    assert b"".join(parts[k] for k in sorted(parts)) == bytes(range(250)) * 4
+    large = filetree.read_chunks(listed.where("relative_path = 'large.bin'"), root, 32 << 20)
+    total = large.agg(F.sum(F.octet_length("chunk").cast("long")), F.count("*"), F.count("read_error")).first()
+    assert tuple(total) == ((2 << 30) + 5, 65, 0)
+    whole = {r.relative_path: r for r in filetree.read_content(listed, root).collect()}
+    assert whole["large.bin"].content is None and whole["large.bin"].read_error == filetree.TOO_LARGE
+
+
+def test_files_of_a_tree_as_a_stream(spark, tmp_path):
+    root = build(tmp_path / "tree", {"a/x": "1", "y": "22"})
+    out = new_path(spark, "feeds")
+    running = sinks.start(tree_file_stream(spark, Store(root)), out, every="300 milliseconds")
+    try:
+        for names in (["a/x", "y"], ["a/x", "b/c/z", "y"]):
+            until = time.monotonic() + 60
+            while time.monotonic() < until:
+                rows = sinks.read_rows(spark, out, "relative_path string, size_bytes bigint").collect()
+                if len(rows) >= len(names):
+                    break
+                time.sleep(0.3)
+            assert sorted(r.relative_path for r in rows) == names
+            build(tmp_path / "tree", {"b/c/z": "333"})
+    finally:
+        running.stop()
 
 
 def test_unneeded_files_are_not_read(spark, tmp_path):
@@ -106,9 +221,11 @@ def test_jpeg_segments_are_skipped(tmp_path):
     path = tmp_path / "long.jpg"
     comment = b"\xff\xfe\xff\xff" + b"c" * 65533
     path.write_bytes(b"\xff\xd8" + comment * 40 + b"\xff\xc0\x00\x11\x08" + bytes([1, 2, 3, 4]))
-    assert measure_file(str(path)) == (772, 258, None)
+    with open(path, "rb") as file:
+        assert measure(file) == (772, 258, None)
     path.write_bytes(b"\xff\xd8" + comment)
-    assert measure_file(str(path))[2] == "no dimensions: no JPEG frame"
+    with open(path, "rb") as file:
+        assert measure(file)[2] == "no dimensions: no JPEG frame"
 
 
 def test_metadata_is_read_only_where_missing(spark, tmp_path):

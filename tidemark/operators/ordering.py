@@ -1,7 +1,9 @@
 """Ordered work inside groups of any size.
 
-A window over one group is one task. Groups here may hold a third of all rows, so positions and
-running sums are computed per range partition and shifted by the totals of the partitions before.
+A window over one group is one task. Groups here may hold a third of all rows, so a group is cut into
+ranges of its order: positions and running sums are computed per range and shifted by the totals of the
+ranges before. The cuts are a bounded sample of the keys, drawn by the query itself; nothing runs before an
+action, and rows go through one shuffle, with the totals of the ranges beside them.
 """
 
 from __future__ import annotations
@@ -11,45 +13,56 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.shared import write_and_read
+#: Keys drawn for each range.
+SAMPLE = 32
 
 
-def _range_sorted(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Range-partition and sort by (group, order), then fix each row's place in a written table.
+def _cuts(df: DataFrame, key: Column, ranges: int) -> Column:
+    """About ``ranges`` ascending keys: of those with the smallest hashes every ``SAMPLE``-th. At most
+    ``SAMPLE * ranges`` rows are looked at together."""
+    drawn = df.select(key.alias("k"), F.xxhash64(key, F.lit(3)).alias("h")).orderBy("h", "k").limit(SAMPLE * ranges)
+    every = F.array_sort(F.collect_set("k"))
+    step = F.greatest(F.lit(1), F.ceil(F.size(every) / ranges).cast("int"))
+    return drawn.agg(F.filter(every, lambda _, i: (i + 1) % step == 0).alias("cuts")).scalar()
+
+
+def _ranged(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> tuple[DataFrame, list[str]]:
+    """Rows with ``_range``, ascending in (group, order), and the names of their order columns.
 
     ``order`` must be unique inside a group, else equal rows may swap places between attempts.
     """
+    ranges = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     names = [f"_order_{i}" for i in range(len(order))]
     keyed = df.withColumns(dict(zip(names, order)))
-    placed = (
-        keyed.repartitionByRange(*group, *names)
-        .sortWithinPartitions(*group, *names)
-        .drop(*names)
-        .withColumn("_row", F.monotonically_increasing_id())
-    )
-    return write_and_read(placed).withColumn("_part", F.shiftright("_row", 33))
+    # Nulls sort first in keys, as they do in rows.
+    key = F.struct(*group, *names)
+    found = keyed.withColumns({"_cuts": _cuts(keyed, key, ranges), "_range": F.lit(0)})
+    # Binary search for the number of cuts that are not above the key, one column for each step.
+    for bit in reversed(range(ranges.bit_length())):
+        reached = F.coalesce(F.get("_cuts", F.col("_range") + (2**bit - 1)) <= key, F.lit(False))
+        found = found.withColumn("_range", F.col("_range") + F.when(reached, 2**bit).otherwise(0))
+    return found.drop("_cuts"), names
 
 
 def _totals_before(
-    table: DataFrame,
+    ranged: DataFrame,
     group: Sequence[str],
+    names: Sequence[str],
     sums: Mapping[str, Column],
     firsts: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Per (group, range partition): its first row, the group's totals in earlier partitions and
-    the group's first values. At most one row per group and partition."""
+    """Per (group, range): the group's totals in earlier ranges and the group's first values. At most
+    one row per group and range."""
     firsts = firsts or {}
-    cells = table.groupBy(*group, "_part").agg(
-        F.min("_row").alias("_first"),
+    cells = ranged.groupBy(*group, "_range").agg(
         *[c.alias(f"_before_{n}") for n, c in sums.items()],
-        *[F.min_by(c, "_row").alias(f"_start_{n}") for n, c in firsts.items()],
+        *[F.min_by(c, F.struct(*names)).alias(f"_start_{n}") for n, c in firsts.items()],
     )
-    in_order = Window.partitionBy(*group).orderBy("_part")
+    in_order = Window.partitionBy(*group).orderBy("_range")
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
     return cells.select(
-        *group,
-        "_part",
-        "_first",
+        *[F.col(g).alias(f"_group_{i}") for i, g in enumerate(group)],
+        F.col("_range").alias("_of"),
         *[
             F.coalesce(F.sum(f"_before_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}")
             for n in sums
@@ -58,17 +71,21 @@ def _totals_before(
     )
 
 
+def _beside(ranged: DataFrame, before: DataFrame, group: Sequence[str]) -> DataFrame:
+    same = [ranged[g].eqNullSafe(before[f"_group_{i}"]) for i, g in enumerate(group)]
+    return ranged.join(before, [*same, ranged["_range"] == before["_of"]])
+
+
 def number_rows(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str = "row_index"
 ) -> DataFrame:
-    """0-based position of each row in its group. Runs one job when called (see module text)."""
-    table = _range_sorted(df, group, order)
-    starts = _totals_before(table, group, {"rows": F.count(F.lit(1))})
-    return (
-        table.join(starts, [*group, "_part"])
-        .withColumn(name, F.col("_row") - F.col("_first") + F.col("_before_rows"))
-        .select(*df.columns, name)
-    )
+    """0-based position of each row in its group."""
+    ranged, names = _ranged(df, group, order)
+    before = _totals_before(ranged, group, names, {"rows": F.count(F.lit(1))})
+    inside = Window.partitionBy(*group, "_range").orderBy(*names)
+    local = ranged.withColumn("_inside", F.row_number().over(inside).cast("bigint") - 1)
+    numbered = _beside(local, before, group).withColumn(name, F.col("_inside") + F.col("_before_rows"))
+    return numbered.select(*df.columns, name)
 
 
 def running_totals(
@@ -81,15 +98,15 @@ def running_totals(
     """Running sum, own row included, of column ``sums[name]`` as ``name`` for each entry, and the
     group's first value of column ``firsts[name]`` as ``name``."""
     firsts = firsts or {}
-    table = _range_sorted(df, group, order)
-    before = _totals_before(table, group, {n: F.sum(c) for n, c in sums.items()}, firsts)
+    ranged, names = _ranged(df, group, order)
+    before = _totals_before(ranged, group, names, {n: F.sum(c) for n, c in sums.items()}, firsts)
     inside = (
-        Window.partitionBy(*group, "_part")
-        .orderBy("_row")
+        Window.partitionBy(*group, "_range")
+        .orderBy(*names)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    local = table.withColumns({f"_inside_{n}": F.sum(c).over(inside) for n, c in sums.items()})
-    return local.join(before, [*group, "_part"]).select(
+    local = ranged.withColumns({f"_inside_{n}": F.sum(c).over(inside) for n, c in sums.items()})
+    return _beside(local, before, group).select(
         *df.columns,
         *[(F.col(f"_inside_{n}") + F.col(f"_before_{n}")).alias(n) for n in sums],
         *[F.col(f"_start_{n}").alias(n) for n in firsts],

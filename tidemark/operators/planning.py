@@ -56,11 +56,20 @@ def batch_manifests(files: DataFrame, batch_size: int) -> DataFrame:
     )
 
 
-def resume_split(files: DataFrame, state: DataFrame) -> DataFrame:
+def resume_split(files: DataFrame, state: DataFrame, detect_changes: bool = False) -> DataFrame:
     """What each manifest file still needs. Only the path is compared, as a resume does: files
-    the state does not know are pending, paths only the state knows are ignored."""
-    flags = state.select(*KEYS, "uploaded", "streamed")
-    uploaded = F.coalesce("uploaded", F.lit(False))
+    the state does not know are pending, paths only the state knows are ignored.
+
+    ``detect_changes`` is an addition: a file whose size or hash is known on both sides and differs is
+    uploaded anew. Both ride along on the join that the flags need."""
+    compared = [c for c in ("size_bytes", "sha256") if detect_changes and {c} <= {*files.columns} & {*state.columns}]
+    flags = state.select(*KEYS, "uploaded", "streamed", *[F.col(c).alias(f"_{c}") for c in compared])
+    changed = F.lit(False)
+    for name, missing in (("size_bytes", 0), ("sha256", "")):
+        if name in compared:
+            mine, stored = (F.nullif(F.col(c), F.lit(missing)) for c in (name, f"_{name}"))
+            changed = changed | F.coalesce(mine != stored, F.lit(False))
+    uploaded = F.coalesce("uploaded", F.lit(False)) & ~changed
     streamed = F.coalesce("streamed", F.lit(False))
     status = F.when(~uploaded, PENDING_UPLOAD).when(~streamed, PENDING_STREAM).otherwise(DONE)
     return files.join(flags, list(KEYS), "left").select(*files.columns, status.alias("status"))

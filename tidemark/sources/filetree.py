@@ -1,17 +1,15 @@
 """File trees as tables: listing, content and metadata.
 
-Files are opened by path in the tasks, and only those that a caller hands over: a job reads what it
-needs of a tree, whatever else lies there. The folder must be one that every executor mounts.
+A tree lies on a folder that every executor mounts, or on a file system that pyarrow opens
+(:class:`stores.Store`). Files are opened in the tasks, by ranges, and only those that a caller hands
+over: a job reads what it needs of a tree, whatever else lies there. Nothing runs before an action.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
-import os
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,88 +18,47 @@ from tidemark.functions.paths import STATE_DIR, content_type, is_image
 from tidemark.functions.text import decode_utf8
 from tidemark.operators.planning import lacks_metadata
 from tidemark.operators.verify import ERROR, finding
-from tidemark.shared import new_path
-from tidemark.sources.image_headers import measure_file
+from tidemark.sources.image_headers import measure
+from tidemark.sources.stores import Reader, Store
+from tidemark.sources.tree_source import tree_files
 
-_ENTRIES = "relative_path string, size_bytes bigint, is_dir boolean"
 _CHUNK = 1024 * 1024
-#: Bytes that one task opens, about, and that one Arrow batch of content holds.
-TASK_BYTES, BATCH_BYTES = 256 << 20, 16 << 20
+#: Bytes that one Arrow batch of content holds, about, and that one row of a file in chunks holds.
+BATCH_BYTES, CHUNK_BYTES = 16 << 20, 64 << 20
 #: The largest value of a binary column.
 LARGEST = 2**31 - 16
+TOO_LARGE = "file is larger than a value can be: read it in chunks"
 IMAGE_FAILED = "image_read_failed"
 
 
-def local_root(root: str) -> str:
-    """Path for Python's file functions. Schemes that they cannot open are refused, so nothing is
-    looked for, or written, on a worker's own disk by mistake."""
-    path = root.removeprefix("file://").removeprefix("file:")
-    if "://" in path or path.split("/")[0].endswith(":"):
-        raise ValueError(f"only mounted folders can be opened as a tree, not {root}")
-    return os.path.realpath(os.path.expanduser(path))
-
-
-def _scan(root: str, state_dir: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """The entries of each folder, some thousands at a time."""
-
-    def entries_of(folder: str) -> Iterator[tuple[str, int, bool]]:
-        with os.scandir(os.path.join(root, folder)) as entries:
-            for entry in entries:
-                path = os.path.join(folder, entry.name)
-                if entry.name == state_dir:
-                    continue
-                if entry.is_dir(follow_symlinks=False):
-                    yield path, 0, True
-                elif entry.is_file():
-                    yield path, entry.stat().st_size, False
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["relative_path", "size_bytes", "is_dir"]
-        for batch in batches:
-            for folder in batch["relative_path"]:
-                rows = []
-                for row in entries_of(folder):
-                    rows.append(row)
-                    if len(rows) == 10000:
-                        yield pd.DataFrame(rows, columns=names)
-                        rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=names)
+def as_store(root: str | Store) -> Store:
+    return root if isinstance(root, Store) else Store(root)
 
-    return scan
 
+def local_root(root: str) -> str:
+    """Path for Python's file functions of a mounted folder."""
+    store = Store(root)
+    if not store.mounted:
+        raise ValueError(f"only mounted folders have a local path, not {root}")
+    return store.local()
 
-def list_entries(spark: SparkSession, root: str, state_dir: str = STATE_DIR) -> DataFrame:
+
+def list_entries(spark: SparkSession, root: str | Store, state_dir: str = STATE_DIR) -> DataFrame:
     """(relative_path, size_bytes) of every regular file below ``root``, hidden and empty ones
-    included. Folders are listed level by level, each by one of many tasks; the driver sees none of
-    their entries. Runs one job for each level when called and keeps the result as a table."""
-    real = local_root(root)
-    if not os.path.isdir(real):
-        raise ValueError(f"no such folder: {root}")
-    table, level = new_path(spark, "listings"), 0
-    folders = spark.createDataFrame([("",)], "relative_path string")
-    while True:
-        here = f"{table}/level={level}"
-        folders.mapInPandas(_scan(real, state_dir), _ENTRIES).write.parquet(here)
-        below = spark.read.schema(_ENTRIES).parquet(here).where("is_dir").select("relative_path")
-        if below.isEmpty():
-            break
-        folders, level = below.repartition(4 * spark.sparkContext.defaultParallelism), level + 1
-    found = spark.read.schema(_ENTRIES).parquet(*(f"{table}/level={k}" for k in range(level + 1)))
-    return found.where("NOT is_dir").drop("is_dir")
-
-
-def by_bytes(files: DataFrame) -> DataFrame:
-    """The same rows in tasks of about equal bytes, several for each core; counts the bytes when
-    called. A flat folder is split like any other."""
-    total = files.agg(F.sum("size_bytes")).first()[0] or 0
-    tasks = max(2 * files.sparkSession.sparkContext.defaultParallelism, math.ceil(total / TASK_BYTES))
+    included. Lazy: the tree is listed by the tasks of each query, in as many as it has folders."""
+    return tree_files(spark, as_store(root), state_dir).select("relative_path", "size_bytes")
+
+
+def spread(files: DataFrame) -> DataFrame:
+    """The same rows dealt over tasks, several for each core: a flat folder is split like any other."""
+    spark = files.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return files.repartition(tasks, F.xxhash64("relative_path", F.lit(7)))
 
 
 def list_files(
     spark: SparkSession,
-    root: str,
+    root: str | Store,
     dataset_id: str,
     state_dir: str = STATE_DIR,
     hash_files: bool = False,
@@ -120,19 +77,23 @@ def list_files(
     )
     if not hash_files:
         return listed
-    every = by_bytes(listed).withColumns({"_hash": F.lit(True), "_size": F.lit(False)})
-    hashed = every.mapInArrow(_measure(local_root(root), every.columns), _with_found(every))
+    every = spread(listed).withColumns({"_hash": F.lit(True), "_size": F.lit(False)})
+    hashed = every.mapInArrow(_measure(as_store(root), every.columns), _with_found(every))
     return hashed.select(*[c for c in listed.columns if c != "sha256"], F.col("_sha256").alias("sha256"))
 
 
-def _hash(path: str) -> str:
+def _hash(files: Reader, name: str) -> str:
     digest = hashlib.sha256()
-    with open(path, "rb") as handle:
+    with files.open(name) as handle:
         while chunk := handle.read(_CHUNK):
             digest.update(chunk)
     return digest.hexdigest()
 
 
+def _reason(exc: OSError) -> str:
+    return f"file cannot be read: {exc.strerror or type(exc).__name__}"
+
+
 _FOUND = "_sha256 string, _width int, _height int, _error string"
 
 
@@ -142,12 +103,13 @@ def _with_found(files: DataFrame) -> str:
 
 
 def _measure(
-    root: str, columns: list[str]
+    store: Store, columns: list[str]
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows with what their files have: the hash where ``_hash`` asks for it, and width and height
     where ``_size`` does; of an image only the header is read for those."""
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = store.reader()
         for batch in batches:
             found: tuple[list, ...] = ([], [], [], [])
             for name, wants_hash, wants_size in zip(
@@ -156,12 +118,14 @@ def _measure(
                 batch.column("_size").to_pylist(),
                 strict=True,
             ):
-                path, digest, size = os.path.join(root, name), None, (None, None, None)
+                digest, size = None, (None, None, None)
                 try:
-                    digest = _hash(path) if wants_hash else None
-                    size = measure_file(path) if wants_size else size
+                    digest = _hash(files, name) if wants_hash else None
+                    if wants_size:
+                        with files.open(name) as handle:
+                            size = measure(handle)
                 except OSError as exc:
-                    size = (None, None, f"file cannot be read: {exc.strerror}")
+                    size = (None, None, _reason(exc))
                 for column, value in zip(found, (digest, *size), strict=True):
                     column.append(value)
             kinds = (pa.string(), pa.int32(), pa.int32(), pa.string())
@@ -170,42 +134,80 @@ def _measure(
                 [*columns, "_sha256", "_width", "_height", "_error"],
             )
 
-    return measure
+    return work
 
 
-def read_content(files: DataFrame, root: str) -> DataFrame:
-    """The given files with their bytes as ``content``. Only they are opened. A file that cannot be
-    read, or is larger than a column value can be, has NULL."""
-    real, columns = local_root(root), files.columns
+def read_content(files: DataFrame, root: str | Store) -> DataFrame:
+    """The given files with their bytes as ``content``. Only they are opened. Where it is NULL,
+    ``read_error`` says why: the file can't be read, or is larger than a column value can be, which
+    :func:`read_chunks` reads."""
+    store, columns = as_store(root), files.columns
 
-    def content_of(name: str) -> bytes | None:
-        path = os.path.join(real, name)
+    def content_of(reader: Reader, name: str) -> tuple[bytes | None, str | None]:
         try:
-            if os.path.getsize(path) > LARGEST:
-                return None
-            with open(path, "rb") as handle:
-                return handle.read()
-        except OSError:
-            return None
+            if reader.size(name) > LARGEST:
+                return None, TOO_LARGE
+            with reader.open(name) as handle:
+                return handle.read(), None
+        except OSError as exc:
+            return None, _reason(exc)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = store.reader()
         for batch in batches:
             first, held, size = 0, [], 0
             for at, name in enumerate(batch.column("relative_path").to_pylist()):
-                held.append(content_of(name))
-                size += len(held[-1] or b"")
+                held.append(content_of(reader, name))
+                size += len(held[-1][0] or b"")
                 if size >= BATCH_BYTES or at == batch.num_rows - 1:
                     part = batch.slice(first, len(held))
+                    bodies, errors = zip(*held, strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [*part.columns, pa.array(held, pa.binary())], [*columns, "content"]
+                        [*part.columns, pa.array(bodies, pa.binary()), pa.array(errors, pa.string())],
+                        [*columns, "content", "read_error"],
                     )
                     first, held, size = at + 1, [], 0
 
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
-    return by_bytes(files).mapInArrow(read, f"{own}, content binary")
+    return spread(files).mapInArrow(read, f"{own}, content binary, read_error string")
+
+
+def read_chunks(files: DataFrame, root: str | Store, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(relative_path, offset, chunk, read_error): files of any size in pieces of ``chunk_bytes``, each
+    read by itself, so one large file is read by many tasks. An empty file has one empty chunk."""
+    store = as_store(root)
+    last = F.greatest(F.lit(0), F.col("size_bytes") - 1)
+    starts = F.sequence(F.lit(0).cast("bigint"), F.call_function("div", last, F.lit(chunk_bytes)))
+    pieces = files.select("relative_path", F.explode(starts).alias("piece"))
+    pieces = pieces.select("relative_path", (F.col("piece") * chunk_bytes).alias("offset"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = store.reader()
+        for batch in batches:
+            for row, (name, offset) in enumerate(
+                zip(batch.column("relative_path").to_pylist(), batch.column("offset").to_pylist(), strict=True)
+            ):
+                chunk, error = None, None
+                try:
+                    with reader.open(name) as handle:
+                        handle.seek(offset)
+                        chunk = handle.read(chunk_bytes)
+                except OSError as exc:
+                    error = _reason(exc)
+                own = batch.slice(row, 1)
+                yield pa.RecordBatch.from_arrays(
+                    [*own.columns, pa.array([chunk], pa.binary()), pa.array([error], pa.string())],
+                    ["relative_path", "offset", "chunk", "read_error"],
+                )
+
+    dealt = pieces.repartition(
+        max(4 * files.sparkSession.sparkContext.defaultParallelism, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))),
+        F.xxhash64("relative_path", "offset"),
+    )
+    return dealt.mapInArrow(read, "relative_path string, offset bigint, chunk binary, read_error string")
 
 
-def file_texts(files: DataFrame, root: str) -> DataFrame:
+def file_texts(files: DataFrame, root: str | Store) -> DataFrame:
     """Files as text; NULL where the bytes are not UTF-8 or could not be read."""
     return read_content(files.select("dataset_id", "relative_path", "size_bytes"), root).select(
         "dataset_id",
@@ -214,7 +216,7 @@ def file_texts(files: DataFrame, root: str) -> DataFrame:
     )
 
 
-def add_missing_metadata(files: DataFrame, root: str) -> DataFrame:
+def add_missing_metadata(files: DataFrame, root: str | Store) -> DataFrame:
     """Fill hash and dimensions of only those files that lack them; known values are kept.
 
     Complete files are not opened, and of an image that only lacks dimensions nothing but its
@@ -222,10 +224,10 @@ def add_missing_metadata(files: DataFrame, root: str) -> DataFrame:
     """
     both = (F.coalesce("width", F.lit(0)) > 0) & (F.coalesce("height", F.lit(0)) > 0)
     known_hash = F.when(F.coalesce("sha256", F.lit("")) != "", F.col("sha256"))
-    lacking = by_bytes(files.where(lacks_metadata())).withColumns(
+    lacking = spread(files.where(lacks_metadata())).withColumns(
         {"_hash": known_hash.isNull(), "_size": is_image(F.col("relative_path")) & ~both}
     )
-    found = lacking.mapInArrow(_measure(local_root(root), lacking.columns), _with_found(lacking))
+    found = lacking.mapInArrow(_measure(as_store(root), lacking.columns), _with_found(lacking))
     filled = found.withColumns(
         {
             "width": F.when(both, F.col("width")).otherwise(F.col("_width")),

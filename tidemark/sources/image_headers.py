@@ -76,19 +76,14 @@ def image_size(file: BinaryIO) -> tuple[int, int]:
     return size
 
 
-def _measure(file: BinaryIO) -> tuple[int | None, int | None, str | None]:
+def measure(file: BinaryIO) -> tuple[int | None, int | None, str | None]:
+    """(width, height, error) of an image file, of which only the header is read."""
     try:
         return *image_size(file), None
     except (ValueError, IndexError) as exc:
         return None, None, f"no dimensions: {exc}"
 
 
-def measure_file(path: str) -> tuple[int | None, int | None, str | None]:
-    """(width, height, error) of an image file, of which only the header is read."""
-    with open(path, "rb", buffering=512) as file:
-        return _measure(file)
-
-
 def image_dimensions(images: DataFrame) -> DataFrame:
     """Dimensions of each row's ``content``; a failure fills ``error`` instead of ending the job.
     All other columns are kept. Only the content column's rows of images should be passed."""
@@ -96,13 +91,13 @@ def image_dimensions(images: DataFrame) -> DataFrame:
     names = [f.name for f in kept]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [DIMENSIONS])
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes = [_measure(io.BytesIO(data or b"")) for data in batch["content"]]
+            sizes = [measure(io.BytesIO(data or b"")) for data in batch["content"]]
             out = batch[names].copy()
             for i, name in enumerate(("width", "height")):
                 out[name] = pd.array([s[i] for s in sizes], dtype="Int32")
             out["error"] = pd.array([s[2] for s in sizes], dtype="string")
             yield out
 
-    return images.mapInPandas(measure, schema)
+    return images.mapInPandas(work, schema)

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.paths import relative_path
 from tidemark.functions.refs import compact_import
 from tidemark.functions.text import decode_utf8
 from tidemark.schemas import IMPORT_STATE
+from tidemark.shared import write_and_read
+from tidemark.sources.filetree import as_store, read_content
+from tidemark.sources.stores import Store
+from tidemark.sources.tree_source import tree_files
 
 _HEADER = (
     "struct<project_id:string,import_id:string,source:string,format:string,task_key:string,"
@@ -19,20 +22,18 @@ _ENTRY = (
 )
 
 
-def _documents(spark: SparkSession, root: str, project: str | None = None) -> DataFrame:
-    """JSON files exactly one folder below ``root``, as text. The folder is listed as a tree: a
-    glob would make Spark look up every file by itself."""
-    read = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
-        .load(f"{root}/{project}" if project else root)
-    )
-    path = F.regexp_replace("path", r"^file:(//)?(?=/)", "")
-    below = relative_path(root, F.col("path"))
-    return read.where(below.rlike(r"^[^/]+/[^/]+\z")).select(
-        path.alias("path"),
-        F.col("modificationTime").alias("mtime"),
+def _documents(spark: SparkSession, root: str | Store, project: str | None = None) -> DataFrame:
+    """JSON files exactly one folder below ``root``, as text. One listing for all of them, in tasks; of
+    other projects' folders nothing is listed. Files that cannot be read have NULL text."""
+    store = as_store(root)
+    base = store.root.removeprefix("file://").removeprefix("file:") if store.mounted else store.root
+    files = tree_files(spark, store)
+    if project is not None:
+        files = files.where(F.col("relative_path").startswith(f"{project}/"))
+    files = files.where(F.col("relative_path").endswith(".json") & F.col("relative_path").rlike(r"^[^/]+/[^/]+\z"))
+    return read_content(files, store).select(
+        F.concat(F.lit(f"{base.rstrip('/')}/"), "relative_path").alias("path"),
+        F.col("modified").alias("mtime"),
         decode_utf8(F.col("content")).alias("text"),
     )
 
@@ -104,22 +105,67 @@ def read_import_states(
     return state_documents(_documents(spark, state_dir, project_segment))
 
 
+def page_ranks(pages: DataFrame) -> DataFrame:
+    """(project_id, path, chain, rank) of the pages that their cursors link: where a page stands in its
+    chain, and when the chain's first page landed.
+
+    A page says in ``cursor`` what it was asked with and in ``next_cursor`` what comes after it. The page
+    before a page is the last landed one whose ``next_cursor`` is its ``cursor``. Places are found by
+    pointer doubling: each round doubles how far a page looks back, so a chain of n pages takes log n
+    rounds. Pages whose cursors lead in a circle, and pages without links, are left out. Runs a job for
+    each round when called, unless no page has a cursor.
+    """
+    keys = ["project_id", "path"]
+    cursors = F.from_json("text", "struct<cursor:string,next_cursor:string>")
+    seen = pages.select(*keys, "mtime", cursors["cursor"].alias("cursor"), cursors["next_cursor"].alias("next_cursor"))
+    seen = write_and_read(seen.where("cursor IS NOT NULL OR next_cursor IS NOT NULL"), "pages")
+    before = seen.where("next_cursor IS NOT NULL").groupBy("project_id", F.col("next_cursor").alias("cursor")).agg(
+        F.max_by("path", F.struct("mtime", "path")).alias("back")
+    )
+    links = seen.join(before, ["project_id", "cursor"], "left").select(
+        *keys, "back", F.coalesce("back", "path").alias("first"), F.col("back").isNotNull().cast("long").alias("rank")
+    )
+    rounds = links.count().bit_length()
+    for _ in range(rounds):
+        links = write_and_read(links, "pages")
+        if links.where("back IS NOT NULL").isEmpty():
+            break
+        further = links.select(
+            "project_id", F.col("path").alias("back"), F.col("back").alias("back2"), F.col("first").alias("first2"), F.col("rank").alias("rank2")
+        )
+        links = links.join(further, ["project_id", "back"], "left").select(
+            *keys,
+            F.col("back2").alias("back"),
+            F.coalesce("first2", "first").alias("first"),
+            (F.col("rank") + F.coalesce("rank2", F.lit(0))).alias("rank"),
+        )
+    settled = links.where("back IS NULL")
+    chains = settled.groupBy("project_id", "first").agg(F.max("rank").alias("last")).where("last > 0")
+    landed = seen.select("project_id", F.col("path").alias("first"), F.col("mtime").alias("chain"))
+    of_chain = settled.join(chains, ["project_id", "first"]).join(landed, ["project_id", "first"])
+    return of_chain.select(*keys, "chain", "rank")
+
+
 def listed_imports(pages: DataFrame) -> DataFrame:
     """Entries of landed listing pages (``project_id``, ``path``, ``mtime``, ``text``), all pages.
 
-    Entries that are not objects are dropped. ``ordinal`` follows the number that the page's name
-    ends with, so page 10 comes after page 9, then the time it landed, and the position in it.
+    Entries that are not objects are dropped. ``ordinal`` follows the pages' cursors
+    (:func:`page_ranks`), later chains after earlier ones. Pages without linked cursors come first, by the
+    number that their name ends with, so page 10 comes after page 9, then by the time they landed.
     """
-    number = F.regexp_extract("path", r"([0-9]+)\D*$", 1).try_cast("decimal(38,0)")
-    entries = pages.select(
+    number = F.regexp_extract("path", r"([0-9]+)[^0-9/]*$", 1).try_cast("decimal(38,0)")
+    placed = pages.join(page_ranks(pages), ["project_id", "path"], "left")
+    entries = placed.select(
         "project_id",
         "path",
         "mtime",
+        "chain",
+        "rank",
         F.coalesce(number, F.lit(0)).alias("page"),
         F.posexplode(F.from_json("text", "struct<imports:array<string>>")["imports"]),
     )
     kept = entries.where(F.col("col").startswith("{"))
-    ordinal = F.struct("page", "mtime", "path", "pos").alias("ordinal")
+    ordinal = F.struct("chain", "rank", "page", "mtime", "path", "pos").alias("ordinal")
     compact = kept.select("project_id", ordinal, F.inline(compact_import(F.col("col"))))
     return compact.select("project_id", *compact.columns[2:], "ordinal")
 
