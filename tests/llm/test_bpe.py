@@ -46,6 +46,16 @@ def test_ids_equal_the_library(library, make):
     assert rows_of(make(PATH), some) == want  # from the table
 
 
+@pytest.mark.parametrize("make", [bpe.encoder, repair.library_encoder])
+def test_words_of_two_letters_keep_their_ids(library, make):
+    """Thue-Morse words and their complements have equal plain polynomial hashes."""
+    some = []
+    for size in (1024, 2048, 4096, 8192):
+        word = "".join("ab"[k.bit_count() % 2] for k in range(size))
+        some += [word, word.translate(str.maketrans("ab", "ba"))]
+    assert rows_of(make(PATH), some) == [library.encode(t, add_special_tokens=False).ids for t in some]
+
+
 def test_full_table_begins_anew(library):
     own = bpe.TextEncoder(bpe.spelling(PATH).encode_words, bpe.spelling(PATH).special)
     own.table.slots = 64

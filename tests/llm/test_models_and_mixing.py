@@ -96,6 +96,17 @@ def test_links_and_recall(spark):
     assert pivots.near_duplicates(empty).collect() == []
 
 
+def test_links_of_repeated_and_missing_ids(spark):
+    """A row's links are those of its own vector, whatever ids other vectors have."""
+    near = lambda k: [1.0, 0.01 * k, 0.0]
+    rows = [(1, near(0), 0), (1, [0.0, 0.0, 1.0], 0), (5, near(1), 0), (None, near(2), 0), (None, near(2), 0)]
+    rows += [(9, [0.0, 0.02, 1.0], 0), (None, [-1.0, 0.0, 0.0], 0)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((tuple(r) for r in pivots.near_duplicates(table).collect()), key=repr)
+    want = [(1, 3, 1), (1, 1, 1), (5, 3, 1), (None, 3, 1), (None, 3, 1), (9, 1, 1), (None, 0, None)]
+    assert got == sorted(want, key=repr)
+
+
 def test_schedule_keeps_every_window(spark):
     for weights in ([1], [1, 1], [500, 300, 150, 49, 1], [7, 3, 11, 1, 1, 29]):
         rows = [(f"s{k}", w) for k, w in enumerate(weights)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import jaccard, pii, secrets, simhash, suffixes
 from tidemark.llm.all_queries import QUERIES
 from tidemark.llm.common import components, keyed_text, text_bytes
-from tidemark.llm.spans import written
+from tidemark.llm.spans import find_spans, written
+from tidemark.llm.words import span_hashes
 
 ASSIGN = re.compile(
     r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]"""
@@ -91,6 +93,11 @@ def test_private_keys_go_whole(docs_of):
         8: f"{begin}\n  " + "\n  ".join(lines),
         9: f"{begin}\n{body}\n{end}\n{begin}\n{body}\n{end}",
         10: begin,
+        11: f"{begin}\n" + "\n".join(lines * 4000),
+        12: f"{begin}\n" + "\n".join(lines * 4000) + f"\n{end}",
+        13: f"{begin}\n" + "a - b -- c\n" * 1000 + end,
+        14: f"{begin}\n" + "\n".join(f"Proc-Type: {k}" for k in range(5000)) + f"\n\n{body}",
+        15: f"{begin} {' '.join(lines[:25] * 400)}",
     }
     rows = [(k, f"é before {t}\n\nand - after.") for k, t in keys.items()]
     docs = docs_of([*rows, (20, "-----END RSA PRIVATE KEY----- alone"), (21, begin + " and-so " * 20000)])
@@ -102,6 +109,38 @@ def test_private_keys_go_whole(docs_of):
     assert got[20] == "-----END RSA PRIVATE KEY----- alone" and got[21] == "#" + " and-so " * 20000
 
 
+def test_plain_and_possessive_patterns_agree(docs_of):
+    """The SQL's form of the key pattern finds what Spark's does."""
+    rule = next(r for r in secrets.RULES if r.name == "pem")
+    rng = random.Random(7)
+    parts = ["-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "-", "--"]
+    parts += ["\n", "\\n", "\r\n", " ", "\n> ", "a" * 16, "b" * 40, "Proc-Type: 4,X", "é", "-----", "------", "Qk0="]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(3000)]
+    docs = docs_of(list(enumerate(texts))).select("doc_id", find_spans(F.col("text"), rule.pattern).alias("s"))
+    got = {r["doc_id"]: [(s["start"], s["stop"]) for s in r["s"]] for r in docs.collect()}
+    want = {k: [m.span() for m in re.finditer(rule.plain, t)] for k, t in enumerate(texts)}
+    assert got == want and sum(map(len, want.values())) > 300
+
+
+def test_findings_of_a_withdrawn_version_go(docs_of):
+    versions = keyed_text(docs_of([(1, "token=abcdefgh1 and AKIA" + "Q" * 16), (2, "password: zzzzzzzz9")]))
+    ledger = secrets.scan(versions, secrets.empty_ledger(versions), secrets.BASE)
+    newer = secrets.Rule("assign", 2, "token=[a-z]+[0-9]")
+    rules = (newer, *secrets.BASE[1:])
+    both = ledger.union(secrets.scan(versions, ledger, rules))
+    again = secrets.scan(versions, ledger, rules).collect()
+    assert [r["rules"] for r in again] == [["assign@2"]] * 2
+    found = {r["id"]: [(s["kind"], s["start"], s["stop"]) for s in r["spans"]] for r in secrets.findings(versions, both, rules).collect()}
+    assert found == {1: [("assign", 0, 15), ("access", 20, 40)], 2: []}
+
+
+def test_many_matches_in_a_text(docs_of):
+    begun = time.monotonic()
+    docs = docs_of([(1, "é 0123456789abcdef0123456789abcdef" * 60000)])
+    row = docs.select(find_spans(F.col("text"), "[0-9a-f]{32,}").alias("s")).select(F.size("s"), F.col("s")[59999]["stop"]).first()
+    assert tuple(row) == (60000, 60000 * 34) and time.monotonic() - begun < 20
+
+
 def luhn(digits):
     total = 0
     for k, d in enumerate(map(int, reversed(digits))):
@@ -270,6 +309,31 @@ def test_jaccard_chain(docs_of):
     assert {r["component"] for r in out} == {0} and len(out) == 60
 
 
+def thue_morse(size):
+    return "".join("ab"[k.bit_count() % 2] for k in range(size))
+
+
+def test_words_of_two_letters_differ(docs_of):
+    """Words that a plain polynomial modulo a power of two can't tell apart are no copies."""
+    rows, flip = [], str.maketrans("ab", "ba")
+    for k, size in enumerate((1024, 2048, 4096, 8192)):
+        word = thue_morse(size)
+        rows += [(2 * k, word), (2 * k + 1, word.translate(flip)), (100 + k, word)]
+    out = {r["id"]: r["component"] for r in jaccard.join(docs_of(rows)).collect()}
+    assert out == {i: i % 100 * 2 if i >= 100 else i for i in out}
+
+
+def test_span_hashes_depend_on_the_span_alone():
+    rng = random.Random(2)
+    spans = ["".join(rng.choices("abc", k=rng.randint(1, 30))).encode() for _ in range(5000)]
+    flat, lengths = np.frombuffer(b"".join(spans), np.uint8), np.array([len(s) for s in spans])
+    begin = np.cumsum(lengths) - lengths
+    named = {}
+    for span, code in zip(spans, span_hashes(flat, begin, begin + lengths).tolist(), strict=True):
+        assert named.setdefault(span, code) == code
+    assert len(set(named.values())) == len(named)
+
+
 def test_jaccard_of_short_texts(docs_of):
     """Three shingles of four: 0.75 exactly, the least that links."""
     rows = []

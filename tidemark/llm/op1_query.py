@@ -23,8 +23,8 @@ def _sql() -> str:
             else "list_transform(hits, lambda h: true)"
         )
         + " AS BOOLEAN[]) AS good, hits, gaps FROM (SELECT doc_id, "
-        f"regexp_extract_all(t, '{_quoted(r.pattern)}') AS hits, "
-        f"string_split_regex(t, '{_quoted(r.pattern)}') AS gaps FROM d) WHERE len(hits) > 0"
+        f"regexp_extract_all(t, '{_quoted(r.plain or r.pattern)}') AS hits, "
+        f"string_split_regex(t, '{_quoted(r.plain or r.pattern)}') AS gaps FROM d) WHERE len(hits) > 0"
         for order, r in enumerate(secrets.RULES)
     )
     return f"""

@@ -238,29 +238,34 @@ def near_duplicates(
         vectors.where("key is not null")
         .groupBy("key")
         .agg(
-            F.min("id").alias("class"),
+            F.min("id").alias("least"),
             F.count("*").alias("copies"),
             F.first("label").alias("label"),
             F.first("vector").alias("vector"),
         )
     )
-    classes = write_and_read(classes.where("class is not null"), "classes")
+    # Ids may be repeated or missing; a class is known by a number that the written table fixes.
+    classes = write_and_read(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     count = min(MOST_PIVOTS, max(LEAST_PIVOTS, math.ceil(2 * math.sqrt(classes.count()))))
     rows_of_index = write_and_read(index(classes, draw_pivots(classes, count)), "pivot_index")
     found = write_and_read(links(rows_of_index, least), "links")
     totals = found.groupBy("class").agg(F.sum("n").alias("n"))
     joined = components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))
     per_class = (
-        classes.select("key", "class", "copies")
+        classes.select("key", "class", "copies", "least")
         .join(totals, "class", "left")
         .join(joined.withColumnRenamed("node", "class"), "class", "left")
         .select(
             "key",
             (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "class").alias("component"),
+            F.coalesce("component", "class").alias("root"),
+            "least",
         )
     )
     per_class = write_and_read(per_class, "classes")
+    names = per_class.groupBy("root").agg(F.min("least").alias("component"))
+    per_class = per_class.drop("least").join(names, "root").drop("root")
+    per_class = write_and_read(per_class, "classes")
     return vectors.select("id", "key").join(per_class, "key", "left").select(
         "id",
         F.coalesce("n_links", F.lit(0)).alias("n_links"),

@@ -12,8 +12,7 @@ from functools import cache
 import numpy as np
 import regex
 
-from tidemark.llm.common import mix
-from tidemark.llm.words import powers
+from tidemark.llm.words import span_hashes
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: Endings that follow an apostrophe in the byte-level pattern (fixed values).
@@ -112,13 +111,7 @@ def cut(flat: np.ndarray, offsets: np.ndarray, special: list[bytes]) -> tuple[np
 
 def hashes(flat: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each pre-token, never 0."""
-    size = len(flat)
-    power, inverse = powers(size)
-    sums = np.zeros(size + 1, np.uint64)
-    np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * power[:size], out=sums[1:])
-    end = np.append(begin[1:], size)
-    length = (end - begin).astype(np.uint64)
-    return mix((sums[end] - sums[begin]) * inverse[begin] + (length << np.uint64(48))) | np.uint64(1)
+    return span_hashes(flat, begin, np.append(begin[1:], len(flat))) | np.uint64(1)
 
 
 def spans(begin: np.ndarray, length: np.ndarray) -> np.ndarray:

@@ -27,12 +27,14 @@ LEDGER = f"blob string, rules array<string>, spans {SPANS}"
 
 @dataclass(frozen=True)
 class Rule:
-    """``must`` is a pattern that a match has to fulfil; a match that fails is dropped whole."""
+    """``must`` is a pattern that a match has to fulfil; a match that fails is dropped whole. ``plain``
+    finds the same matches without possessive repetition, for engines that don't know it."""
 
     name: str
     version: int
     pattern: str
     must: str | None = None
+    plain: str | None = None
 
     @property
     def key(self) -> str:
@@ -54,20 +56,25 @@ BASE = (
     Rule("access", 1, "AKIA[A-Z0-9]{12,}"),
     Rule("hex", 1, "[0-9a-f]{32,}"),
 )
-#: A private key from its BEGIN line to the END line, whatever lies between except another such
-#: line. Without an END: the header fields and the lines of base64 that follow, a line being whole up
-#: to its first other character; or its words of 32 and more on one line.
-PEM_LINE = r"[\x20\t]*(?:\r?\n|\\r\\n|\\n)[\x20\t>]*"
-PEM = (
-    "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
-    "(?:[^-]*(?:-{1,4}[^-]+){0,40}-----END [A-Z ]{0,40}PRIVATE KEY-----"
-    f"|(?:{PEM_LINE}(?:Proc-Type|DEK-Info):[A-Za-z0-9,\\x20-]+){{0,9}}"
-    f"(?:(?:{PEM_LINE}){{1,9}}[A-Za-z0-9+/=]{{16,}}(?:{PEM_LINE}[A-Za-z0-9+/=]+){{0,1000}}"
-    r"|(?:\x20[A-Za-z0-9+/=]{32,}){1,30})?)"
-)
+def _pem(p: str) -> str:
+    """A private key from its BEGIN line to the END line, whatever lies between except five hyphens in a
+    row. Without an END: the header fields and the lines of base64 that follow, a line being whole up
+    to its first other character; or its words of 32 and more on one line. With ``p`` set to "+" the
+    repetitions are possessive: Java then loops over the lines of a key instead of nesting calls."""
+    line = rf"[\x20\t]*{p}(?:\r?\n|\\r\\n|\\n)[\x20\t>]*{p}"
+    code = "[A-Za-z0-9+/=]"
+    return (
+        "-----BEGIN [A-Z ]*PRIVATE KEY-----"
+        f"(?:[^-]*{p}(?:-{{1,4}}{p}[^-]+{p})*{p}-----END [A-Z ]*PRIVATE KEY-----"
+        f"|(?:{line}(?:Proc-Type|DEK-Info):[A-Za-z0-9,\\x20-]+{p})*{p}"
+        f"(?:(?:{line})+{p}{code}{{16,}}{p}(?:{line}{code}+{p})*{p}"
+        f"|(?:\\x20{code}{{32,}}{p})+{p}))?"
+    )
+
+
 #: Further kinds: private key blocks, web tokens, and tokens with a known beginning.
 MORE = (
-    Rule("pem", 2, PEM),
+    Rule("pem", 3, _pem("+"), plain=_pem("")),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("prefixed", 1, "gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}"),
 )
@@ -105,8 +112,11 @@ def known_spans(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
     """(blob, spans) of the blobs with findings of these rule versions, by start and then by the
     order of the rules."""
     current = F.array(*(F.lit(r.key) for r in rules))
+    # A row's spans stand for the rules of that row: those of a version that is gone don't count.
+    kinds = F.transform(F.array_intersect("rules", current), lambda r: F.substring_index(r, "@", 1))
+    own = ledger.select("blob", F.filter("spans", lambda s: F.array_contains(kinds, s["kind"])).alias("spans"))
     return (
-        ledger.where(F.arrays_overlap("rules", current) & (F.size("spans") > 0))
+        own.where(F.size("spans") > 0)
         .groupBy("blob")
         .agg(F.array_distinct(F.sort_array(F.flatten(F.collect_list("spans")))).alias("spans"))
     )

@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPAN = "struct<start:bigint,stop:bigint,hit:string>"
+#: Matches that are placed together.
+PART = 64
 
 
 def find_spans(text: Column, pattern: str) -> Column:
@@ -21,9 +23,7 @@ def find_spans(text: Column, pattern: str) -> Column:
     both = F.zip_with(
         gaps, hits, lambda g, h: F.struct(F.length(g).cast("long").alias("g"), h.alias("h"))
     )
-    start = F.struct(
-        F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans")
-    )
+    none = F.array().cast(f"array<{SPAN}>")
 
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + x["g"]
@@ -34,8 +34,27 @@ def find_spans(text: Column, pattern: str) -> Column:
             F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans")),
         ).otherwise(acc)
 
-    folded = F.aggregate(both, start, step, lambda acc: acc["spans"])
-    none = F.array().cast(f"array<{SPAN}>")
+    def add_part(acc: Column, part: Column) -> Column:
+        begin = F.struct(acc["at"].alias("at"), none.alias("spans"))
+        folded = F.aggregate(part, begin, step)
+        grown = lambda f: F.struct(
+            f["at"].alias("at"), F.concat(acc["parts"], F.array(f["spans"])).alias("parts")
+        )
+        return F.transform(F.array(folded), grown)[0]
+
+    def fold(both: Column) -> Column:
+        # Each step copies what it has so far: short parts keep the copies short.
+        parts = F.transform(
+            F.sequence(F.lit(0), F.call_function("div", F.size(both) - 1, F.lit(PART)).cast("int")),
+            lambda k: F.slice(both, k * PART + 1, F.lit(PART)),
+        )
+        start = F.struct(
+            F.lit(0).cast("long").alias("at"), F.array().cast(f"array<array<{SPAN}>>").alias("parts")
+        )
+        return F.aggregate(parts, start, add_part, lambda acc: F.flatten(acc["parts"]))
+
+    # The lambda binds the matches, which else would be found anew for every part.
+    folded = F.transform(F.array(both), fold)[0]
     return F.when(F.regexp_like(text, F.lit(pattern)), folded).otherwise(none)
 
 
