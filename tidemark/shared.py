@@ -5,12 +5,15 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 _LOCAL_DIRS: dict[str, str] = {}
+_NOTED: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,11 +43,25 @@ def new_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}/{uuid.uuid4().hex}"
 
 
+@contextmanager
+def written_tables() -> Iterator[list[str]]:
+    """Paths of the tables that :func:`write_and_read` writes inside: for a caller who knows when nothing
+    reads them any more, and then has :func:`remove` take them away."""
+    made: list[str] = []
+    _NOTED.append(made)
+    try:
+        yield made
+    finally:
+        _NOTED.pop()
+
+
 def write_and_read(df: DataFrame, kind: str = "tables") -> DataFrame:
     """Write ``df`` once and read it back: later stages see one fixed copy whatever executor is
     lost, and read only the columns they use."""
     path = new_path(df.sparkSession, kind)
     df.write.parquet(path)
+    for made in _NOTED:
+        made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
