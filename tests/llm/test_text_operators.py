@@ -188,6 +188,18 @@ def test_contexts_find_unknown_identifiers(docs_of):
     assert found[1] == ["like_phone"] and found[3] == [] and found[201] == []
 
 
+def test_discovered_identifiers_find_further_ones(docs_of):
+    """Seed, context, identifier, new context, identifier: the last stands next to no seed."""
+    rows = [(1000 + k, f"words then call me at +1 555 {k:03} 4567 today") for k in range(200, 300)]
+    rows += [(300 + k, f"now call me at 55598765{k:02} soon") for k in range(20)]
+    rows += [(400 + k, f"the pager line 55598765{k:02} rings") for k in range(20)]
+    rows += [(1, "her pager line 4440001112 rings"), (2, "invoice no 4440001113 is paid")]
+    rows += [(3, "her pager line " + "4" * 90 + " rings")]
+    found = {r["id"]: [s["kind"] for s in r["found"]] for r in pii.extract(keyed_text(docs_of(rows))).collect()}
+    assert found[300] == found[400] == found[1] == found[3] == ["like_phone"]
+    assert found[2] == [] and found[1200] == []
+
+
 def brute_repeats(rows):
     seen, made = set(), {}
     for i, text in sorted(rows):

@@ -4,8 +4,10 @@ Base kinds are found by their patterns and checks; these instances are the seeds
 words before an instance are its lexical patterns. Instances and patterns form a graph with counts;
 in each round a pattern's confidence is the share of its uses that confident instances of a kind
 make up, and an unknown identifier's confidence is one minus the product of the doubts of the
-patterns that it follows. Patterns with enough support and confidence then turn unknown identifiers
-(runs with six digits or more) into spans ``like_<kind>``. Base spans stay as they are.
+accepted patterns that it follows. Patterns with enough support and confidence are accepted, confident
+identifiers induce patterns of their own, and rounds go on until none is new. Accepted patterns turn
+unknown identifiers (runs with six digits or more) into spans ``like_<kind>``. Base spans stay as they
+are. A context reaches ``REACH`` code points back.
 
 Spark counts, joins and scores; the graph's rows are summed counts, so a context or identifier that
 a third of all documents share is one row. Null text is empty; an empty text has no spans; repeated
@@ -35,11 +37,10 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 PART = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 IP_MUST = rf"^{PART}\.{PART}\.{PART}\.{PART}$"
 #: Identifiers that may be personal: capitals, then digits and hyphens, six digits or more.
-UNKNOWN = r"(?<![A-Za-z0-9-])[A-Z]{0,3}[0-9](?:-?[0-9]){5,30}(?![A-Za-z0-9-])"
+UNKNOWN = r"(?<![A-Za-z0-9-])[A-Z]{0,3}[0-9](?:-?[0-9]){5,}+(?![A-Za-z0-9-])"
 #: Code points before a span in which its context is looked for.
 REACH = 48
-ROUNDS = 3
-#: Least confidence of a pattern and of an identifier, and least seeds that a pattern follows.
+#: Least confidence of a pattern and of an identifier, and least confident instances of a pattern.
 CONFIDENT, SUPPORT = 0.8, 5
 
 SPAN = "struct<order:int,start:bigint,stop:bigint,kind:string,hit:string>"
@@ -135,31 +136,33 @@ def uses_of(found: DataFrame) -> DataFrame:
 
 
 def confident_patterns(uses: DataFrame) -> DataFrame:
-    """(context, kind, confidence) of the patterns that the rounds leave confident.
+    """(context, kind, confidence) of the patterns that the rounds accept.
 
-    Seeds have confidence 1 for their kind. Sums of counts per pattern and of logarithms per
-    instance are all that moves; each round is written.
+    Seeds have confidence 1 for their kind. What is accepted stays, so beliefs only grow and every round
+    but the last accepts a pattern. Sums of counts per pattern and of logarithms per instance are all
+    that moves; each round is written.
     """
-    seeds = uses.where("kind <> ''")
+    seeds = uses.where("kind <> ''").withColumn("belief", F.lit(1.0))
     unknown = write_and_read(uses.where("kind = ''").select("context", "instance", "n"), "unknown")
-    totals = uses.groupBy("context").agg(F.sum("n").alias("uses"))
-    seeded = seeds.groupBy("context", "kind").agg(
-        F.sum("n").alias("sure"), F.count_distinct("instance").alias("support")
-    )
-    base = seeded.where(F.col("support") >= SUPPORT).join(totals, "context")
-    base = write_and_read(base, "patterns")
-    extra = None
-    for _ in range(ROUNDS):
-        scored = base if extra is None else base.join(extra, ["context", "kind"], "left")
-        more = F.lit(0.0) if extra is None else F.coalesce("more", F.lit(0.0))
-        patterns = scored.select(
-            "context", "kind", ((F.col("sure") + more) / F.col("uses")).alias("confidence")
+    totals = write_and_read(uses.groupBy("context").agg(F.sum("n").alias("uses")), "totals")
+
+    def scored(edges: DataFrame) -> DataFrame:
+        """Edges are one for each pattern and instance."""
+        sums = edges.groupBy("context", "kind").agg(
+            F.sum(F.col("n") * F.col("belief")).alias("sure"), F.count("*").alias("support")
         )
-        patterns = write_and_read(patterns, "patterns")
-        believed = instances(unknown, patterns)
-        edges = unknown.join(believed, "instance")
-        extra = edges.groupBy("context", "kind").agg(F.sum(F.col("n") * F.col("belief")).alias("more"))
-    return patterns.where(F.col("confidence") >= CONFIDENT)
+        shares = sums.where(F.col("support") >= SUPPORT).join(totals, "context")
+        shares = shares.select("context", "kind", (F.col("sure") / F.col("uses")).alias("confidence"))
+        return shares.where(F.col("confidence") >= CONFIDENT)
+
+    accepted = write_and_read(scored(seeds), "patterns")
+    while True:
+        believed = instances(unknown, accepted).where(F.col("belief") >= CONFIDENT)
+        edges = seeds.unionByName(unknown.join(believed, "instance"), allowMissingColumns=True)
+        new = write_and_read(scored(edges).join(accepted, ["context", "kind"], "left_anti"), "patterns")
+        if new.isEmpty():
+            return accepted
+        accepted = write_and_read(accepted.unionByName(new), "patterns")
 
 
 def instances(unknown: DataFrame, patterns: DataFrame) -> DataFrame:
