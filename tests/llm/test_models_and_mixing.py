@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import random
 import zlib
 from collections import Counter
@@ -123,6 +124,51 @@ def test_schedule_keeps_every_window(spark):
                 assert abs(done[name] - Fraction(weight * (t + 1), period)) < 1
 
 
+def edf(weights):
+    """Sources by slot: earliest deadline first, with a heap, over one period."""
+    period, heap, picks = sum(weights.values()), [], []
+    comes = sorted((i * period // w, -(-(i + 1) * period // w), s) for s, w in weights.items() for i in range(w))
+    at = 0
+    for slot in range(period):
+        while at < len(comes) and comes[at][0] <= slot:
+            heapq.heappush(heap, comes[at][1:])
+            at += 1
+        picks.append(heapq.heappop(heap)[1])
+    return picks
+
+
+@pytest.mark.parametrize("many, most", [(7, 400), (61, 90), (3000, 9)])
+def test_schedule_equals_a_heap(spark, many, most):
+    """Over one shuffle of the tree, over several, and with many sources, one of them hot."""
+    rng = random.Random(many)
+    weights = {f"s{k:05}": rng.randint(1, most) for k in range(many)}
+    weights["hot"] = sum(weights.values()) // 2
+    plan = mixing.schedule(spark.createDataFrame(list(weights.items()), "_source string, w long")).toPandas()
+    plan = plan.sort_values("offset")
+    assert plan.offset.tolist() == list(range(sum(weights.values())))
+    assert plan._source.tolist() == edf(weights)
+    period = sum(weights.values())
+    for row in plan.itertuples(index=False):  # less than one block from its share, at any slot
+        w, i, t = row.w, row.i, row.offset
+        assert i * period < (t + 1) * w and t * w < (i + 1) * period
+
+
+def test_weights_of_many_sources(spark):
+    """Shares far below one in RESOLUTION keep their proportions."""
+    sizes = spark.range(5000).select(F.concat(F.lit("s"), "id").alias("_source"), ((F.col("id") % 2) * 900 + 100).alias("n"))
+    got = {r["w"] for r in mixing.tempered(sizes).collect()}
+    assert len(got) == 2 and 3.5 < max(got) / min(got) < 6.5
+    assert mixing.schedule(spark.createDataFrame([], "_source string, w long")).collect() == []
+
+
+def test_mix_keeps_columns_of_clashing_names(docs_of):
+    docs = docs_of([(k, "t", None, f"s{k % 3}") for k in range(90)])
+    docs = docs.withColumns({c: F.concat(F.lit(c), "doc_id") for c in ("i", "w", "n", "offset", "period")})
+    out = mixing.mix(docs).collect()
+    assert len(out) == 90
+    assert all(r[c] == f"{c}{r['doc_id']}" for r in out for c in ("i", "w", "n", "offset", "period"))
+
+
 def test_mix_of_odd_rows(docs_of):
     rows = [(k, "t", None, "big") for k in range(700)] + [(k, "t", None, "small") for k in range(700, 800)]
     rows += [(900, "t", None, None), (900, "t", None, None), (None, "t", None, "big")]

@@ -12,20 +12,23 @@ miss its target weights. All rows come back, with their slot, mixed or not.
 
 Null source is a source of its own. Repeated rows and ids stay, in the same or neighbouring blocks.
 Null ids count as empty text for the order. An empty table gives an empty table. A source without a
-weight is never scheduled: its slot is null and it isn't mixed.
+weight is never scheduled: its slot is null and it isn't mixed. Columns of the caller keep their names
+and values; names that begin with an underscore are the operator's own.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.shared import write_and_read
 
 #: Documents in a block; slots that a period has about; exponent that tempers natural sizes.
 BLOCK, RESOLUTION, TEMPER = 16, 1000, 0.7
+#: Slots of a period for each source at least; levels of the slot tree that share a shuffle.
+PER_SOURCE, INNER = 10, 10
 #: Rows that are numbered together, about.
 GROUP = 256
 
@@ -70,51 +73,67 @@ def _sum_before(keys: list[str], order: str) -> Column:
 
 
 def tempered(sizes: DataFrame, exponent: float = TEMPER, resolution: int = RESOLUTION) -> DataFrame:
-    """(_source, w): whole weights in proportion to a power of the sizes, 1 at least."""
-    whole = Window.partitionBy()
-    share = F.pow("n", F.lit(exponent)) / F.sum(F.pow("n", F.lit(exponent))).over(whole)
-    return sizes.select(
-        "_source", F.greatest(F.lit(1), F.round(share * resolution)).cast("long").alias("w")
-    )
+    """(_source, w): whole weights in proportion to a power of the sizes, 1 at least. They add up to
+    about ``resolution``, or to ``PER_SOURCE`` times the number of sources if that is more."""
+    power = F.pow("n", F.lit(exponent))
+    whole = sizes.agg(F.sum(power).alias("total"), F.count("*").alias("many")).first()
+    share = power / F.lit(whole["total"])
+    weight = F.round(share * max(resolution, PER_SOURCE * whole["many"]))
+    return sizes.select("_source", F.greatest(F.lit(1), weight).cast("long").alias("w"))
 
 
 def schedule(weights: DataFrame) -> DataFrame:
     """(_source, w, period, i, offset): the slot in the period of each source's block i, by
-    earliest deadline first. One row with the list of all sources runs the whole period."""
-    entry = F.struct("_source", "w")
-    one = weights.groupBy().agg(F.sort_array(F.collect_list(entry)).alias("s"), F.sum("w").alias("r"))
-    one = one.where(F.col("r") > 0)
-
-    def deadline(t: Column) -> Column:
-        """Each source's next deadline and number if that block is released at slot t."""
-        return lambda s, c: F.when(
-            (c < s["w"]) & (F.floor(c * F.col("r") / s["w"]) <= t),
-            F.ceil((c + 1) * F.col("r") / s["w"]),
-        )
-
-    start = F.struct(
-        F.transform("s", lambda s: F.lit(0).cast("long")).alias("done"),
-        F.array().cast("array<bigint>").alias("picks"),
+    earliest deadline first, of equal deadlines the smaller source.
+
+    The slots are the leaves of a binary tree. Going up, each node knows which of the blocks
+    released inside it run inside it if no others are there: those of its left half, and of what the
+    left half leaves over and the right half runs, as many with the earliest deadlines as the right
+    half has slots. Going down, the blocks that run in a node are dealt to its halves by the same
+    rule, until each has a slot. Every level ranks all blocks of the period once; up to ``2**INNER``
+    slots the levels share one shuffle.
+    """
+    weights = weights.where("w > 0")
+    period = weights.agg(F.sum("w")).first()[0] or 0
+    height = max(0, period - 1).bit_length()
+    low = min(height, INNER)
+    size, i = F.lit(period).cast("long"), F.col("i")
+    jobs = weights.select(
+        "_source", "w", F.explode(F.sequence(F.lit(0).cast("long"), F.col("w") - 1)).alias("i")
     )
-
-    def step(acc: Column, t: Column) -> Column:
-        due = F.zip_with("s", acc["done"], deadline(t))
-        pick = F.array_position(due, F.array_min(due)) - 1
-        return F.struct(
-            F.transform(acc["done"], lambda c, k: c + F.when(k == pick, 1).otherwise(0).cast("long")).alias(
-                "done"
-            ),
-            F.concat(acc["picks"], F.array(pick)).alias("picks"),
-        )
-
-    slots = F.sequence(F.lit(0).cast("long"), F.col("r") - 1)
-    picks = F.aggregate(slots, start, step, lambda acc: acc["picks"])
-    rows = one.select("s", "r", F.posexplode(picks).alias("offset", "pick"))
-    rows = rows.select(
-        F.col("s")[F.col("pick").cast("int")].alias("e"), F.col("r").alias("period"), "offset"
+    jobs = jobs.withColumns(
+        {
+            "release": F.expr(f"i * {period} div w"),
+            "deadline": F.expr(f"((i + 1) * {period} + w - 1) div w"),
+        }
     )
-    number = F.row_number().over(Window.partitionBy("e._source").orderBy("offset")) - 1
-    return rows.select("e._source", "e.w", "period", number.cast("long").alias("i"), "offset")
+    jobs = jobs.withColumn("part", F.shiftright("release", low)).repartition("part")
+    first = F.row_number().over(_earliest("part", "release")) == 1
+    jobs = jobs.withColumn("runs", F.array(first))
+    for level in range(height):
+        inner = level < low
+        jobs = jobs.withColumn("node", F.shiftright("release", level + 1))
+        right = F.shiftright("release", level) % 2 == 1
+        jobs = jobs.withColumn("asks", right == F.col("runs")[level])
+        place = F.row_number().over(_earliest(*(["part"] if inner else []), "node", "asks"))
+        runs = F.when(F.col("asks"), place <= 2**level).otherwise(~right)
+        jobs = jobs.withColumn("runs", F.concat("runs", F.array(runs)))
+    if height > low:
+        jobs = write_and_read(jobs.drop("node", "asks", "part"), "released")
+    jobs = jobs.withColumn("node", F.lit(0).cast("long"))
+    for level in reversed(range(height)):
+        inner = level < low
+        if level == low - 1:
+            jobs = jobs.withColumn("part", F.col("node")).repartition("part")
+        half, left = F.shiftright("release", level), F.col("node") * 2
+        jobs = jobs.withColumn("asks", (half < left) | ((half == left) & F.col("runs")[level]))
+        place = F.row_number().over(_earliest(*(["part"] if inner else []), "node", "asks"))
+        jobs = jobs.withColumn("node", left + F.when(F.col("asks") & (place <= 2**level), 0).otherwise(1))
+    return jobs.select("_source", "w", size.alias("period"), i, F.col("node").alias("offset"))
+
+
+def _earliest(*keys: str) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy("deadline", "_source")
 
 
 def mix(
@@ -136,28 +155,34 @@ def mix(
     else:
         name = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
         weights = weights.select(name.alias("_source"), F.col("w").cast("long").alias("w"))
-    plan = write_and_read(schedule(weights), "schedule")
-    lengths = plan.groupBy("_source").agg(F.first("w").alias("w"), F.first("period").alias("period"))
+    weights = write_and_read(weights, "weights")
+    plan = write_and_read(schedule(weights), "schedule").select(
+        "_source",
+        F.col("w").alias("_w"),
+        F.col("period").alias("_period"),
+        F.col("i").alias("_i"),
+        F.col("offset").alias("_offset"),
+    )
+    lengths = plan.where("_i = 0").select("_source", "_w", "_period")
     ends = lengths.join(sizes, "_source", "left").select(
-        "_source", "w", "period", F.ceil(F.coalesce("n", F.lit(0)) / block).alias("_block")
+        "_source", "_w", "_period", F.ceil(F.coalesce("n", F.lit(0)) / block).alias("_block")
     )
-    ends = ends.join(plan.select("_source", "i", "offset"), "_source").where(F.col("i") == F.col("_block") % F.col("w"))
-    horizon = ends.agg(F.min(_slot()).alias("_horizon"))
+    ends = ends.withColumn("_i", F.col("_block") % F.col("_w"))
+    horizon = ends.join(plan.select("_source", "_i", "_offset"), ["_source", "_i"]).agg(F.min(_slot())).first()[0]
     rows = rows.withColumn("_block", F.floor(F.col("_number") / block))
-    rows = rows.join(F.broadcast(lengths), "_source", "left")
-    rows = rows.withColumn("i", F.col("_block") % F.col("w"))
-    rows = rows.join(F.broadcast(plan.select("_source", "i", "offset")), ["_source", "i"], "left")
-    rows = rows.join(F.broadcast(horizon))
+    rows = rows.join(lengths, "_source", "left")
+    rows = rows.withColumn("_i", F.col("_block") % F.col("_w"))
+    rows = rows.join(plan.select("_source", "_i", "_offset"), ["_source", "_i"], "left")
     return rows.select(
         *[F.col(f"`{c}`") for c in docs.columns],
         "_block",
-        F.floor(F.col("_block") * F.col("period") / F.col("w")).alias("_release"),
-        F.ceil((F.col("_block") + 1) * F.col("period") / F.col("w")).alias("_deadline"),
+        F.floor(F.col("_block") * F.col("_period") / F.col("_w")).alias("_release"),
+        F.ceil((F.col("_block") + 1) * F.col("_period") / F.col("_w")).alias("_deadline"),
         _slot().alias("_slot"),
         "_number",
-        F.coalesce(_slot() < F.col("_horizon"), F.lit(False)).alias("_mixed"),
+        F.coalesce(_slot() < F.lit(horizon), F.lit(False)).alias("_mixed"),
     )
 
 
 def _slot() -> Column:
-    return F.floor(F.col("_block") / F.col("w")) * F.col("period") + F.col("offset")
+    return F.floor(F.col("_block") / F.col("_w")) * F.col("_period") + F.col("_offset")

@@ -20,7 +20,7 @@ n AS (
 z AS (SELECT s, count(*) AS n FROM d GROUP BY s),
 w AS (
   SELECT s, n, greatest(1, CAST(round(pow(n, {mixing.TEMPER}) / sum(pow(n, {mixing.TEMPER})) OVER ()
-    * {mixing.RESOLUTION}) AS BIGINT)) AS w FROM z
+    * greatest({mixing.RESOLUTION}, {mixing.PER_SOURCE} * count(*) OVER ())) AS BIGINT)) AS w FROM z
 ),
 p AS (
   SELECT list(s ORDER BY s) AS ss, list(w ORDER BY s) AS ws, CAST(sum(w) AS BIGINT) AS r FROM w
