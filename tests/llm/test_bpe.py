@@ -109,6 +109,34 @@ def test_repetition_gets_rules():
     assert repair.expansion_lengths(rules, base).max() > 2
 
 
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(5)
+    many = [np.zeros(5000, np.int64), np.repeat(rng.integers(0, 9, 900), rng.integers(1, 30, 900)), rng.integers(0, 40, 30000)]
+    for ids in many:
+        sequence, rules, base = repair.replace_pairs(ids)
+        assert np.array_equal(repair.expand(sequence, rules, base), ids)
+        counts, at = {}, 0
+        pairs = list(zip(sequence.tolist(), sequence[1:].tolist(), strict=False))
+        while at < len(pairs):
+            a, b = pairs[at]
+            counts[a, b] = counts.get((a, b), 0) + 1
+            at += 2 if a == b and at + 1 < len(pairs) and pairs[at + 1] == (a, a) else 1
+        assert max(counts.values(), default=0) < repair.LEAST
+
+
+def test_words_like_the_separator(library):
+    """New words go to the library between special tokens: parts of such a token stay words."""
+    assert repair.separator(library) == "<|endoftext|>"
+    parts = ["<|endoftext|", "|endoftext|>", "<|", "|>", "endoftext", "<|endof", "<", ">", "a<|endoftext|>b", " ", "  \n ", "\n"]
+    rng = random.Random(8)
+    some = ["".join(rng.choices(parts, k=rng.randint(1, 6))) for _ in range(400)] + parts
+    own = repair.library_encoder(PATH)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(some))), pa.array(some)], ["id", "text"])
+    for rows, ids, ends in own.encode_batches([batch]):
+        for k, a, b in zip(rows.to_pylist(), ends[:-1], ends[1:], strict=True):
+            assert ids[a:b].tolist() == library.encode(some[k], add_special_tokens=False).ids
+
+
 def test_files(spark, docs_of, library, tmp_path):
     rows = [(5, "five"), (1, None), (3, "a" * 5000), (3, "b c"), (2, ""), (9, "nine" * 40000)]
     path = str(tmp_path / "ids")

@@ -30,8 +30,8 @@ from tidemark.llm.common import keyed_text
 BLOCK = 1 << 17
 #: Words given to the library at once.
 WORDS = 4096
-#: A pair must occur this often in a block to become a rule; rounds of replacement.
-LEAST, ROUNDS = 16, 6
+#: A pair must occur this often in a block, without overlap, to become a rule.
+LEAST = 16
 
 SCHEMA = (
     "shard int, block long, ids_before long, n_ids long, doc_ids array<long>, "
@@ -39,23 +39,34 @@ SCHEMA = (
 )
 
 
+def apart(sequence: np.ndarray) -> np.ndarray:
+    """Which pairs of neighbours count: all, but of a run of equal ids only the 1st, 3rd, 5th."""
+    made = np.ones(len(sequence) - 1, bool)
+    same = np.flatnonzero(sequence[1:] == sequence[:-1])
+    if len(same):
+        new = np.append(True, np.diff(same) > 1)
+        place = np.arange(len(same)) - np.maximum.accumulate(np.where(new, np.arange(len(same)), 0))
+        made[same[place % 2 == 1]] = False
+    return made
+
+
 def replace_pairs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """(sequence, rules (n, 2), first nonterminal) of one block.
 
-    Pairs replaced in the same round begin with symbols that no other of them ends with, so their
-    occurrences can't overlap and the result doesn't depend on an order of replacement.
+    Rounds go on until no pair occurs ``LEAST`` times. Pairs replaced in the same round begin with
+    symbols that no other of them ends with, so their occurrences can't overlap and the result
+    doesn't depend on an order of replacement. Of a run of equal ids every second pair counts.
     """
     base = int(ids.max()) + 1 if len(ids) else 0
     sequence, following = ids.astype(np.int64), base
     rules: list[np.ndarray] = []
-    for _ in range(ROUNDS):
-        if len(sequence) < 2 * LEAST:
-            break
+    while len(sequence) >= 2 * LEAST:
+        alone = apart(sequence)
         keys = sequence[:-1] << 32 | sequence[1:]
         # a frequent pair is in a bucket that is at least as full: only those are sorted
         bucket = (sequence[:-1] * 0x9E3779B1 + sequence[1:] * 0x85EBCA77) >> 7 & (1 << 17) - 1
-        full = np.bincount(bucket, minlength=1 << 17) >= LEAST
-        ordered = np.sort(keys[full[bucket]])
+        full = np.bincount(bucket[alone], minlength=1 << 17) >= LEAST
+        ordered = np.sort(keys[full[bucket] & alone])
         if not len(ordered):
             break
         edges = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
@@ -71,16 +82,14 @@ def replace_pairs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         for key, a, b in zip(
             pairs.tolist(), (pairs >> 32).tolist(), (pairs & 0xFFFFFFFF).tolist(), strict=True
         ):
-            if a != b and a not in ends and b not in begins:
+            if a not in ends and b not in begins:
                 begins.add(a)
                 ends.add(b)
                 chosen.append(key)
-        if not chosen:
-            break
         table = np.sort(np.array(chosen, np.int64))
         first = np.zeros(following, bool)
         first[table >> 32] = True
-        at = np.flatnonzero(first[sequence[:-1]])
+        at = np.flatnonzero(first[sequence[:-1]] & alone)
         place = np.minimum(np.searchsorted(table, keys[at]), len(table) - 1)
         hit = table[place] == keys[at]
         at, place = at[hit], place[hit]
@@ -174,21 +183,43 @@ def store(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     return pack(flat), pack(expansion_lengths(rules, base)), pack(names)
 
 
+def separator(own: Tokenizer) -> str | None:
+    """A special token that parts texts exactly: it takes no white space from its neighbours and
+    doesn't end as it begins, so no occurrence of it can lie across its edges."""
+    for token in own.get_added_tokens_decoder().values():
+        text = token.content
+        apart = not any(text[:k] == text[-k:] for k in range(1, len(text)))
+        if token.special and apart and not (token.lstrip or token.rstrip or token.single_word or token.normalized):
+            return text
+    return None
+
+
 @cache
 def library_encoder(path: str) -> TextEncoder:
     """Whole texts by the tokenizers library: it encodes the words that a worker hasn't met."""
     own = Tokenizer.from_file(path)
     special = {t.content: i for i, t in own.get_added_tokens_decoder().items()}
 
+    between = separator(own)
+
+    def encode_some(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if between is None or between in words:
+            made = own.encode(words, is_pretokenized=True, add_special_tokens=False)
+            counts = np.bincount(np.array(made.word_ids, np.int64), minlength=len(words))
+            return np.array(made.ids, np.int32), counts
+        made = own.encode_batch_fast([between.join(words)], add_special_tokens=False)[0].ids
+        ids = np.array(made, np.int32)
+        cuts = np.flatnonzero(ids == special[between])
+        return np.delete(ids, cuts), np.diff(cuts, prepend=-1, append=len(ids)) - 1
+
     def encode_words(letters: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raw, ends = letters.tobytes(), np.concatenate([[0], np.cumsum(lengths)]).tolist()
         ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for k in range(0, len(lengths), WORDS):
             some = ends[k : k + WORDS + 1]
-            words = [raw[a:b].decode() for a, b in zip(some, some[1:], strict=False)]
-            made = [e.ids for e in own.encode_batch_fast(words, add_special_tokens=False)]
-            counts.append(np.array([len(m) for m in made], np.int64))
-            ids.append(np.array([i for m in made for i in m], np.int32))
+            made, of = encode_some([raw[a:b].decode() for a, b in zip(some, some[1:], strict=False)])
+            ids.append(made)
+            counts.append(of)
         return np.concatenate(ids), np.concatenate(counts)
 
     return TextEncoder(encode_words, special)
