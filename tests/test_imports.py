@@ -51,6 +51,20 @@ def test_interleaved_writers_lose_nothing(spark, monkeypatch):
     assert sorted(map(tuple, writers.read_import_state(spark, path, STATE).collect()), key=key) == want
 
 
+def test_reading_states_sorts_no_rows(spark):
+    """The last version of each import comes from a few distinct rows, and the rows are read once more."""
+    path = new_path(spark, "states")
+    for flag in (False, True):
+        rows = spark.range(2000).selectExpr("'p' project_id", "'i' || id % 3 import_id", "'' || id relative_path")
+        rows = rows.where("import_id < 'i2'") if flag else rows
+        writers.write_import_state(rows.withColumn("uploaded", F.lit(flag)), path)
+    read = writers.read_import_state(spark, path, STATE)
+    assert read.groupBy("import_id", "uploaded").count().count() == 3
+    scans = [line for line in read._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert sum("[project_id#" in line for line in scans) == 1
+    assert sum("[_project_id#" in line for line in scans) == 1
+
+
 def page(path, status, cursor=None, after=None, mtime=0, project="p"):
     text = {"imports": [{"import_id": "i", "status": status}, {"import_id": status, "status": "x"}]}
     text |= {"cursor": cursor} if cursor else {}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.imports import IMPORT_KEYS
-from tidemark.shared import finished_writes, remove
+from tidemark.shared import finished_writes, remove, write_and_read
 
 _VERSION = "version"
 
@@ -50,7 +50,11 @@ def read_import_state(spark: SparkSession, path: str, schema: StructType | str)
 def _current(spark: SparkSession, path: str, names: list[str], schema: StructType | str) -> DataFrame:
     own = spark.createDataFrame([], schema).schema
     rows = _versions(spark, path, names, StructType([*own.fields]).add(_VERSION, "string"))
-    last = rows.groupBy(*(F.col(k).alias(f"_{k}") for k in IMPORT_KEYS)).agg(F.max(_VERSION).alias("_last"))
+    # The largest of strings is found by sorting all of them. Distinct pairs come by hash, and are written
+    # before the rest is planned: Spark would drop the distinct, and few imports spare the rows a shuffle.
+    held = rows.select(*(F.col(k).alias(f"_{k}") for k in IMPORT_KEYS), _VERSION).distinct()
+    held = write_and_read(held, "versions")
+    last = held.groupBy(*(f"_{k}" for k in IMPORT_KEYS)).agg(F.max(_VERSION).alias("_last"))
     same = [rows[k].eqNullSafe(last[f"_{k}"]) for k in IMPORT_KEYS]
     kept = rows.join(last, [*same, rows[_VERSION] == last["_last"]], "left_semi")
     return kept.select(*own.names, _VERSION)
