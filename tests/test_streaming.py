@@ -290,3 +290,20 @@ def test_a_hot_dataset_is_flushed_by_many_tasks(spark, tmp_path):
     folder, _ = drained(feeds.micro_batches(feeds.file_stream(spark, source, schema), 100, 3600), timers=True)
     out = sinks.read_rows(spark, folder, feeds.FLUSHES).collect()
     assert {len(r.entries) for r in out} == {100} and len(out) >= 8 * 2000 // 100 - 1
+
+
+def test_a_part_is_a_micro_batch_however_many_files_it_has(spark):
+    from tidemark.plans import streaming_queries
+
+    source, folder, checkpoint = (new_path(spark, kind) for kind in ("arrivals", "feeds", "streams"))
+    parts = [spark.range(100 * k, 100 * k + 50 + k).repartition(files) for k, files in enumerate((1, 4, 2, 3))]
+    sizes = []
+
+    def start():
+        query = sinks.start(feeds.file_stream(spark, source, "id bigint"), folder, checkpoint)
+        query.awaitTermination()
+        sizes.append([p.numInputRows for p in query.recentProgress if p.numInputRows])
+        return query
+
+    streaming_queries._drain([[(part, source)] for part in parts], start)
+    assert sizes == [[50], [51], [52], [53]]

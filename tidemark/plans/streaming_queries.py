@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.plans.registry import query
@@ -12,33 +15,45 @@ from tidemark.plans.views import table, view
 from tidemark.shared import new_path
 from tidemark.streaming import feeds, sinks
 
-#: A table arrives in so many parts, one after the other; a micro-batch takes about one of them.
+#: A table arrives in so many parts, one after the other. Each is drained before the next one lands, so a
+#: micro-batch is one part, however many files Spark makes of it.
 ARRIVALS = 4
 
 
-def _land(rows: DataFrame, order: str, folder: str) -> None:
-    """Write a table in parts, in the order of a column; Spark decides the files of each part."""
+def _parts(rows: DataFrame, order: str) -> list[DataFrame]:
+    """A table in parts, in the order of a column."""
     shares = F.array(*(F.lit(k / ARRIVALS) for k in range(1, ARRIVALS)))
     ends = rows.agg(F.percentile_approx(order, shares).alias("ends")).first()["ends"]
+    made = []
     for k in range(ARRIVALS):
         part = rows if k == ARRIVALS - 1 else rows.where(F.col(order) <= F.lit(ends[k]))
-        part = part.where(F.col(order) > F.lit(ends[k - 1])) if k else part
-        part.write.mode("append").parquet(folder)
+        made.append(part.where(F.col(order) > F.lit(ends[k - 1])) if k else part)
+    return made
 
 
-def _landed(
-    spark: SparkSession, folder: str, schema: StructType | str, parts: int = ARRIVALS
-) -> DataFrame:
-    files = len(spark.read.schema(schema).parquet(folder).inputFiles())
-    return feeds.file_stream(spark, folder, schema, max_files=-(-files // parts))
+def _drain(arrivals: list[list[tuple[DataFrame, str]]], start: Callable[[], StreamingQuery]) -> None:
+    """Let parts land in their folders, arrival by arrival, and run the stream over each; it goes on from
+    its checkpoint."""
+    for landing in arrivals:
+        for part, folder in landing:
+            part.write.mode("append").parquet(folder)
+        start().awaitTermination()
 
 
-def _stream(spark: SparkSession, sf_dir: str, view_name: str, source: str) -> DataFrame:
-    """A view over a table that arrives as a stream of files, in the order of its key."""
+def _source(spark: SparkSession, sf_dir: str, source: str) -> tuple[str, StructType, list[tuple[DataFrame, str]]]:
+    """Folder and schema of a table that arrives in the order of its key, and what lands there."""
     order = {"orders": "o_orderkey", "events": "ts"}[source]
     rows, folder = table(spark, sf_dir, source), new_path(spark, "arrivals")
-    _land(rows, order, folder)
-    return view(spark, sf_dir, view_name, {source: _landed(spark, folder, rows.schema)})
+    return folder, rows.schema, [(part, folder) for part in _parts(rows, order)]
+
+
+def _stream(
+    spark: SparkSession, sf_dir: str, view_name: str, source: str
+) -> tuple[Callable[[], DataFrame], list[tuple[DataFrame, str]]]:
+    """A view over a table that arrives as a stream of files, and the arrivals. The folder of the stream is
+    there from the first arrival on."""
+    folder, schema, arrivals = _source(spark, sf_dir, source)
+    return lambda: view(spark, sf_dir, view_name, {source: feeds.file_stream(spark, folder, schema)}), arrivals
 
 
 @query(
@@ -46,13 +61,17 @@ def _stream(spark: SparkSession, sf_dir: str, view_name: str, source: str) -> Da
     "SELECT dataset_id, relative_path, CAST(max(size_bytes) AS BIGINT) AS size_bytes FROM v_files GROUP BY 1, 2",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listing = _stream(spark, sf_dir, "v_files", "orders")
-    twice = listing.unionByName(_stream(spark, sf_dir, "v_files", "orders"))
+    listing, once = _stream(spark, sf_dir, "v_files", "orders")
+    listing_again, again = _stream(spark, sf_dir, "v_files", "orders")
     columns = ("dataset_id", "relative_path", "size_bytes")
-    fresh = feeds.stream_new_files(twice.select(*columns))
-    folder = new_path(spark, "feeds")
-    sinks.start(fresh, folder).awaitTermination()
-    return sinks.read_rows(spark, folder, fresh.schema)
+    folder, checkpoint = new_path(spark, "feeds"), new_path(spark, "streams")
+
+    def start() -> StreamingQuery:
+        twice = listing().unionByName(listing_again())
+        return sinks.start(feeds.stream_new_files(twice.select(*columns)), folder, checkpoint)
+
+    _drain([list(pair) for pair in zip(once, again, strict=True)], start)
+    return sinks.read_rows(spark, folder, view(spark, sf_dir, "v_files").select(*columns).schema)
 
 
 @query(
@@ -65,10 +84,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM v_transfer_events GROUP BY 1, 2""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _stream(spark, sf_dir, "v_transfer_events", "events")
+    events, arrivals = _stream(spark, sf_dir, "v_transfer_events", "events")
     folder, checkpoint = new_path(spark, "feeds"), new_path(spark, "streams")
-    progress = feeds.stream_progress(events, "6 hours", "1 day")
-    feeds.start_progress(progress, folder, checkpoint).awaitTermination()
+    progress = lambda: feeds.stream_progress(events(), "6 hours", "1 day")
+    _drain([[a] for a in arrivals], lambda: feeds.start_progress(progress(), folder, checkpoint))
     latest = feeds.latest_progress(spark, folder, checkpoint)
     return latest.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
@@ -97,18 +116,20 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM judged""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    polls = _stream(spark, sf_dir, "v_polls", "events")
-    folder = new_path(spark, "feeds")
-    sinks.start(feeds.stream_import_status(polls, 86400.0, "1 hour", 1e9), folder).awaitTermination()
+    polls, arrivals = _stream(spark, sf_dir, "v_polls", "events")
+    folder, checkpoint = new_path(spark, "feeds"), new_path(spark, "streams")
+    ends = lambda: feeds.stream_import_status(polls(), 86400.0, "1 hour", 1e9)
+    _drain([[a] for a in arrivals], lambda: sinks.start(ends(), folder, checkpoint))
     outcomes = sinks.read_rows(spark, folder, feeds.OUTCOMES)
     return outcomes.unionByName(feeds.open_imports(view(spark, sf_dir, "v_polls"), outcomes))
 
 
 @query("stream_first_n", f"SELECT * FROM ({FIRST_N_CHECK}) WHERE reached")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _stream(spark, sf_dir, "v_transfer_events", "events")
-    folder = new_path(spark, "feeds")
-    sinks.start(feeds.stream_first_n(events), folder, timers=True).awaitTermination()
+    events, arrivals = _stream(spark, sf_dir, "v_transfer_events", "events")
+    folder, checkpoint = new_path(spark, "feeds"), new_path(spark, "streams")
+    runs = lambda: feeds.stream_first_n(events())
+    _drain([[a] for a in arrivals], lambda: sinks.start(runs(), folder, checkpoint, timers=True))
     return sinks.read_rows(spark, folder, feeds.MILESTONES)
 
 
@@ -119,9 +140,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         arg_max(size_bytes, ts) AS size_bytes FROM v_updates GROUP BY 1, 2, 3""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    updates = _stream(spark, sf_dir, "v_updates", "events")
+    updates, arrivals = _stream(spark, sf_dir, "v_updates", "events")
     checkpoint = new_path(spark, "streams")
-    feeds.start_file_state(feeds.stream_file_state(updates), checkpoint).awaitTermination()
+    states = lambda: feeds.stream_file_state(updates())
+    _drain([[a] for a in arrivals], lambda: feeds.start_file_state(states(), checkpoint))
     state = feeds.current_file_state(spark, checkpoint)
     return state.drop("sha256", "width", "height")
 
@@ -132,15 +154,17 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = view(spark, sf_dir, "v_files").select("dataset_id", "relative_path", "file_no")
-    arrivals, folder = new_path(spark, "arrivals"), new_path(spark, "feeds")
-    _land(rows, "file_no", arrivals)
+    arrivals, folder, checkpoint = (new_path(spark, kind) for kind in ("arrivals", "feeds", "streams"))
     ends = rows.select("dataset_id").distinct().withColumns(
         {"relative_path": F.lit(None).cast("string"), "file_no": F.lit(None).cast(rows.schema["file_no"].dataType)}
     )
-    ends.write.mode("append").parquet(arrivals)
-    files = _landed(spark, arrivals, rows.schema, ARRIVALS + 1)
-    flushes = feeds.micro_batches(files, wait_sec=3600.0, finished=F.col("relative_path").isNull())
-    sinks.start(flushes, folder, timers=True).awaitTermination()
+
+    def flushes() -> DataFrame:
+        files = feeds.file_stream(spark, arrivals, rows.schema)
+        return feeds.micro_batches(files, wait_sec=3600.0, finished=F.col("relative_path").isNull())
+
+    landing = [[(part, arrivals)] for part in [*_parts(rows, "file_no"), ends]]
+    _drain(landing, lambda: sinks.start(flushes(), folder, checkpoint, timers=True))
     cut = sinks.read_rows(spark, folder, feeds.FLUSHES).withColumn("short", F.size("entries") < feeds.FLUSH_SIZE)
     shorts = cut.where("short").groupBy("dataset_id").agg(F.count("*").alias("shorts"))
     good = (F.size("entries") == feeds.FLUSH_SIZE) | (
