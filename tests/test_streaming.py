@@ -307,3 +307,25 @@ def test_a_part_is_a_micro_batch_however_many_files_it_has(spark):
 
     streaming_queries._drain([[(part, source)] for part in parts], start)
     assert sizes == [[50], [51], [52], [53]]
+
+
+def test_a_task_holds_few_entries_of_many_datasets(monkeypatch):
+    """Datasets smaller than a flush: what a task holds, and hands on at once, doesn't grow with its rows."""
+
+    class Task:
+        def partitionId(self):
+            return 3
+
+    monkeypatch.setattr(keyed, "TaskContext", type("Context", (), {"get": staticmethod(Task)}))
+    monkeypatch.setattr(keyed, "HELD", 1000)
+    names = ["dataset_id", "entry", "finished"]
+    rows = [(f"d{k // 7}" if k % 3 else "hot", f"{k}", k % 50 == 0) for k in range(20_000)]
+    batches = [
+        pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[a : a + 500]]) for a in range(0, len(rows), 500)
+    ]
+    made = list(keyed.blocks_of(100)(iter(batches)))
+    assert max(sum(map(len, b.column("entries").to_pylist())) for b in made) < 2000
+    blocks = [b for batch in made for b in batch.to_pylist()]
+    assert sorted((b["dataset_id"], e) for b in blocks for e in b["entries"]) == sorted(r[:2] for r in rows)
+    assert all(b["lane"] == 0 or len(b["entries"]) == 100 for b in blocks)
+    assert {b["dataset_id"] for b in blocks if b["finished"]} == {r[0] for r in rows if r[2]}

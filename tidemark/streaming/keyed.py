@@ -69,7 +69,7 @@ class FirstN(StatefulProcessor):
         self.run = handle.getValueState("run", schema, self.keep_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        started, total, fired = self.run.get() if self.run.exists() else (None, 0, False)
+        started, total, fired = self.run.get() or (None, 0, False)
         for row in sorted(rows, key=lambda r: (r["us"], r["event_id"])):
             started = row["us"] if started is None else min(started, row["us"])
             total += row["files"]
@@ -170,6 +170,8 @@ class ImportWatch(StatefulProcessor):
 # Flushes --------------------------------------------------------------------------------------------
 
 BLOCK = "dataset_id string, lane int, entries array<string>, finished boolean"
+#: A task holds so many entries and ends of datasets at a time.
+HELD = 1 << 16
 
 
 def blocks_of(size: int):
@@ -183,6 +185,17 @@ def blocks_of(size: int):
         lane = TaskContext.get().partitionId() + 1
         open_blocks: dict[str | None, list[str]] = {}
         ends: set[str | None] = set()
+        held = 0
+
+        def packed(blocks: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([dict(zip(schema.names, b, strict=True)) for b in blocks], schema)
+
+        def rest() -> pa.RecordBatch:
+            blocks = [(d, 0, open_blocks.get(d, []), d in ends) for d in open_blocks.keys() | ends]
+            open_blocks.clear()
+            ends.clear()
+            return packed(blocks)
+
         for batch in batches:
             full = []
             rows = zip(*(batch.column(n).to_pylist() for n in ("dataset_id", "entry", "finished")), strict=True)
@@ -193,13 +206,17 @@ def blocks_of(size: int):
                     continue
                 own = open_blocks.setdefault(dataset, [])
                 own.append(entry)
+                held += 1
                 if len(own) == size:
                     full.append((dataset, lane, open_blocks.pop(dataset), False))
+                    held -= size
             if full:
-                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in full], schema)
-        rest = [(d, 0, open_blocks.get(d, []), d in ends) for d in open_blocks.keys() | ends]
-        if rest:
-            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rest], schema)
+                yield packed(full)
+            if held + len(ends) >= HELD:
+                yield rest()
+                held = 0
+        if open_blocks or ends:
+            yield rest()
 
     return work
 
