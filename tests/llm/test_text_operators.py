@@ -459,3 +459,13 @@ def test_equal_texts_have_equal_prints():
     texts = ["one two three four", "one two three four", "", "One  two three\nfour"]
     prints = simhash.fingerprints(*text_bytes(pa.array(texts)))
     assert (prints[0] == prints[1]).all() and (prints[0] == prints[3]).all() and not prints[2].any()
+
+
+def test_repeats_leave_no_shuffle_files_of_finished_steps(spark, monkeypatch):
+    """Both written steps run with Spark's removal of shuffle files; the session's own setting comes back."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    real, before, seen = suffixes.write_and_read, spark.conf.get(key), []
+    monkeypatch.setattr(suffixes, "write_and_read", lambda *a: (seen.append(spark.conf.get(key)), real(*a))[1])
+    docs = spark.createDataFrame([(k, "x" * 150 + str(k)) for k in range(4)], "doc_id long, text string")
+    assert suffixes.remove_repeats(docs).count() == 4
+    assert seen == ["true", "true"] and spark.conf.get(key) == before

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import chunks, keyed_text, mix, partitions, text_bytes
 from tidemark.llm.words import powers
-from tidemark.shared import write_and_read
+from tidemark.shared import shuffles_removed, write_and_read
 
 LENGTH = 100
 GRAM = 32
@@ -516,11 +516,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = keyed_text(docs, id_col, text_col).withColumn("key", F.xxhash64("id", "text"))
     fragments = partitions(docs.sparkSession)
     found = shard_findings(text.select("id", "key", "text"), fragments)
-    flags = write_and_read(anchor_flags(deal(found)), "repeats")
+    with shuffles_removed(docs.sparkSession):
+        flags = write_and_read(anchor_flags(deal(found)), "repeats")
     nearer = flags.where(F.col("kind") == OPEN).groupBy("key").agg(F.collect_list("places").alias("places"))
     known = flags.where(F.col("kind") == STRING).groupBy("key").agg(F.collect_list("places").alias("known"))
     asked = text.join(nearer, "key").join(known, "key", "left")
-    more = write_and_read(string_flags(deal(string_packs(asked, fragments))), "repeats")
+    with shuffles_removed(docs.sparkSession):
+        more = write_and_read(string_flags(deal(string_packs(asked, fragments))), "repeats")
     every = flags.where(F.col("kind") != OPEN).union(more)
     of_kind = {
         name: F.flatten(F.array(F.collect_list(F.when(F.col("kind") == kind, F.col("places"))))).alias(name)
