@@ -469,3 +469,24 @@ def test_repeats_leave_no_shuffle_files_of_finished_steps(spark, monkeypatch):
     docs = spark.createDataFrame([(k, "x" * 150 + str(k)) for k in range(4)], "doc_id long, text string")
     assert suffixes.remove_repeats(docs).count() == 4
     assert seen == ["true", "true"] and spark.conf.get(key) == before
+
+
+def test_fragments_hand_on_rows_of_buckets_not_of_documents(spark):
+    """op2: what a fragment finds goes on in a row for each bucket, so the rows don't grow with documents
+    times fragments; a document's places come together from all fragments."""
+    rng = np.random.default_rng(11)
+    keys = rng.integers(-(2**63), 2**63 - 1, 5000)
+    found = [(np.repeat(keys, 2), kind, np.arange(10000) * 3 + kind) for kind in (suffixes.STRING, suffixes.OPEN, suffixes.RUN)]
+    made = [suffixes.flag_batch(*f) for f in found]
+    assert all(m.num_rows <= suffixes.BUCKETS for m in made)
+    assert suffixes.flag_batch(keys[:0], suffixes.AROUND, keys[:0]).num_rows == 0
+    rows = [tuple(r.values()) for m in made for r in m.to_pylist()]
+    flags = spark.createDataFrame(rows, suffixes.FLAG).repartition(3)
+    got = {r["key"]: r for r in suffixes.places_of_documents(flags).collect()}
+    assert len(got) == 5000
+    for k in (0, 17, 4999):
+        row = got[int(keys[k])]
+        runs = [(6 * k, 6 * k + 1), (6 * k + 3, 6 * k + 4), (6 * k + 3, 6 * k + 6)]
+        assert sorted(map(tuple, np.frombuffer(row["strings"], "<u4").reshape(-1, 2).tolist())) == runs
+        assert np.frombuffer(row["nearer"], "<u4").tolist() == [6 * k + 2, 6 * k + 5]
+        assert row["arounds"] == b""

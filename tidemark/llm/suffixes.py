@@ -41,14 +41,19 @@ GRAM = 32
 #: Bytes of a shard, where a document doesn't make it longer.
 SHARD = 1 << 20
 #: Kinds of places that the steps find: a repeated string begins there, a repeated surrounding has
-#: its anchor there, an anchor there has to be looked at closer.
-STRING, AROUND, OPEN = 0, 1, 2
+#: its anchor there, an anchor there has to be looked at closer, repeated strings begin from there to
+#: before the place that follows.
+STRING, AROUND, OPEN, RUN = 0, 1, 2, 3
 
 PACK = (
     "fragment int, code binary, detail binary, sides binary, owner binary, place binary, "
     "ids binary, keys binary"
 )
-FLAG = "key long, kind int, places binary"
+FLAG = "bucket int, kind int, keys binary, counts binary, places binary"
+PLACES = "key long, strings binary, arounds binary, nearer binary"
+#: Anchors and strings are dealt to so many fragments at least, documents to so many buckets, by key: a
+#: fragment hands on a row for each bucket and kind, not for each document that it meets.
+FRAGMENTS = BUCKETS = 256
 
 
 def packed_words(flat: np.ndarray) -> np.ndarray:
@@ -66,13 +71,20 @@ def suffix_array(flat: np.ndarray, depth: int) -> np.ndarray:
     A suffix's rank is where its group begins in the array. Each round sorts only groups with several
     suffixes, by the ranks of what follows the part already sorted, which doubles that part.
     """
+    return sorted_suffixes(flat, depth)[0]
+
+
+def sorted_suffixes(flat: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffix array, and how many bytes each suffix is known to share with the one before it: what was
+    sorted before the round that parted them. They share less than twice as many, or 8."""
     size = len(flat)
     words = packed_words(flat)
-    order = np.argsort(words, kind="stable")
+    order = np.argsort(words)
     new = np.ones(size, bool)
     new[1:] = words[order[1:]] != words[order[:-1]]
     rank = np.empty(size, np.int64)
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(size), 0))
+    known = np.zeros(size, np.int64)
     sorted_upto = 8
     while sorted_upto < depth:
         begin = np.flatnonzero(new)
@@ -86,32 +98,37 @@ def suffix_array(flat: np.ndarray, depth: int) -> np.ndarray:
         then = np.where(follow < size, rank[np.minimum(follow, size - 1)] + 1, 0)
         own = rank[suffix]
         codes = own << 32 | then
-        by = np.argsort(codes, kind="stable")
+        by = np.argsort(codes)
         order[at] = suffix[by]
         codes = codes[by]
         fresh = np.ones(len(at), bool)
         fresh[1:] = codes[1:] != codes[:-1]
+        known[at[fresh & ~new[at]]] = sorted_upto
         new[at] = fresh
         rank[order[at]] = np.maximum.accumulate(np.where(fresh, at, 0))
         sorted_upto *= 2
-    return order
+    known[~new] = sorted_upto
+    return order, known
 
 
-def common_prefixes(flat: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+def common_prefixes(flat: np.ndarray, order: np.ndarray, most: int, known: np.ndarray | None = None) -> np.ndarray:
     """How many bytes each suffix shares with the one before it in the array, up to ``most``.
 
-    As Kasai does, nothing is compared again that is known to be equal: all pairs of neighbours are
-    extended together, eight bytes at a time, and those that differ leave.
+    As Kasai does, nothing is compared again that is known to be equal: pairs of neighbours are
+    extended together, eight bytes at a time, and those that differ leave. With what the sorting already
+    knows, pairs that it shows to share ``most``, or less, aren't compared; the latter keep what is known.
     """
     size = len(flat)
     words = packed_words(flat)
-    shared = np.zeros(size, np.int64)
+    shared = np.zeros(size, np.int64) if known is None else known.copy()
     at = np.arange(1, size)
-    done = 0
-    while len(at) and done < most:
+    if known is not None:
+        at = at[(known[1:] * 2 > most) & (known[1:] < most)]
+    done = shared[at]
+    while len(at):
         a, b = order[at - 1] + done, order[at] + done
-        inside = (a < size) & (b < size)
-        at, a, b = at[inside], a[inside], b[inside]
+        inside = (a < size) & (b < size) & (done < most)
+        at, a, b, done = at[inside], a[inside], b[inside], done[inside]
         apart = words[a] ^ words[b]
         equal = apart == 0
         differ = apart[~equal]
@@ -119,9 +136,8 @@ def common_prefixes(flat: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
             lead = np.zeros(len(differ), np.int64)
             for k in range(1, 8):
                 lead += differ >> np.uint64(64 - 8 * k) == 0
-            shared[at[~equal]] = done + lead
-        at = at[equal]
-        done += 8
+            shared[at[~equal]] = done[~equal] + lead
+        at, done = at[equal], done[equal] + 8
         shared[at] = done
     ends = size - np.maximum(order, np.append(0, order[:-1]))
     return np.minimum(np.minimum(shared, ends), most)
@@ -134,8 +150,8 @@ def repeats(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     made = np.zeros(size, bool)
     if size <= LENGTH:
         return made
-    order = suffix_array(flat, LENGTH)
-    joined = common_prefixes(flat, order, LENGTH) >= LENGTH
+    order, known = sorted_suffixes(flat, LENGTH)
+    joined = common_prefixes(flat, order, LENGTH, known) >= LENGTH
     near = np.flatnonzero(joined)
     if not len(near):
         return made
@@ -274,25 +290,90 @@ def pack_batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def binaries(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """A binary column whose values are parts of an array."""
+    ends = pa.py_buffer((offsets * flat.itemsize).astype("<i4"))
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, ends, pa.py_buffer(flat)])
+
+
+def changes(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the last ends."""
+    if not len(values):
+        return np.zeros(1, np.int64)
+    return np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1, [len(values)]])
+
+
 def flag_batch(key: np.ndarray, kind: int, place: np.ndarray) -> pa.RecordBatch:
-    """Rows of ``FLAG``: the places of each document."""
-    order = np.lexsort((place, key))
+    """Rows of ``FLAG``: the documents of each bucket, how many places each has, and those."""
+    order = np.lexsort((place, key, key % BUCKETS))
     key, place = key[order], place[order]
-    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-    parts = np.split(place.astype("<u4"), begin[1:]) if len(key) else []
+    each = changes(key)
+    own = key[each[:-1]]
+    bucket = (own % BUCKETS).astype(np.int32)
+    edges = changes(bucket)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(key[begin], pa.int64()),
-            pa.array([kind] * len(begin), pa.int32()),
-            pa.array([p.tobytes() for p in parts], pa.binary()),
+            pa.array(bucket[edges[:-1]], pa.int32()),
+            pa.array([kind] * (len(edges) - 1), pa.int32()),
+            binaries(own.astype("<i8"), edges),
+            binaries(np.diff(each).astype("<u4"), edges),
+            binaries(place.astype("<u4"), each[edges]),
         ],
-        ["key", "kind", "places"],
+        [c.split(" ")[0] for c in FLAG.split(", ")],
     )
 
 
+def runs_of(places: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places where runs begin and end in turns, rows of the runs) of ascending places in ascending rows."""
+    fresh = np.append(True, (np.diff(places.astype(np.int64)) != 1) | (np.diff(rows) != 0))[: len(places)]
+    begin = np.flatnonzero(fresh)
+    last = np.append(begin[1:], len(places))[: len(begin)] - 1
+    return np.stack([places[begin], places[last] + 1], axis=1).ravel().astype("<u4"), rows[begin]
+
+
+def places_of_documents(flags: DataFrame) -> DataFrame:
+    """One row of ``PLACES`` for every document of ``FLAG`` rows. Its strings are runs of places: begin
+    and end in turns."""
+
+    def joined(held: list[dict]) -> pa.RecordBatch:
+        counts = [np.frombuffer(row["counts"], "<u4") for row in held]
+        key = np.concatenate([np.repeat(np.frombuffer(r["keys"], "<i8"), n) for r, n in zip(held, counts, strict=True)])
+        kind = np.repeat(np.array([r["kind"] for r in held], np.int8), [n.sum() for n in counts])
+        place = np.concatenate([np.frombuffer(row["places"], "<u4") for row in held])
+        own, row = np.unique(key, return_inverse=True)
+
+        def column(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
+            places, rows = (np.concatenate(f) for f in zip(*found, strict=True))
+            by = np.argsort(rows, kind="stable")
+            return binaries(places[by], np.searchsorted(rows[by], np.arange(len(own) + 1)))
+
+        def sorted_places(k: int) -> tuple[np.ndarray, np.ndarray]:
+            places, rows = place[kind == k], row[kind == k]
+            by = np.lexsort((places, rows))
+            return places[by], rows[by]
+
+        runs, rows_of_runs = runs_of(*sorted_places(STRING))
+        strings = column([(runs, np.repeat(rows_of_runs, 2)), (place[kind == RUN], row[kind == RUN])])
+        columns = [strings, column([sorted_places(AROUND)]), column([sorted_places(OPEN)])]
+        names = [c.split(" ")[0] for c in PLACES.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), *columns], names)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and row["bucket"] != held[0]["bucket"]:
+                    yield joined(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield joined(held)
+
+    return deal(flags, "bucket").mapInArrow(work, PLACES)
+
+
 def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(code, detail, id, key, place, sides) arrays of each fragment of a sorted partition; rows of
-    fragment -1 are given as they are."""
+    """(code, detail, id, key, place, sides) arrays of each fragment of a sorted partition."""
     held: list[list[np.ndarray]] = []
     current = None
 
@@ -339,8 +420,8 @@ def sorted_entries(part: tuple) -> tuple:
 
 
 def shard_findings(text: DataFrame, fragments: int) -> DataFrame:
-    """Rows of ``PACK`` from every shard: its anchors, and as fragment -1 its own repeats (places
-    of one document in a row)."""
+    """Rows of ``PACK`` from every shard: its anchors, and its own repeats (runs of one document in a
+    row), whose fragment is -1 less the document's bucket."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for flat, offsets, ids, keys in in_shards(batches):
@@ -349,12 +430,12 @@ def shard_findings(text: DataFrame, fragments: int) -> DataFrame:
             rows = []
             if len(found):
                 owner = np.searchsorted(offsets, found, side="right") - 1
-                begin = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-                for part in np.split(np.arange(len(found)), begin[1:]):
-                    k = int(owner[part[0]])
-                    places = (found[part] - offsets[k]).astype("<u4").tobytes()
-                    own = keys[k : k + 1].astype("<i8").tobytes()
-                    rows.append((-1 - int(keys[k]) % 1009, b"", b"", b"", b"", places, b"", own))
+                runs, owner = runs_of(found - offsets[owner], owner)
+                edges = changes(owner)
+                for first, last in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                    own = keys[owner[first] : owner[first] + 1]
+                    places = runs[2 * first : 2 * last].tobytes()
+                    rows.append((-1 - int(own[0]) % BUCKETS, b"", b"", b"", b"", places, b"", own.astype("<i8").tobytes()))
             hashes = Hashes(flat)
             places, codes = anchors(flat, offsets, hashes)
             if len(places):
@@ -378,18 +459,21 @@ def anchor_flags(packs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def others() -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                own = batch.column("fragment").to_numpy() < 0
+                fragment = batch.column("fragment").to_numpy()
+                own = fragment < 0
                 if own.any():
-                    at = pa.array(np.flatnonzero(own))
-                    keys = [int.from_bytes(k, "little", signed=True) for k in batch.column("keys").take(at).to_pylist()]
+                    known = batch.filter(pa.array(own))
+                    sizes = np.array([len(p) // 4 for p in known.column("place").to_pylist()], "<u4")
                     passed.append(
                         pa.RecordBatch.from_arrays(
                             [
-                                pa.array(keys, pa.int64()),
-                                pa.array([STRING] * len(at), pa.int32()),
-                                batch.column("place").take(at),
+                                pa.array(-1 - fragment[own], pa.int32()),
+                                pa.array([RUN] * len(sizes), pa.int32()),
+                                known.column("keys"),
+                                binaries(sizes, np.arange(len(sizes) + 1)),
+                                known.column("place"),
                             ],
-                            ["key", "kind", "places"],
+                            [c.split(" ")[0] for c in FLAG.split(", ")],
                         )
                     )
                 yield batch.filter(pa.array(~own))
@@ -414,8 +498,8 @@ def anchor_flags(packs: DataFrame) -> DataFrame:
 
 
 def string_packs(rows: DataFrame, fragments: int) -> DataFrame:
-    """Rows of ``PACK`` with every string around the open anchors of rows (id, key, text, places,
-    known): places of open anchors, and of strings known to be repeats."""
+    """Rows of ``PACK`` with every string around the open anchors of rows (id, key, text, nearer,
+    strings): places of open anchors, and runs of strings known to be repeats."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -426,15 +510,15 @@ def string_packs(rows: DataFrame, fragments: int) -> DataFrame:
                 text, ends = flat[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 wanted = np.zeros(len(text) + 1, np.int64)
                 for k in range(a, b):
-                    places = [np.frombuffer(p, "<u4") for p in batch.column("places")[k].as_py()]
-                    at = np.concatenate(places).astype(np.int64) + ends[k - a]
+                    at = np.frombuffer(batch.column("nearer")[k].as_py(), "<u4").astype(np.int64) + ends[k - a]
                     top = ends[k - a + 1] - LENGTH
                     np.add.at(wanted, np.maximum(at - (LENGTH - GRAM), ends[k - a]), 1)
                     np.add.at(wanted, np.minimum(at, top) + 1, -1)
                 inside = np.cumsum(wanted)[:-1] > 0
                 for k in range(a, b):
-                    for p in batch.column("known")[k].as_py() or []:
-                        inside[np.frombuffer(p, "<u4").astype(np.int64) + ends[k - a]] = False
+                    known = np.frombuffer(batch.column("strings")[k].as_py(), "<u4").astype(np.int64)
+                    for first, last in (known + ends[k - a]).reshape(-1, 2).tolist():
+                        inside[first:last] = False
                 begin = np.flatnonzero(inside)
                 if not len(begin):
                     continue
@@ -445,7 +529,7 @@ def string_packs(rows: DataFrame, fragments: int) -> DataFrame:
                     pack(fragments, fragment, codes, owner, begin - ends[owner], ids[a:b], keys[a:b])
                 )
 
-    return rows.select("id", "key", "text", "places", "known").mapInArrow(work, PACK)
+    return rows.select("id", "key", "text", "nearer", "strings").mapInArrow(work, PACK)
 
 
 def string_flags(packs: DataFrame) -> DataFrame:
@@ -466,27 +550,26 @@ def string_flags(packs: DataFrame) -> DataFrame:
 
 
 def removals(rows: DataFrame) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, spans, kept_sha256) of rows (id, text, strings, arounds):
-    spans are the removed runs as little-endian pairs of 32-bit places."""
+    """(id, n_bytes, n_removed, n_spans, spans, kept_sha256) of rows (id, text, strings, arounds, more):
+    ``more`` are strings that step 3 found. Spans are the removed runs as little-endian pairs of 32-bit
+    places."""
     schema = "id long, n_bytes long, n_removed long, n_spans long, spans binary, kept_sha256 string"
 
-    def places_of(parts: list[bytes] | None) -> np.ndarray:
-        if not parts:
-            return np.zeros(0, np.int64)
-        return np.frombuffer(b"".join(parts), "<u4").astype(np.int64)
+    def places_of(packed: bytes | None) -> np.ndarray:
+        return np.frombuffer(packed or b"", "<u4").astype(np.int64)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, offsets = text_bytes(batch.column("text"))
-            strings, arounds = batch.column("strings"), batch.column("arounds")
+            strings, arounds, more = (batch.column(c) for c in ("strings", "arounds", "more"))
             made: tuple[list, ...] = ([], [], [], [], [])
             for k in range(batch.num_rows):
                 text = flat[offsets[k] : offsets[k + 1]]
                 size = len(text)
                 edge = np.zeros(size + 1, np.int64)
-                begin = places_of(strings[k].as_py())
-                np.add.at(edge, begin, 1)
-                np.add.at(edge, begin + LENGTH, -1)
+                runs = np.concatenate([places_of(strings[k].as_py()), places_of(more[k].as_py())])
+                np.add.at(edge, runs[::2], 1)
+                np.add.at(edge, runs[1::2] - 1 + LENGTH, -1)
                 at = places_of(arounds[k].as_py())
                 np.add.at(edge, np.maximum(at - (LENGTH - GRAM), 0), 1)
                 np.add.at(edge, np.minimum(at + LENGTH, size), -1)
@@ -503,30 +586,24 @@ def removals(rows: DataFrame) -> DataFrame:
                 [c.split(" ")[0] for c in schema.split(", ")],
             )
 
-    return rows.select("id", "text", "strings", "arounds").mapInArrow(work, schema)
+    return rows.select("id", "text", "strings", "arounds", "more").mapInArrow(work, schema)
 
 
-def deal(packs: DataFrame) -> DataFrame:
+def deal(packs: DataFrame, by: str = "fragment") -> DataFrame:
     count = partitions(packs.sparkSession)
-    return packs.repartition(count, "fragment").sortWithinPartitions("fragment")
+    return packs.repartition(count, by).sortWithinPartitions(by)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, spans, kept_sha256) of every row."""
     text = keyed_text(docs, id_col, text_col).withColumn("key", F.xxhash64("id", "text"))
-    fragments = partitions(docs.sparkSession)
+    fragments = max(FRAGMENTS, partitions(docs.sparkSession))
     found = shard_findings(text.select("id", "key", "text"), fragments)
     with shuffles_removed(docs.sparkSession):
-        flags = write_and_read(anchor_flags(deal(found)), "repeats")
-    nearer = flags.where(F.col("kind") == OPEN).groupBy("key").agg(F.collect_list("places").alias("places"))
-    known = flags.where(F.col("kind") == STRING).groupBy("key").agg(F.collect_list("places").alias("known"))
-    asked = text.join(nearer, "key").join(known, "key", "left")
+        first = write_and_read(places_of_documents(anchor_flags(deal(found))), "repeats")
+    asked = text.join(first.where(F.octet_length("nearer") > 0), "key")
     with shuffles_removed(docs.sparkSession):
-        more = write_and_read(string_flags(deal(string_packs(asked, fragments))), "repeats")
-    every = flags.where(F.col("kind") != OPEN).union(more)
-    of_kind = {
-        name: F.flatten(F.array(F.collect_list(F.when(F.col("kind") == kind, F.col("places"))))).alias(name)
-        for name, kind in (("strings", STRING), ("arounds", AROUND))
-    }
-    places = every.groupBy("key").agg(*of_kind.values())
-    return removals(text.join(places, "key", "left"))
+        strings = string_flags(deal(string_packs(asked, fragments)))
+        more = write_and_read(places_of_documents(strings), "repeats").select("key", F.col("strings").alias("more"))
+    places = first.select("key", "strings", "arounds")
+    return removals(text.join(places, "key", "left").join(more, "key", "left"))
