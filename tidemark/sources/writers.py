@@ -16,10 +16,12 @@ _VERSION = "version"
 
 
 def write_manifest(files: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Manifest rows, one folder per dataset. Rebalancing gives each dataset few files and splits
-    a dataset too large for one task."""
-    balanced = files.hint("rebalance", "dataset_id")
-    balanced.write.partitionBy("dataset_id").mode("overwrite").format(fmt).save(path)
+    """Manifest rows, each with its dataset, in files as large as tasks make them: their number grows with
+    the rows, not with the datasets. Rebalancing brings a dataset into few files and splits one too large
+    for a task; its rows stand together there, so a reader of one dataset skips the rest by statistics
+    where the format has them."""
+    balanced = files.hint("rebalance", "dataset_id").sortWithinPartitions("dataset_id")
+    balanced.write.mode("overwrite").format(fmt).save(path)
 
 
 def write_import_state(import_files: DataFrame, path: str) -> str:
