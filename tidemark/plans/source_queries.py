@@ -247,18 +247,16 @@ def _state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     number = F.col("o_orderkey")
     value = F.when(number % 23 == 0, F.lit("5")).otherwise(
-        F.to_json(
-            F.struct(
-                F.lit("<u>").alias("uploaded"),
-                F.lit("<s>").alias("streamed"),
-                F.lit("").alias("sha256"),
-                number.alias("size_bytes"),
-                F.lit(0).alias("width"),
-            )
+        F.concat(
+            F.lit('{"uploaded":'),
+            _spelled_flag(number % 2 == 0, number),
+            F.lit(',"streamed":'),
+            _spelled_flag(number % 4 == 0, number + 1),
+            F.lit(',"sha256":"","size_bytes":'),
+            number.cast("string"),
+            F.lit(',"width":0}'),
         )
     )
-    value = F.replace(value, F.lit('"<u>"'), _spelled_flag(number % 2 == 0, number))
-    value = F.replace(value, F.lit('"<s>"'), _spelled_flag(number % 4 == 0, number + 1))
     entry = F.concat(F.lit('"images/'), number.cast("string"), F.lit('.jpg":'), value)
     owner = F.expr(_STATE_OWNER).alias("project_id")
     files = orders.groupBy("o_custkey", owner).agg(
