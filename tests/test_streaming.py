@@ -6,6 +6,8 @@ import os
 import random
 import time
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -72,6 +74,99 @@ def test_first_n_writes_what_a_batch_touches(spark, tmp_path):
     assert {r.run_id for r in sinks.read_rows(spark, folder, feeds.MILESTONES).collect()} == {0, 1, 2}
 
 
+class CountedState:
+    """A processor's state of one key that counts the calls to it."""
+
+    def __init__(self):
+        self.entries, self.value, self.calls = {}, None, []
+
+    def getMapState(self, name, key_schema, schema, ttl):
+        self.ttl = ttl
+        return self
+
+    def getValueState(self, name, schema):
+        return self
+
+    def called(self, name, result=None):
+        self.calls.append(name)
+        return result
+
+    def iterator(self):
+        return self.called("iterator", iter(list(self.entries.items())))
+
+    def getValue(self, key):
+        return self.called("getValue", self.entries.get(key))
+
+    def updateValue(self, key, value):
+        self.called("updateValue", self.entries.update({key: value}))
+
+    def get(self):
+        return self.called("get", self.value)
+
+    def update(self, value):
+        self.value = self.called("update", value)
+
+
+class Clock:
+    now = 1_000_000
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def test_runs_of_a_bucket_share_calls_to_the_state():
+    """The state is asked once for all runs of a micro-batch, or for those few alone; a run that has its
+    files isn't written again before it would be forgotten."""
+    state, clock, runs = CountedState(), Clock(), keyed.FirstN(100, 64_000)
+    runs.init(state)
+    rng, seen, got = np.random.default_rng(4), [], []
+
+    def land(of, rows):
+        run = np.sort(np.concatenate([of, rng.choice(of, rows)]))
+        us = 10**9 * (len(seen) + 1) + rng.integers(0, 10**8, len(run))
+        made = {"run_id": run, "us": us, "event_id": np.arange(len(run)), "files": rng.integers(0, 30, len(run))}
+        seen.append(pd.DataFrame(made))
+        parts = np.array_split(rng.permutation(len(run)), 7)
+        chunks = [pd.DataFrame([{n: v[part] for n, v in made.items()} for part in parts[a:b]]) for a, b in ((0, 3), (3, 7))]
+        state.calls.clear()
+        for out in runs.handleInputRows((5,), iter(chunks), clock):
+            got.extend(out.itertuples(index=False, name=None))
+        return {name: state.calls.count(name) for name in state.calls}
+
+    everyone = np.arange(400)
+    assert land(everyone, 1200) == {"get": 1, "update": 1, "updateValue": 400}
+    for _ in range(6):
+        calls = land(everyone, 1200)
+        assert calls.pop("updateValue", 0) <= 400 and calls == {"get": 1, "iterator": 1}
+    assert len(got) == 400 and land(everyone, 1200) == {"get": 1, "iterator": 1}
+    assert land(np.arange(3), 50) == {"get": 1, "getValue": 3}
+    clock.now += 1000
+    assert land(np.arange(3), 50) == {"get": 1, "getValue": 3, "updateValue": 3} and state.ttl == 65_000
+
+    ordered = pd.concat(seen).sort_values(["run_id", "us", "event_id"])
+    ordered["total"] = ordered.groupby("run_id")["files"].cumsum()
+    first = ordered.groupby("run_id")["us"].min()
+    want = ordered[ordered["total"] >= 100].groupby("run_id").first()
+    for run_id, target, reached, elapsed, accepted in got:
+        row = want.loc[run_id]
+        assert (target, reached, accepted) == (100, True, row["total"])
+        assert elapsed == (row["us"] - first[run_id] + 500) // 1000 / 1000
+
+
+def test_rows_without_a_run_are_a_run(spark, tmp_path):
+    """A null run is not run 0, also in one task's rows, and large numbers of runs stay whole."""
+    schema = "run_id bigint, event_id bigint, file_count bigint, ts timestamp"
+    names = [None, 0, 2**53 + 1, 2**53, -1]
+    for k in range(3):
+        rows = [(run, None if n == 3 else n, 5 + i, None) for i, run in enumerate(names) for n in range(4)]
+        df = spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds(F.lit(100 + 3 * k)))
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path))
+    feed = feeds.stream_first_n(feeds.file_stream(spark, str(tmp_path), schema, max_files=1), 40)
+    folder, _ = drained(feed, timers=True)
+    got = {r.run_id: (r.elapsed_sec, r.accepted_files) for r in sinks.read_rows(spark, folder, feeds.MILESTONES).collect()}
+    assert got == {None: (3.0, 40), 0: (3.0, 42), 2**53 + 1: (3.0, 42), 2**53: (3.0, 40), -1: (3.0, 45)}
+
+
 def test_thinned_rows_decide_the_same():
     """What a task drops of a hot run can't change when the run reaches its target."""
     rng = random.Random(3)

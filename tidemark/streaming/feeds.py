@@ -15,6 +15,10 @@ from tidemark.streaming.sinks import read_rows, start, start_state, state_rows
 
 FLUSH_SIZE = 512
 WEEK_SEC = 7 * 86400
+#: Keys are dealt into so many buckets where one call of Python per bucket, not per key, is to be made.
+BUCKETS = 1024
+#: Rows without a number come after those with one.
+LAST = 2**63 - 1
 
 
 def file_stream(
@@ -147,16 +151,18 @@ def stream_first_n(
 ) -> DataFrame:
     """One row per run, once, when it reaches ``target`` accepted files; elapsed from its first event.
     A micro-batch reads and writes the totals of the runs in it; a run without events for ``keep_sec`` is
-    forgotten."""
+    forgotten. Runs are dealt by hash into buckets, the keys of the state, where each has its own entry."""
+    run = F.col("run_id").cast("bigint")
     files = stream.select(
-        F.col("run_id").cast("bigint").alias("run_id"),
+        F.when(run.isNull(), keyed.NO_RUN).otherwise(F.pmod(F.hash(run), F.lit(BUCKETS))).alias("bucket"),
+        run.alias("run_id"),
         F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
-        F.col("event_id").cast("bigint").alias("event_id"),
+        F.coalesce(F.col("event_id").cast("bigint"), F.lit(LAST)).alias("event_id"),
         F.greatest(F.lit(0), F.coalesce("file_count", F.lit(0))).cast("bigint").alias("files"),
     )
-    few = files.where(F.col("us").isNotNull()).mapInArrow(keyed.thin_files(target), files.schema)
+    few = files.where(F.col("us").isNotNull()).mapInArrow(keyed.buckets_of_files(target), keyed.FILES)
     runs = keyed.FirstN(target, int(keep_sec * 1000))
-    return few.groupBy("run_id").transformWithState(runs, MILESTONES, "Append", "ProcessingTime")
+    return few.groupBy("bucket").transformWithStateInPandas(runs, MILESTONES, "Append", "ProcessingTime")
 
 
 # File state -----------------------------------------------------------------------------------------

@@ -10,12 +10,19 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 PENDING, TIMED_OUT = "pending", "timed_out"
+#: The bucket of rows without a run, which are run 0 there.
+NO_RUN = -1
+#: A bucket's entries are read together, by one call, up to so many for each one that is asked for.
+READ_TOGETHER = 8
+#: A task holds so many rows of runs, or entries and ends of datasets, at a time.
+HELD = 1 << 16
 
 
 def codes(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
@@ -29,12 +36,25 @@ def codes(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
 
 
 def group_starts(sorted_codes: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.diff(sorted_codes, prepend=-1))
+    return np.flatnonzero(np.append(np.ones(min(len(sorted_codes), 1), bool), sorted_codes[1:] != sorted_codes[:-1]))
 
 
 # First n --------------------------------------------------------------------------------------------
 
 
+def until_target(run: np.ndarray, us: np.ndarray, event: np.ndarray, files: np.ndarray, target: int) -> np.ndarray:
+    """Of each run in some rows: the first row, and those that accept files until these rows alone reach
+    ``target``, as indices by run and time."""
+    order = np.lexsort((event, us, run))
+    starts = group_starts(run[order])
+    sums = np.cumsum(files[order])
+    first = np.zeros(len(order), bool)
+    first[starts] = True
+    had = np.repeat((sums - files[order])[starts], np.diff(np.append(starts, len(order))))
+    before = sums - files[order] - had
+    return order[first | ((files[order] > 0) & (before < target))]
+
+
 def thin_files(target: int):
     """Of each run (run_id, us, event_id, files) in a batch of rows: the first row, and those that
     accept files, in time order, until the batch alone reaches ``target``."""
@@ -43,43 +63,111 @@ def thin_files(target: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            run = codes(batch, ["run_id"])
             us, event, files = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("us", "event_id", "files"))
-            order = np.lexsort((event, us, run))
-            starts = group_starts(run[order])
-            sums = np.cumsum(files[order])
-            first = np.zeros(len(order), bool)
-            first[starts] = True
-            had = np.repeat((sums - files[order])[starts], np.diff(np.append(starts, len(order))))
-            before = sums - files[order] - had
-            yield batch.take(pa.array(order[first | ((files[order] > 0) & (before < target))]))
+            yield batch.take(pa.array(until_target(codes(batch, ["run_id"]), us, event, files, target)))
+
+    return work
+
+
+FILES = "bucket int, run_id array<bigint>, us array<bigint>, event_id array<bigint>, files array<bigint>"
+
+
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of ``HELD`` rows or somewhat more, and a last one."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= HELD:
+            yield pa.concat_batches(held)
+            held, rows = [], 0
+    if rows:
+        yield pa.concat_batches(held)
+
+
+def buckets_of_files(target: int):
+    """Thinned rows (bucket, run_id, us, event_id, files) of a task, those of a bucket in one row."""
+    thin = thin_files(target)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in thin(together(batches)):
+            batch = batch.take(pa.array(np.argsort(batch.column("bucket").to_numpy(), kind="stable")))
+            bucket = batch.column("bucket").to_numpy()
+            starts = group_starts(bucket)
+            offsets = pa.array(np.append(starts, len(bucket)).astype(np.int32))
+            names = FirstN.COLUMNS
+            lists = [pa.ListArray.from_arrays(offsets, batch.column(n).fill_null(0)) for n in names]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *lists], ["bucket", *names])
 
     return work
 
 
 class FirstN(StatefulProcessor):
-    """The row at which a run has ``target`` files, once. A run that rests for ``keep_ms`` is
-    forgotten."""
+    """Of the runs of a bucket, the row at which each has ``target`` files, once. A run that rests for
+    ``keep_ms`` (and a 64th of that at most) is forgotten.
+
+    A call to the state costs more than a run's rows, and what a key costs falls on a bucket, so calls are
+    few: each run has an entry of its own, entries are read together where the bucket holds few others, and
+    that of a run which has its files is only written again so that it stays."""
+
+    COLUMNS = ["run_id", "us", "event_id", "files"]
 
     def __init__(self, target: int, keep_ms: int) -> None:
-        self.target, self.keep_ms = target, keep_ms
+        self.target, self.slack = target, keep_ms // 64
+        self.keep_ms = keep_ms + self.slack
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = "started bigint, total bigint, fired boolean"
-        self.run = handle.getValueState("run", schema, self.keep_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        started, total, fired = self.run.get() or (None, 0, False)
-        for row in sorted(rows, key=lambda r: (r["us"], r["event_id"])):
-            started = row["us"] if started is None else min(started, row["us"])
-            total += row["files"]
-            if not fired and total >= self.target:
+        schema = "started bigint, total bigint, fired boolean, written bigint"
+        self.runs = handle.getMapState("runs", "run_id bigint", schema, self.keep_ms)
+        self.size = handle.getValueState("size", "runs bigint")
+
+    def entries(self, names: list[tuple]) -> dict[tuple, tuple]:
+        """What is known of some runs. ``size`` is the number of entries or, where some were forgotten
+        since they were last read together, more."""
+        size = known = (self.size.get() or (0,))[0]
+        if size <= READ_TOGETHER * len(names):
+            found = dict(self.runs.iterator()) if size else {}
+            size = len(found)
+        else:
+            asked = {name: self.runs.getValue(name) for name in names}
+            found = {name: entry for name, entry in asked.items() if entry}
+        size += sum(name not in found for name in names)
+        if size != known:
+            self.size.update((size,))
+        return found
+
+    def thinned(self, chunks: Iterator[pd.DataFrame]) -> np.ndarray:
+        """The rows that decide, by run and time. Rows of a chunk are dropped before the next one comes."""
+        held = np.zeros((len(self.COLUMNS), 0), np.int64)
+        for chunk in chunks:
+            rows = np.stack([np.concatenate(chunk[name].to_list()) for name in self.COLUMNS])
+            held = np.concatenate([held, rows], axis=1)
+            held = held[:, until_target(*held, self.target)]
+        return held
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        run, us, _, files = self.thinned(rows)
+        starts = group_starts(run)
+        names = [(r,) for r in run[starts].tolist()]
+        entries = self.entries(names)
+        reached = []
+        for name, start, end in zip(names, starts, np.append(starts[1:], len(run)), strict=True):
+            started, total, fired, written = entries.get(name, (int(us[start]), 0, False, 0))
+            if fired and now - written < self.slack:
+                continue
+            started = min(started, int(us[start]))
+            sums = total + np.cumsum(files[start:end])
+            if not fired and sums[-1] >= self.target:
                 fired = True
-                elapsed = (row["us"] - started + 500) // 1000 / 1000
-                yield Row(
-                    run_id=key[0], target_files=self.target, reached=True, elapsed_sec=elapsed, accepted_files=total
-                )
-        self.run.update((started, total, fired))
+                at = int(np.argmax(sums >= self.target))
+                elapsed = (int(us[start + at]) - started + 500) // 1000 / 1000
+                run_id = None if key[0] == NO_RUN else name[0]
+                reached.append((run_id, self.target, True, elapsed, int(sums[at])))
+            self.runs.updateValue(name, (started, int(sums[-1]), fired, now))
+        if reached:
+            columns = ["run_id", "target_files", "reached", "elapsed_sec", "accepted_files"]
+            yield pd.DataFrame(reached, columns=columns).astype({"run_id": "Int64"})
 
     def close(self) -> None:
         pass
@@ -170,8 +258,6 @@ class ImportWatch(StatefulProcessor):
 # Flushes --------------------------------------------------------------------------------------------
 
 BLOCK = "dataset_id string, lane int, entries array<string>, finished boolean"
-#: A task holds so many entries and ends of datasets at a time.
-HELD = 1 << 16
 
 
 def blocks_of(size: int):
